@@ -39,15 +39,22 @@ eitems AS (
 """
 
 
-def query(name: str, sql: str | None = None):
-    """Register a query; ``sql`` goes on after the shared WITH clause."""
+def query(name: str, sql: str | None = None, ints: tuple[str, ...] = ()):
+    """Register a query; ``sql`` goes on after the shared WITH clause.
+
+    ``ints`` names the columns that are 32-bit in Spark (row numbers).
+    """
 
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"{name} registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = PRELUDE + sql
+            full = PRELUDE + sql
+            if ints:
+                casts = ", ".join(f"CAST({c} AS INTEGER) AS {c}" for c in ints)
+                full = f"SELECT * REPLACE ({casts}) FROM ({full})"
+            ORACLES[name] = full
         return fn
 
     return register

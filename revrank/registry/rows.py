@@ -157,6 +157,7 @@ def _(spark, d):
     PAIR_SCORES
     + """, r AS (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank FROM pairs)
     SELECT * FROM r WHERE rank <= 3""",
+    ints=("rank",),
 )
 def _(spark, d):
     return ranking.rank_filter(ranking.top_k(pair_scores(spark, d), 10), 3)
@@ -179,6 +180,7 @@ def _(spark, d):
       FROM susers u CROSS JOIN sitems i
       WHERE NOT EXISTS (SELECT 1 FROM slog s WHERE s.user_idx = u.user_idx AND s.item_idx = i.item_idx))
     SELECT user_idx, item_idx, price, rank FROM r WHERE rank <= 20""",
+    ints=("rank",),
 )
 def _(spark, d):
     users = tables.star_users(spark, d).select("user_idx")

@@ -17,7 +17,7 @@ BY_TIME = 'PARTITION BY user_idx ORDER BY "timestamp", event_id'
 _TOP = """, r AS (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank FROM pairs)"""
 
 
-@query("topk_row_number", PAIR_SCORES + _TOP + " SELECT * FROM r WHERE rank <= 10")
+@query("topk_row_number", PAIR_SCORES + _TOP + " SELECT * FROM r WHERE rank <= 10", ints=("rank",))
 def _(spark, d):
     return ranking.top_k(pair_scores(spark, d), 10)
 
@@ -27,6 +27,7 @@ def _(spark, d):
     """, p AS (SELECT user_idx, item_idx, max(price) AS relevance FROM slog GROUP BY ALL),
     r AS (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY relevance DESC, item_idx) AS rank FROM p)
     SELECT * FROM r WHERE rank <= 5""",
+    ints=("rank",),
 )
 def _(spark, d):
     best = tables.star_log(spark, d).groupBy(*PAIRS).agg(F.max("price").alias("relevance"))
@@ -43,7 +44,7 @@ def _(spark, d):
     return ranking.top_k(pair_scores(spark, d), 7).drop("rank")
 
 
-@query("sort_recs", PAIR_SCORES + _TOP + " SELECT * FROM r WHERE rank <= 10 ORDER BY user_idx, relevance DESC, item_idx")
+@query("sort_recs", PAIR_SCORES + _TOP + " SELECT * FROM r WHERE rank <= 10 ORDER BY user_idx, relevance DESC, item_idx", ints=("rank",))
 def _(spark, d):
     return ranking.sort_recs(ranking.top_k(pair_scores(spark, d), 10))
 
@@ -53,7 +54,7 @@ def _(spark, d):
     return tables.event_log(spark, d).orderBy("user_idx", *ORDER).select(*PAIRS, "event_id")
 
 
-@query("last_n_history", f", r AS (SELECT user_idx, item_idx, event_id, {NEWEST} AS recency FROM elog) SELECT * FROM r WHERE recency <= 50")
+@query("last_n_history", f", r AS (SELECT user_idx, item_idx, event_id, {NEWEST} AS recency FROM elog) SELECT * FROM r WHERE recency <= 50", ints=("recency",))
 def _(spark, d):
     log = tables.event_log(spark, d)
     return sequences.last_n_history(log, 50, ORDER).select(*PAIRS, "event_id", "recency")

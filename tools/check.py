@@ -19,6 +19,12 @@ from revrank.session import local_session  # noqa: E402
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "FLOAT": "float",
+    "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean",
+}
+
+
 def canon(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
@@ -59,6 +65,10 @@ def main():
             want = rel.fetchall()
             a, b = rows_of(df.columns, got), rows_of(cols, want)
             ok = a == b and sorted(df.columns) == sorted(cols)
+            kinds = {c: t for c, t in df.dtypes}
+            for c, t in zip(cols, [str(x[1]) for x in rel.description]):
+                if KINDS.get(t, t) != kinds.get(c):
+                    print(f"   type of {c}: {kinds.get(c)} / {t}")
             print(f"{'ok' if ok else 'DIFF':6} {name:28} {len(got):8} {took:6.1f}s", flush=True)
             if not ok:
                 bad.append(name)
