@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from revrank.functions.vectors import names
 from revrank.operators.aggregates import scalar
+from revrank.session import cut
 
 EDGES_PER_COPY = 200_000
 LEAK = 0.2
@@ -122,15 +123,14 @@ def elu(x: Column) -> Column:
     return F.when(x > 0, x).otherwise(F.exp(F.least(x, F.lit(0.0))) - 1.0)
 
 
-def attention_weights(
+def attention_scores(
     edges: DataFrame, emb: DataFrame, d: int, heads: int, left: list[float], right: list[float]
 ) -> DataFrame:
-    """Edges with one softmax weight per head (``a0 .. a{heads-1}``).
+    """Edges with one softmax numerator per head (``x0 .. x{heads-1}``).
 
     The score of an edge is leaky(left . x_src + right . x_dst) on the head's slice of
-    the vector; weights sum to 1 over the edges into a node. The largest source part
-    over all nodes bounds the scores of a target from above, which keeps exp() in
-    range without a second pass per target.
+    the vector. The largest source part over all nodes bounds the scores of a target
+    from above; subtracting that bound keeps exp() in range without a pass per target.
     """
     size = d // heads
     cols = names(d)
@@ -140,26 +140,42 @@ def attention_weights(
         return reduce(lambda a, b: a + b, [F.col(cols[j]) * F.lit(float(coef[j])) for j in js])
 
     ls, rs = [f"__l{h}" for h in range(heads)], [f"__r{h}" for h in range(heads)]
-    parts = emb.select(
-        "node", "copies",
-        *[part(h, left).alias(ls[h]) for h in range(heads)],
-        *[part(h, right).alias(rs[h]) for h in range(heads)],
-    )
-    tops = [scalar(parts, F.max(c)) for c in ls]
-    src = fan_out(parts.select("node", "copies", *ls)).withColumnRenamed("node", "src").drop("copies")
+    tops = [scalar(emb, F.max(part(h, left))) for h in range(heads)]
+    src = fan_out(emb.select("node", "copies", *[part(h, left).alias(ls[h]) for h in range(heads)]))
     # In-edges of a hot target meet its value in as many groups as its out-edges do.
-    dst = fan_out(parts.select("node", "copies", *rs)).withColumnsRenamed({"node": "dst", "copy": "dcopy"}).drop("copies")
-    scored = edges.join(src, ["src", "copy"]).join(dst, ["dst", "dcopy"])
-    exps = {
-        f"__x{h}": F.exp(leaky(F.col(ls[h]) + F.col(rs[h])) - leaky(tops[h] + F.col(rs[h]))) for h in range(heads)
-    }
-    scored = scored.withColumns(exps).drop(*ls, *rs)
-    sums = scored.groupBy("dst").agg(*[F.sum(f"__x{h}").alias(f"__s{h}") for h in range(heads)])
-    sums = fan_out(sums.join(emb.select(F.col("node").alias("dst"), "copies"), "dst")).withColumnRenamed("copy", "dcopy")
-    done = scored.join(sums.drop("copies"), ["dst", "dcopy"])
-    return done.select(
-        *edges.columns, *[(F.col(f"__x{h}") / F.col(f"__s{h}")).alias(f"a{h}") for h in range(heads)]
+    dst = fan_out(emb.select("node", "copies", *[part(h, right).alias(rs[h]) for h in range(heads)]))
+    scored = edges.join(src.withColumnRenamed("node", "src").drop("copies"), ["src", "copy"]).join(
+        dst.withColumnsRenamed({"node": "dst", "copy": "dcopy"}).drop("copies"), ["dst", "dcopy"]
     )
+    exps = [
+        F.exp(leaky(F.col(ls[h]) + F.col(rs[h])) - leaky(tops[h] + F.col(rs[h]))).alias(f"x{h}") for h in range(heads)
+    ]
+    return scored.select(*edges.columns, *exps)
+
+
+def attention_weights(
+    edges: DataFrame, emb: DataFrame, d: int, heads: int, left: list[float], right: list[float]
+) -> DataFrame:
+    """Edges with softmax weights ``a0 ..`` that sum to 1 over the edges into a node."""
+    scored = cut(attention_scores(edges, emb, d, heads, left, right))
+    sums = scored.groupBy("dst").agg(*[F.sum(f"x{h}").alias(f"__s{h}") for h in range(heads)])
+    sums = fan_out(sums.join(emb.select(F.col("node").alias("dst"), "copies"), "dst")).withColumnRenamed("copy", "dcopy")
+    weights = [(F.col(f"x{h}") / F.col(f"__s{h}")).alias(f"a{h}") for h in range(heads)]
+    return scored.join(sums.drop("copies"), ["dst", "dcopy"]).select(*edges.columns, *weights)
+
+
+def attend_once(
+    edges: DataFrame, emb: DataFrame, nodes: DataFrame, d: int, heads: int, left: list[float], right: list[float]
+) -> DataFrame:
+    """One attention layer; numerator and denominator of the softmax in one aggregate."""
+    size = d // heads
+    scored = attention_scores(edges, emb, d, heads, left, right)
+    sent = fan_out(emb).withColumnRenamed("node", "src").drop("copies")
+    aggs = [
+        (F.sum(F.col(f"e{j}") * F.col(f"x{j // size}")) / F.sum(f"x{j // size}")).alias(f"e{j}") for j in range(d)
+    ]
+    out = scored.join(sent, ["src", "copy"]).groupBy(F.col("dst").alias("node")).agg(*aggs)
+    return _with_copies(out, nodes)
 
 
 def attention_edges(directed: DataFrame, edges_per_copy: int = EDGES_PER_COPY) -> tuple[DataFrame, DataFrame]:
@@ -195,6 +211,6 @@ def gat_propagate(
     """Two attention layers: ``heads`` heads and ELU, then one head."""
     ones = [1.0] * d
     (l1, r1), (l2, r2) = coefs or [(ones, ones), (ones, ones)]
-    first = attend(attention_weights(edges, emb, d, heads, l1, r1), emb, nodes, d, heads)
-    hidden = first.withColumns({c: elu(F.col(c)) for c in names(d)})
-    return attend(attention_weights(edges, hidden, d, 1, l2, r2), hidden, nodes, d, 1)
+    first = attend_once(edges, emb, nodes, d, heads, l1, r1)
+    hidden = cut(first.withColumns({c: elu(F.col(c)) for c in names(d)}))
+    return attend_once(edges, hidden, nodes, d, 1, l2, r2)
