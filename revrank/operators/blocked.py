@@ -82,6 +82,24 @@ def _score_blocks(scorer: Callable, k: int) -> Callable[[Iterator[pd.DataFrame]]
     return run
 
 
+def _block_pairs(
+    users: DataFrame, items: DataFrame, user_block: int, item_block: int, broadcast_bytes: int
+) -> tuple[DataFrame, int, int]:
+    """One row per (user block, item block), and the numbers of blocks."""
+    n_users = users.agg(F.count("*")).first()[0]
+    n_items, width = items.agg(F.count("*"), F.max(F.size("ivec"))).first()
+    user_blocks, item_blocks = max(1, -(-n_users // user_block)), max(1, -(-n_items // item_block))
+    left = _pack(users, "user_idx", "uvec", "ub", user_blocks, "uids", "umat")
+    right = _pack(items, "item_idx", "ivec", "ib", item_blocks, "iids", "imat")
+    pairs = left.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
+    if n_items * ((width or 0) + 1) * 8 <= broadcast_bytes:
+        return pairs.join(F.broadcast(right), "ib"), user_blocks, item_blocks
+    groups = -(-user_blocks // USER_BLOCKS_PER_GROUP)
+    pairs = pairs.withColumn("grp", F.pmod("ub", F.lit(groups)))
+    spread = right.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return pairs.join(spread, ["ib", "grp"]).drop("grp"), user_blocks, item_blocks
+
+
 def blocked_topk(
     users: DataFrame,
     items: DataFrame,
@@ -98,23 +116,7 @@ def blocked_topk(
     matrix. Seen pairs are masked before the cut; a user with fewer than k items left gets
     fewer rows.
     """
-    n_users = users.agg(F.count("*")).first()[0]
-    n_items, width = items.agg(F.count("*"), F.max(F.size("ivec"))).first()
-    if not n_users or not n_items:
-        return users.sparkSession.createDataFrame([], OUT + ", rank int")
-    user_blocks, item_blocks = -(-n_users // user_block), -(-n_items // item_block)
-    left = _pack(users, "user_idx", "uvec", "ub", user_blocks, "uids", "umat")
-    right = _pack(items, "item_idx", "ivec", "ib", item_blocks, "iids", "imat")
-
-    pairs = left.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
-    if n_items * (width + 1) * 8 <= broadcast_bytes:
-        pairs = pairs.join(F.broadcast(right), "ib")
-    else:
-        groups = -(-user_blocks // USER_BLOCKS_PER_GROUP)
-        pairs = pairs.withColumn("grp", F.pmod("ub", F.lit(groups)))
-        spread = right.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        pairs = pairs.join(spread, ["ib", "grp"]).drop("grp")
-
+    pairs, user_blocks, item_blocks = _block_pairs(users, items, user_block, item_block, broadcast_bytes)
     if seen is None:
         none = F.array().cast("array<bigint>")
         pairs = pairs.withColumns({"seen_u": none, "seen_i": none})
@@ -136,3 +138,38 @@ def blocked_topk(
         pairs = pairs.join(masks, ["ub", "ib"], "left")
     best = pairs.select("uids", "umat", "iids", "imat", "seen_u", "seen_i").mapInPandas(_score_blocks(scorer, k), OUT)
     return top_k(best, k)
+
+
+def blocked_logsumexp(
+    users: DataFrame,
+    items: DataFrame,
+    scorer: Callable[[np.ndarray, np.ndarray], np.ndarray] = dot_scores,
+    user_block: int = USER_BLOCK,
+    item_block: int = ITEM_BLOCK,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(user_idx, lse): log of the summed exp(score) over all items, the softmax denominator."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                u = np.asarray(row.umat, dtype=np.float64).reshape(len(row.uids), -1)
+                i = np.asarray(row.imat, dtype=np.float64).reshape(len(row.iids), -1)
+                scores = scorer(u, i)
+                top = scores.max(axis=1)
+                yield pd.DataFrame(
+                    {"user_idx": row.uids, "top": top, "total": np.exp(scores - top[:, None]).sum(axis=1)}
+                )
+
+    pairs, _, _ = _block_pairs(users, items, user_block, item_block, broadcast_bytes)
+    parts = pairs.select("uids", "umat", "iids", "imat").mapInPandas(run, "user_idx bigint, top double, total double")
+    peak = F.max("top")
+    scaled = F.collect_list(F.struct("top", "total"))
+    # One entry per item block and user.
+    return parts.groupBy("user_idx").agg(peak.alias("top"), scaled.alias("parts")).select(
+        "user_idx",
+        (
+            F.col("top")
+            + F.log(F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["total"] * F.exp(p["top"] - F.col("top"))))
+        ).alias("lse"),
+    )

@@ -52,15 +52,19 @@ def spread(df: DataFrame, nodes: DataFrame, key: str, other: str, copy: str = "c
 
 def normalized_edges(
     directed: DataFrame, norm_scale: float = 1.0, self_loops: bool = False,
-    edges_per_copy: int = EDGES_PER_COPY,
+    edges_per_copy: int = EDGES_PER_COPY, nodes: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(edges with symmetric weight deg^-1/2 * deg^-1/2, node table)."""
+    """(edges with symmetric weight deg^-1/2 * deg^-1/2, node table).
+
+    ``nodes`` keeps the copies of a known node table, for a graph with edges left out.
+    """
     base = directed.select("src", "dst")
     if self_loops:
         loops = base.select(F.col("src").alias("node")).distinct().select(F.col("node").alias("src"), F.col("node").alias("dst"))
         base = base.unionByName(loops)
-    nodes = node_copies(base, edges_per_copy)
-    degree = nodes.select("node", "degree")
+    counted = node_copies(base, edges_per_copy)
+    nodes = counted if nodes is None else nodes
+    degree = counted.select("node", "degree")
     src = degree.select(F.col("node").alias("src"), F.col("degree").alias("__ds"))
     dst = degree.select(F.col("node").alias("dst"), F.col("degree").alias("__dd"))
     weighted = (

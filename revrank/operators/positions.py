@@ -71,24 +71,23 @@ def with_position(
     return out.unionByName(range_position(hot, by, order, name))
 
 
-def sliding(
+def chunk_rows(
     df: DataFrame,
     by: list[str],
     order: list,
     before: int,
     after: int,
-    build: Callable[[WindowSpec], dict[str, Column]],
     hot_rows: int = HOT_ROWS,
     chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Window columns that look at most ``before`` rows back and ``after`` ahead.
+    """Rows with ``__chunk`` and ``__own``, ready for windows over (by, __chunk).
 
-    ``build`` gets the ordered window and returns the new columns. Hot keys are cut
-    into chunks of ``chunk`` rows; the rows a neighbour chunk can see are copied to it.
+    An ordinary key is one chunk. A hot key is cut into chunks of ``chunk`` rows; rows
+    that a neighbour chunk can see (``before`` rows back, ``after`` ahead) are copied to it
+    with ``__own`` false, to be dropped after the window.
     """
-    ordered = [_col(o) for o in order]
     plain, hot = split_hot(df, by, hot_rows)
-    out = plain.withColumns(build(Window.partitionBy(*by).orderBy(*ordered)))
+    out = plain.withColumns({"__chunk": F.lit(0).cast("bigint"), "__own": F.lit(True)})
     if hot is None:
         return out
     if max(before, after) > chunk:
@@ -96,13 +95,26 @@ def sliding(
     placed = range_position(hot, by, order, "__pos")
     own, inside = F.floor(F.col("__pos") / chunk), F.col("__pos") % chunk
     copies = F.array_compact(
-        F.array(
-            F.when(inside < after, own - 1),
-            own,
-            F.when(inside >= chunk - before, own + 1),
-        )
+        F.array(F.when(inside < after, own - 1), own, F.when(inside >= chunk - before, own + 1))
     )
-    chunked = placed.withColumn("__own", own).withColumn("__chunk", F.explode(copies))
-    window = Window.partitionBy(*by, "__chunk").orderBy("__pos")
-    done = chunked.withColumns(build(window)).filter(F.col("__chunk") == F.col("__own"))
-    return out.unionByName(done.drop("__pos", "__own", "__chunk"))
+    chunked = placed.withColumn("__chunk", F.explode(copies)).withColumn("__own", F.col("__chunk") == own)
+    return out.unionByName(chunked.drop("__pos"))
+
+
+def sliding(
+    df: DataFrame,
+    by: list[str],
+    order: list,
+    before: int,
+    after: int,
+    build: Callable[[WindowSpec], dict[str, Column]],
+    hot_rows: int = HOT_ROWS,
+    chunk: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Window columns that look at most ``before`` rows back and ``after`` ahead.
+
+    ``build`` gets the ordered window and returns the new columns.
+    """
+    rows = chunk_rows(df, by, order, before, after, hot_rows, chunk)
+    window = Window.partitionBy(*by, "__chunk").orderBy(*[_col(o) for o in order])
+    return rows.withColumns(build(window)).filter("__own").drop("__own", "__chunk")
