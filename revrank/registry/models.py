@@ -1 +1,69 @@
-"""to come"""
+"""Fitted models. Training is iterative, so these have no SQL; tests check their properties."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from revrank.operators.sampling import temporal_split
+from revrank.plans.linear import LogisticRecommender, SVMRecommender
+from revrank.plans.trees import LambdaRankRecommender, RandomForestRecommender
+from revrank.registry.base import query
+from revrank.sources import tables
+
+K = 10
+
+
+def star(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Early iterations of the order log, users, items."""
+    train, _test = temporal_split(tables.star_log(spark, d).select(*tables.LOG_COLUMNS), 3)
+    return train, tables.star_users(spark, d), tables.star_items(spark, d)
+
+
+@query("rec_logistic")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    model = LogisticRecommender(max_iter=30).fit(log, users, items)
+    return model.predict(log, K, users, items, filter_seen_items=True)
+
+
+@query("logistic_cv_accuracy")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    return LogisticRecommender(max_iter=20).cross_validate(log, users, items)
+
+
+@query("rec_svm")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    return SVMRecommender(max_iter=15).fit(log, users, items).predict(log, K, users, items)
+
+
+@query("rec_random_forest")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    model = RandomForestRecommender(n_estimators=20, max_depth=5).fit(log, users, items)
+    return model.predict(log, K, users, items)
+
+
+@query("forest_grid_search")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    model = RandomForestRecommender(grid={"max_depth": [3, 5], "min_samples_leaf": [3], "n_estimators": [10]}, folds=3)
+    _search, scores = model.grid_search(model.training_rows(log, users, items))
+    rows = [(s["max_depth"], s["min_samples_leaf"], s["n_estimators"], auc) for s, auc in scores]
+    return spark.createDataFrame(rows, "max_depth int, min_samples_leaf int, n_estimators int, auc double")
+
+
+@query("rec_lambda_rank")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    model = LambdaRankRecommender(num_boost_round=4, learning_rate=0.1, max_depth=4).fit(log, users, items)
+    return model.predict(log, K, users, items)
+
+
+@query("rank_auto_tune")
+def _(spark, d):
+    log, users, items = star(spark, d)
+    model = LambdaRankRecommender(num_boost_round=2, max_depth=3)
+    rows = model.auto_tune(log, users, items, price_pows=(1.1, 1.5), learning_rates=(0.05,))
+    return spark.createDataFrame(rows, "price_pow double, alpha double, learning_rate double, pseudo_revenue double")
