@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from revrank.operators.sampling import temporal_split
+from revrank.plans.graph_models import GATRecommender, GCNRecommender, LightGCNRecommender
 from revrank.plans.linear import LogisticRecommender, SVMRecommender
+from revrank.plans.sequence_models import SequenceAttentionRecommender, SequencePoolRecommender
 from revrank.plans.trees import LambdaRankRecommender, RandomForestRecommender
 from revrank.registry.base import query
 from revrank.sources import tables
@@ -67,3 +69,43 @@ def _(spark, d):
     model = LambdaRankRecommender(num_boost_round=2, max_depth=3)
     rows = model.auto_tune(log, users, items, price_pows=(1.1, 1.5), learning_rates=(0.05,))
     return spark.createDataFrame(rows, "price_pow double, alpha double, learning_rate double, pseudo_revenue double")
+
+
+def clicks(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Early iterations of the click log, its users, priced items."""
+    train, _test = temporal_split(tables.event_log(spark, d), 3)
+    return train, tables.event_users(spark, d), tables.event_items(spark, d)
+
+
+def _graph(spark, d, model):
+    log, users, items = clicks(spark, d)
+    return model.fit(log, users, items).predict(log, K, users, items)
+
+
+@query("rec_lightgcn")
+def _(spark, d):
+    return _graph(spark, d, LightGCNRecommender(n_epochs=3, dim=8, lr=0.05))
+
+
+@query("rec_gcn")
+def _(spark, d):
+    return _graph(spark, d, GCNRecommender(embedding_dim=8, num_layers=2, lr=0.05, n_epochs=3))
+
+
+@query("rec_gat")
+def _(spark, d):
+    return _graph(spark, d, GATRecommender(embedding_dim=8, heads=4, lr=0.05, n_epochs=2))
+
+
+@query("rec_sequence_pool")
+def _(spark, d):
+    log, users, items = clicks(spark, d)
+    model = SequencePoolRecommender(embed_dim=8, lr=0.02, epochs=3, max_seq_len=20, time=tables.EVENT_ORDER)
+    return model.fit(log, users, items).predict(log, K, users, items)
+
+
+@query("rec_sequence_attention")
+def _(spark, d):
+    log, users, items = clicks(spark, d)
+    model = SequenceAttentionRecommender(dim=8, lr=0.02, epochs=2, max_len=20, time=tables.EVENT_ORDER)
+    return model.fit(log, users, items).predict(log, K, users, items)
