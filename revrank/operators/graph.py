@@ -204,7 +204,10 @@ def attend(edges: DataFrame, emb: DataFrame, nodes: DataFrame, d: int, heads: in
 
 def attend_back(edges: DataFrame, grad: DataFrame, nodes: DataFrame, d: int, heads: int) -> DataFrame:
     """The transpose of ``attend``: gradients flow from targets to sources."""
-    turned = edges.withColumnsRenamed({"src": "dst", "dst": "src", "copy": "dcopy", "dcopy": "copy"})
+    turned = edges.select(
+        F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("dcopy").alias("copy"),
+        *[f"a{h}" for h in range(heads)],
+    )
     return attend(turned, grad, nodes, d, heads)
 
 

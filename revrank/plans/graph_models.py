@@ -108,37 +108,34 @@ class _GraphRecommender(Recommender):
         drawn = sampling.negative_sample_uniform(train, size, epoch, self.seed).withColumnRenamed("neg_idx", "slot")
         return drawn.join(self.slots.withColumnRenamed("item_idx", "neg_idx"), "slot").drop("slot")
 
-    def _gradients(self, final: DataFrame, samples: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-        """(gradient in the final vectors, rows with their loss)."""
+    def _gradients(self, final: DataFrame, samples: DataFrame, n: int) -> DataFrame:
+        """(node, copies, gradient in the final vectors, loss)."""
         d = self.dim
         rows = gather(samples, final, "u", "a", d, "ucopy")
         rows = gather(rows, final, "i", "b", d, "icopy")
         rows = gather(rows, final, "n", "c", d)
         rows = rows.withColumns({"pos": dot_wide("a", "b", d), "neg": dot_wide("a", "c", d)})
-        loss, gp, gn = self._push(n)
-        rows = cut(rows.withColumns({"__loss": loss, "__gp": gp, "__gn": gn}))
+        loss, up, down = self._push(n)
+        rows = rows.withColumns({"__loss": loss, "__gp": up, "__gn": down})
         reg = self.reg_lambda / n
         gp, gn = F.col("__gp"), F.col("__gn")
-
-        def side(node: str, value) -> DataFrame:
-            return rows.select(F.col(node).alias("node"), *[value(j).alias(f"e{j}") for j in range(d)])
-
         grad = sum_gradients(
+            rows,
             [
-                side("u", lambda j: gp * F.col(f"b{j}") + gn * F.col(f"c{j}") + reg * F.col(f"a{j}")),
-                side("i", lambda j: gp * F.col(f"a{j}") + reg * F.col(f"b{j}")),
-                side("n", lambda j: gn * F.col(f"a{j}") + reg * F.col(f"c{j}")),
+                ("u", lambda j: gp * F.col(f"b{j}") + gn * F.col(f"c{j}") + reg * F.col(f"a{j}")),
+                ("i", lambda j: gp * F.col(f"a{j}") + reg * F.col(f"b{j}")),
+                ("n", lambda j: gn * F.col(f"a{j}") + reg * F.col(f"c{j}")),
             ],
+            F.col("__loss"),
             d,
         )
-        return grad.join(self.nodes, "node"), rows
+        return grad.join(self.nodes, "node")
 
     def _epoch(self, state: DataFrame, edges: DataFrame, samples: DataFrame, n: int, step: int) -> DataFrame:
-        vec = ["node", "copies", *names(self.dim)]
-        final = cut(self._forward(state.select(*vec), edges))
-        grad, rows = self._gradients(final, samples, n)
-        self.losses.append(rows.agg(F.sum("__loss")).first()[0])
-        back = self._backward(cut(grad), edges)
+        final = cut(self._forward(state.select("node", "copies", *names(self.dim)), edges))
+        grad = cut(self._gradients(final, samples, n))
+        self.losses.append(grad.agg(F.sum("loss")).first()[0])
+        back = self._backward(grad.drop("loss"), edges)
         state = adam_step(state, back, self.dim, step, self.lr, self.weight_decay, self.decoupled)
         return cut(unit_rows(state, self.dim) if self.normalize else state)
 

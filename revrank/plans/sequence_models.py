@@ -148,21 +148,20 @@ class SequencePoolRecommender(_SequenceRecommender):
                 for j in range(d)
             }
         )
-        own = cut(
-            back.filter("__own").select(
-                "item_idx", "neg_idx", "__loss", "__g",
-                *[F.coalesce(f"h{j}", F.lit(0.0)).alias(f"h{j}") for j in range(d)], *names(d, "b"),
-            )
-        )
-        self.losses.append(own.agg(F.sum("__loss")).first()[0])
         g = F.col("__g")
-        grad = sum_gradients(
-            [
-                own.select(F.col("item_idx").alias("node"), *[(g * F.col(f"h{j}") + F.col(f"b{j}")).alias(f"e{j}") for j in range(d)]),
-                own.select(F.col("neg_idx").alias("node"), *[(-g * F.col(f"h{j}")).alias(f"e{j}") for j in range(d)]),
-            ],
-            d,
+        own = back.filter("__own").withColumns({f"h{j}": F.coalesce(f"h{j}", F.lit(0.0)) for j in range(d)})
+        grad = cut(
+            sum_gradients(
+                own,
+                [
+                    ("item_idx", lambda j: g * F.col(f"h{j}") + F.col(f"b{j}")),
+                    ("neg_idx", lambda j: -g * F.col(f"h{j}")),
+                ],
+                F.col("__loss"),
+                d,
+            )
         )
+        self.losses.append(grad.agg(F.sum("loss")).first()[0])
         return cut(adam_step(state, _clip(grad, d, 5.0), d, step, self.lr, self.weight_decay))
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
@@ -252,27 +251,29 @@ class SequenceAttentionRecommender(_SequenceRecommender):
         listed = gather(self._mix(listed, "__vs").drop("__vs"), emb, "neg_idx", "n", d)
         listed = listed.withColumns({"pos": dot("__h", "__v"), "neg": dot("__h", to_array(d, "n"))})
         slope = -F.col("weight") * sigmoid(F.col("neg") - F.col("pos")) / n
-        done = cut(
-            listed.withColumns({"__g": slope, "__loss": bpr_term("pos", "neg", F.col("weight")) / n}).select(
-                "item_idx", "neg_idx", "__ids", "__w", "__g", "__loss", "__h",
-                *[(F.col("__g") * (F.col(f"e{j}") - F.col(f"n{j}"))).alias(f"q{j}") for j in range(d)],
-            )
-        )
-        self.losses.append(done.agg(F.sum("__loss")).first()[0])
+        done = listed.withColumns({"__g": slope, "__loss": bpr_term("pos", "neg", F.col("weight")) / n})
         g = F.col("__g")
         at = lambda j: F.element_at("__h", j + 1)
-        # What the listed items get is summed in the map tasks; the long form never travels.
-        spread_out = done.select(
-            F.explode(F.arrays_zip(F.col("__ids").alias("id"), F.col("__w").alias("w"))).alias("p"), *names(d, "q")
+        # The row's own item, its negative, and the items of its list. What they get is summed in
+        # the map tasks; the long form never travels.
+        listed_items = F.transform(F.arrays_zip(F.col("__ids").alias("id"), F.col("__w").alias("w")), lambda p: F.struct(
+            p["id"].alias("node"), (g * p["w"]).alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("loss")))
+        ends = F.array(
+            F.struct(F.col("item_idx").alias("node"), F.lit(0.0).alias("a"), g.alias("b"), F.col("__loss").alias("loss")),
+            F.struct(F.col("neg_idx").alias("node"), F.lit(0.0).alias("a"), (-g).alias("b"), F.lit(0.0).alias("loss")),
+        )
+        received = done.select(
+            F.inline(F.concat(ends, listed_items)),
+            *[(F.col(f"e{j}") - F.col(f"n{j}")).alias(f"q{j}") for j in range(d)],
+            *[at(j).alias(f"h{j}") for j in range(d)],
         )
-        grad = sum_gradients(
-            [
-                done.select(F.col("item_idx").alias("node"), *[(g * at(j)).alias(f"e{j}") for j in range(d)]),
-                done.select(F.col("neg_idx").alias("node"), *[(-g * at(j)).alias(f"e{j}") for j in range(d)]),
-                spread_out.select(F.col("p.id").alias("node"), *[(F.col("p.w") * F.col(f"q{j}")).alias(f"e{j}") for j in range(d)]),
-            ],
-            d,
+        grad = cut(
+            received.groupBy("node").agg(
+                *[F.sum(F.col("a") * F.col(f"q{j}") + F.col("b") * F.col(f"h{j}")).alias(f"e{j}") for j in range(d)],
+                F.sum("loss").alias("loss"),
+            )
         )
+        self.losses.append(grad.agg(F.sum("loss")).first()[0])
         return cut(adam_step(state, grad, d, step, self.lr, self.weight_decay))
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):

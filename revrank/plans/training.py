@@ -7,8 +7,9 @@ lazy joins that end in one checkpoint; nothing but the loss comes back to the dr
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revrank.functions.hashing import draw
@@ -70,9 +71,18 @@ def gather(rows: DataFrame, emb: DataFrame, key: str, prefix: str, d: int, copy:
     return rows.join(sent, [key, copy])
 
 
-def sum_gradients(parts: list[DataFrame], d: int) -> DataFrame:
-    """Sum of (node, e0..) tables per node."""
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows.groupBy("node").agg(*[F.sum(c).alias(c) for c in names(d)])
+def sum_gradients(rows: DataFrame, roles: list[tuple[str, Callable[[int], Column]]], loss: Column, d: int) -> DataFrame:
+    """(node, e0.., loss): every row gives a vector to the node of each role, summed per node.
+
+    One pass over the rows; the sums start in the map tasks. The row's loss goes along with
+    its first role, so the total loss is one small sum over the result.
+    """
+    parts = [
+        F.struct(
+            F.col(node).alias("node"),
+            *[value(j).alias(f"e{j}") for j in range(d)],
+            (loss if n == 0 else F.lit(0.0)).alias("loss"),
+        )
+        for n, (node, value) in enumerate(roles)
+    ]
+    return rows.select(F.inline(F.array(*parts))).groupBy("node").agg(*[F.sum(c).alias(c) for c in [*names(d), "loss"]])
