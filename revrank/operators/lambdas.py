@@ -1,9 +1,9 @@
 """One round of pairwise lambda gradients (Burges 2010), without listing the pairs.
 
 A pair of rows of one user counts when the labels differ and the better-placed row is
-among the first ``truncation`` places. So each row only has to meet the first places of its
-user: a list of at most ``truncation`` entries that travels with the row. What a row
-adds to the listed rows is summed in the map tasks before any shuffle.
+among the first ``truncation`` places. So a row only has to meet the first places of its
+user: rows join at most ``truncation`` others, never all rows of the user. What they give
+each other is summed in the map tasks before any shuffle.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revrank.functions.scores import sigmoid
 from revrank.operators import positions
 from revrank.operators.positions import with_position
 
@@ -41,33 +40,41 @@ def lambda_gradients(
     """
     cap = positions.HOT_ROWS if hot_rows is None else hot_rows
     ranked = with_position(rows, ["user_idx"], [F.col("score").desc(), F.col(key)], "__rank", cap)
-    ranked = ranked.withColumn("__rank", F.col("__rank") + 1)
-    entry = F.struct("__rank", F.col(key).alias("key"), "label", "score")
+    ranked = ranked.withColumn("__rank", F.col("__rank") + 1).withColumn("__disc", _discount(F.col("__rank")))
+    # Users with one label only have no pairs; users without a positive have no ideal.
     tops = (
         ranked.filter(F.col("__rank") <= truncation)
-        .groupBy("user_idx")
-        .agg(F.sort_array(F.collect_list(entry)).alias("__tops"))
+        .join(ideal_dcg(rows, k).filter(F.col("ideal") > 0), "user_idx")
+        .select(
+            "user_idx", "ideal", F.col(key).alias("t_key"), F.col("label").alias("t_label"),
+            F.col("score").alias("t_score"), F.col("__rank").alias("t_rank"), F.col("__disc").alias("t_disc"),
+        )
     )
-    # Users with one label only have no pairs; ideal is then zero or no gap arises.
-    scored = ranked.join(tops, "user_idx").join(ideal_dcg(rows, k).filter(F.col("ideal") > 0), "user_idx")
     # Every unordered pair once: the row meets the listed rows placed before it.
-    met = scored.select(
-        key, "user_idx", "label", "score", "__rank", "ideal",
-        F.explode(F.filter("__tops", lambda t: (t["__rank"] < F.col("__rank")) & (t["label"] != F.col("label")))).alias("t"),
+    met = ranked.join(tops, "user_idx").filter(
+        (F.col("t_rank") < F.col("__rank")) & (F.col("t_label") != F.col("label"))
     )
-    gap = F.abs(_discount(F.col("__rank")) - _discount(F.col("t.__rank"))) / F.col("ideal")
-    own_is_high = F.col("label") > F.col("t.label")
-    margin = F.when(own_is_high, F.col("score") - F.col("t.score")).otherwise(F.col("t.score") - F.col("score"))
-    miss = sigmoid(-F.lit(float(sigma)) * margin)
-    push = F.lit(float(sigma)) * gap * miss
-    curve = F.lit(float(sigma) ** 2) * gap * miss * (1.0 - miss)
-    signed = F.when(own_is_high, push).otherwise(-push)
+    # One step per value that is used twice, so that nothing is worked out more than once.
+    gain = met.select(
+        "user_idx", key, "t_key",
+        (F.col("label") > F.col("t_label")).alias("high"),
+        (F.abs(F.col("__disc") - F.col("t_disc")) / F.col("ideal") * float(sigma)).alias("gap"),
+        ((F.col("score") - F.col("t_score")) * float(sigma)).alias("diff"),
+    )
+    margin = F.when(F.col("high"), F.col("diff")).otherwise(-F.col("diff"))
+    gain = gain.withColumn("miss", 1.0 / (1.0 + F.exp(margin))).withColumn("push", F.col("gap") * F.col("miss"))
+    met = gain.select(
+        "user_idx", key, "t_key",
+        F.when(F.col("high"), F.col("push")).otherwise(-F.col("push")).alias("signed"),
+        (F.col("push") * float(sigma) * (1.0 - F.col("miss"))).alias("curve"),
+    )
+    signed, curve = F.col("signed"), F.col("curve")
     both = met.select(
         "user_idx",
         F.inline(
             F.array(
                 F.struct(F.col(key).alias(key), signed.alias("l"), curve.alias("h")),
-                F.struct(F.col("t.key").alias(key), (-signed).alias("l"), curve.alias("h")),
+                F.struct(F.col("t_key").alias(key), (-signed).alias("l"), curve.alias("h")),
             )
         ),
     )

@@ -15,7 +15,7 @@ from revrank.operators.blocked import blocked_topk
 from revrank.operators.evaluate import accuracy
 from revrank.operators.joins import enrich_interactions
 from revrank.plans.base import Recommender, with_features
-from revrank.session import cut
+from revrank.session import cut, cut_wide
 
 TEXT, NUMBERS = "string", ("double", "float", "int", "bigint")
 
@@ -46,13 +46,18 @@ class _Additive(Recommender):
         rows = cut(enrich_interactions(base, users, items))
         scaled = [c for c in self.user_nums + self.item_nums if c in self._scaled()]
         self.scaler = features.fit_scaler(rows, scaled)
-        columns = self._columns(users.columns) + self._columns(items.columns)
-        self.names = [n for n, _ in columns]
         label = (F.col("relevance") > 0).cast("double").alias("label")
-        wide = rows.select(*self.keys, label, *[c.cast("double").alias(n) for n, c in columns])
-        return VectorAssembler(inputCols=self.names, outputCol="features").transform(wide).select(
-            *self.keys, "label", "features"
-        )
+        # Features are made on the two small tables; a log row only picks up two vectors.
+        made = rows.select(*self.keys, label)
+        self.names = []
+        for side, key in ((users, "user_idx"), (items, "item_idx")):
+            columns = self._columns(side.columns)
+            wide = side.select(key, *[c.cast("double").alias(f"f{n}") for n, (_, c) in enumerate(columns)])
+            packer = VectorAssembler(inputCols=[f"f{n}" for n in range(len(columns))], outputCol=f"__{key}")
+            made = made.join(cut(packer.transform(wide).select(key, f"__{key}")), key)
+            self.names += [name for name, _ in columns]
+        both = VectorAssembler(inputCols=["__user_idx", "__item_idx"], outputCol="features")
+        return both.transform(made).select(*self.keys, "label", "features")
 
     def _scaled(self) -> tuple[str, ...]:
         return ("price",)
@@ -114,7 +119,7 @@ class LogisticRecommender(_Additive):
         )
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut(self._design(log, user_features, item_features))
+        data = cut_wide(self._design(log, user_features, item_features))
         model = self._estimator(data.count()).fit(data)
         self.intercept = float(model.intercept)
         self.weights = dict(zip(self.names, (float(w) for w in model.coefficients)))
@@ -123,7 +128,7 @@ class LogisticRecommender(_Additive):
     def cross_validate(self, log, user_features, item_features) -> DataFrame:
         """(fold, accuracy) over stratified folds; the mean is an average away."""
         data = self._design(log, user_features, item_features)
-        data = cut(features.stratified_folds(data, "label", self.keys, self.cv, self.seed))
+        data = cut_wide(features.stratified_folds(data, "label", self.keys, self.cv, self.seed))
         n = data.count()
         parts = None
         for fold in range(self.cv):
@@ -153,7 +158,7 @@ class SVMRecommender(_Additive):
         return tuple(self.user_nums + self.item_nums)
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut(self._design(log, user_features, item_features))
+        data = cut_wide(self._design(log, user_features, item_features))
         model = LinearSVC(regParam=self.reg_param, maxIter=self.max_iter).fit(data)
         self.intercept = float(model.intercept)
         self.weights = dict(zip(self.names, (float(w) for w in model.coefficients)))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,15 +30,21 @@ from revrank.operators.joins import enrich_interactions
 from revrank.operators.lambdas import ideal_dcg, lambda_gradients
 from revrank.operators.ranking import top_k
 from revrank.plans.base import Recommender, with_features
-from revrank.session import cut
+from revrank.session import cut, cut_wide, store
 
-_LINE = re.compile(r"^( *)(If|Else|Predict:?)[ :]*(?:\(feature (\d+) (<=|>) ([-\d.eE]+)\)|([-\d.eE]+))")
+_LINE = re.compile(
+    r"^ *(?:(?:If|Else) \(feature (?P<feature>\d+) (?:<=|>) (?P<threshold>[-\d.eE]+)\)|Predict: (?P<value>[-\d.eE]+))"
+)
+
+# A node is (feature, threshold, node if <=, node if >), a leaf its value.
+Node = tuple | float
 
 
 @dataclass(frozen=True)
 class Tree:
-    """Leaves as boxes: low < x <= high per feature, and the value inside."""
+    """A fitted tree, also as boxes: leaf n holds low[n] < x <= high[n] and gives value[n]."""
 
+    root: Node
     low: np.ndarray
     high: np.ndarray
     value: np.ndarray
@@ -53,52 +60,54 @@ class Tree:
 
     def column(self, names: list[str]) -> Column:
         """The tree as one expression over feature columns."""
-        total = F.lit(float(self.value[-1]))
-        for leaf in range(len(self.value) - 2, -1, -1):
-            cond = F.lit(True)
-            for c, name in enumerate(names):
-                if np.isfinite(self.low[leaf, c]):
-                    cond = cond & (F.col(name) > float(self.low[leaf, c]))
-                if np.isfinite(self.high[leaf, c]):
-                    cond = cond & (F.col(name) <= float(self.high[leaf, c]))
-            total = F.when(cond, float(self.value[leaf])).otherwise(total)
-        return total
+
+        def build(node: Node) -> Column:
+            if isinstance(node, float):
+                return F.lit(node)
+            feature, threshold, low, high = node
+            return F.when(F.col(names[feature]) <= F.lit(threshold), build(low)).otherwise(build(high))
+
+        return build(self.root)
 
 
 def trees_of(model, n_features: int) -> list[Tree]:
-    """Boxes of a fitted tree model, read from its public description."""
-    trees: list[list[tuple[list[tuple[int, str, float]], float]]] = []
-    path: list[tuple[int, tuple[int, str, float]]] = []
+    """The trees of a fitted model, read from its public description."""
+    blocks: list[list[re.Match]] = [[]]
     for line in model.toDebugString.splitlines():
-        if re.match(r"^ *Tree \d+", line) or not trees:
-            if re.match(r"^ *Tree \d+", line) or "numTrees" not in line:
-                trees.append([])
-                path = []
-            if not _LINE.match(line):
-                continue
         found = _LINE.match(line)
-        if not found:
-            continue
-        depth, word = len(found[1]), found[2]
-        path = [p for p in path if p[0] < depth]
-        if word.startswith("Predict"):
-            trees[-1].append(([c for _, c in path], float(found[6])))
-        else:
-            path.append((depth, (int(found[3]), found[4], float(found[5]))))
-    out = []
-    for leaves in trees:
-        if not leaves:
-            continue
-        low = np.full((len(leaves), n_features), -np.inf)
-        high = np.full((len(leaves), n_features), np.inf)
-        for n, (conds, _) in enumerate(leaves):
-            for f, op, t in conds:
-                if op == "<=":
-                    high[n, f] = min(high[n, f], t)
-                else:
-                    low[n, f] = max(low[n, f], t)
-        out.append(Tree(low, high, np.array([v for _, v in leaves])))
-    return out
+        if found:
+            blocks[-1].append(found)
+        elif re.match(r"^ *Tree \d+", line):
+            blocks.append([])
+    return [_tree(_node(iter(lines)), n_features) for lines in blocks if lines]
+
+
+def _node(lines: Iterator[re.Match]) -> Node:
+    line = next(lines)
+    if line["value"] is not None:
+        return float(line["value"])
+    low = _node(lines)
+    next(lines)  # the matching "Else"
+    return int(line["feature"]), float(line["threshold"]), low, _node(lines)
+
+
+def _tree(root: Node, n_features: int) -> Tree:
+    boxes: list[tuple[np.ndarray, np.ndarray, float]] = []
+
+    def walk(node: Node, low: np.ndarray, high: np.ndarray) -> None:
+        if isinstance(node, float):
+            boxes.append((low, high, node))
+            return
+        feature, threshold, left, right = node
+        below, above = high.copy(), low.copy()
+        below[feature] = min(below[feature], threshold)
+        above[feature] = max(above[feature], threshold)
+        walk(left, low, below)
+        walk(right, above, high)
+
+    walk(root, np.full(n_features, -np.inf), np.full(n_features, np.inf))
+    lows, highs, values = zip(*boxes)
+    return Tree(root, np.array(lows), np.array(highs), np.array(values))
 
 
 def block_scorer(trees: list[Tree], user_cols: list[int], item_cols: list[int], scale: float, power: float):
@@ -159,14 +168,13 @@ class RandomForestRecommender(_TreeModel):
         time = ["timestamp"] if "timestamp" in log.columns else []
         rows = log.select("user_idx", "item_idx", *time, (F.col("relevance") > 0).cast("int").alias("label"))
         kept = cut(features.undersample_negatives(rows, "label", ["user_idx", "item_idx", *time], self.seed))
-        wide = enrich_interactions(
-            kept, one.select("user_idx", *self.user_cols), two.select("item_idx", *self.item_cols)
-        )
-        weighted = wide.join(features.class_weights(kept), "label")
-        names = self.user_cols + self.item_cols
-        return VectorAssembler(inputCols=names, outputCol="features").transform(weighted).select(
-            F.col("label").cast("double").alias("label"), "weight", "features"
-        )
+        # Features are packed on the two small tables; a log row only picks up two vectors.
+        made = kept.join(features.class_weights(kept), "label")
+        for side, key, names in ((one, "user_idx", self.user_cols), (two, "item_idx", self.item_cols)):
+            packer = VectorAssembler(inputCols=names, outputCol=f"__{key}")
+            made = made.join(packer.transform(side).select(key, f"__{key}"), key)
+        both = VectorAssembler(inputCols=["__user_idx", "__item_idx"], outputCol="features")
+        return both.transform(made).select(F.col("label").cast("double").alias("label"), "weight", "features")
 
     def _forest(self) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -194,7 +202,7 @@ class RandomForestRecommender(_TreeModel):
         return search, settings
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut(self.training_rows(log, user_features, item_features))
+        data = cut_wide(self.training_rows(log, user_features, item_features))
         if self.tune_hyper:
             search, _ = self.grid_search(data)
             model = search.bestModel
@@ -275,21 +283,22 @@ class LambdaRankRecommender(_TreeModel):
         rows = log.select("user_idx", "item_idx", (F.col("relevance") > 0).cast("int").alias("label"))
         wide = rows.join(one, "user_idx").join(two, "item_idx")
         # The id is fixed by the write; it only has to be unique.
-        return cut(wide.withColumn("row_id", F.monotonically_increasing_id()).drop("item_idx"))
+        return store(wide.drop("item_idx").withColumn("row_id", F.monotonically_increasing_id()))
 
     def _boost(self, rows: DataFrame, price_pow: float, learning_rate: float) -> list[Tree]:
         names = self.user_cols + self.item_cols
         held = keep_share(self.holdout, "user_idx", F.lit(self.seed))
         train = rows.filter(~held)
-        valid = cut(rows.filter(held))
+        valid = rows.filter(held)
         assembler = VectorAssembler(inputCols=names, outputCol="features")
         base = train.withColumn("__base", F.lit(0.0))
         trees: list[Tree] = []
         pending: list[Tree] = []
         best, best_at = -1.0, 0
         for done in range(1, self.num_boost_round + 1):
-            scored = base.withColumn("score", _sum_trees(F.col("__base"), pending, names, learning_rate))
-            lambdas = lambda_gradients(scored.select("row_id", "user_idx", "label", "score"), "row_id")
+            score = _sum_trees(F.col("__base"), pending, names, learning_rate).alias("score")
+            scored = cut(base.select("row_id", "user_idx", "label", score))
+            lambdas = lambda_gradients(scored, "row_id")
             steps = lambdas.filter(F.col("hessian") > 1e-12).select(
                 "row_id", (F.col("lambda") / F.col("hessian")).alias("step"), "hessian"
             )
@@ -307,7 +316,7 @@ class LambdaRankRecommender(_TreeModel):
             pending += tree
             if len(pending) >= self.ROUNDS_PER_CUT:
                 # Fold the trees so far into a stored score, so the expression stays short.
-                base = cut(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
+                base = store(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
                 pending = []
             if done >= self.early_stopping_rounds and self.early_stopping_rounds < self.num_boost_round:
                 now = self.ndcg(valid, trees, names, learning_rate)

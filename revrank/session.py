@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,24 @@ def cut(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_wide(df: DataFrame) -> DataFrame:
+    """``cut`` into at least one partition per core, for work that is heavy per row.
+
+    Adaptive execution sizes partitions by bytes; model fitting needs them by cores.
+    """
+    sc = df.sparkSession.sparkContext
+    parts = max(sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return cut(df.repartition(parts))
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Like ``cut_wide`` for tables with many columns: written as Parquet, so that later
+    steps read only the columns they use."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartition(parts).write.parquet(path)
+    return spark.read.parquet(path)
