@@ -30,7 +30,7 @@ from revrank.operators.joins import enrich_interactions
 from revrank.operators.lambdas import ideal_dcg, lambda_gradients
 from revrank.operators.ranking import top_k
 from revrank.plans.base import Recommender, with_features
-from revrank.session import cut, cut_wide, store
+from revrank.session import cut, cut_wide
 
 _LINE = re.compile(
     r"^ *(?:(?:If|Else) \(feature (?P<feature>\d+) (?:<=|>) (?P<threshold>[-\d.eE]+)\)|Predict: (?P<value>[-\d.eE]+))"
@@ -283,7 +283,7 @@ class LambdaRankRecommender(_TreeModel):
         rows = log.select("user_idx", "item_idx", (F.col("relevance") > 0).cast("int").alias("label"))
         wide = rows.join(one, "user_idx").join(two, "item_idx")
         # The id is fixed by the write; it only has to be unique.
-        return store(wide.drop("item_idx").withColumn("row_id", F.monotonically_increasing_id()))
+        return cut_wide(wide.drop("item_idx").withColumn("row_id", F.monotonically_increasing_id()))
 
     def _boost(self, rows: DataFrame, price_pow: float, learning_rate: float) -> list[Tree]:
         names = self.user_cols + self.item_cols
@@ -316,7 +316,7 @@ class LambdaRankRecommender(_TreeModel):
             pending += tree
             if len(pending) >= self.ROUNDS_PER_CUT:
                 # Fold the trees so far into a stored score, so the expression stays short.
-                base = store(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
+                base = cut_wide(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
                 pending = []
             if done >= self.early_stopping_rounds and self.early_stopping_rounds < self.num_boost_round:
                 now = self.ndcg(valid, trees, names, learning_rate)

@@ -37,14 +37,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def _cores(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and forget its lineage.
+    """Write ``df`` to the checkpoint folder, forget its lineage, read it back.
 
-    The files outlive the executors, so a lost executor costs a re-read, not a
-    re-run of everything before.
+    The files outlive the executors, so a lost executor costs a re-read, not a re-run of
+    everything before. A written table is taken instead of ``checkpoint()`` because it has
+    its true size: a checkpoint keeps the estimate of the plan before it, and estimates
+    multiply at every join, so after a few epochs they are numbers too long to compute with.
+    Readers also get only the columns they use.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_wide(df: DataFrame) -> DataFrame:
@@ -52,17 +62,4 @@ def cut_wide(df: DataFrame) -> DataFrame:
 
     Adaptive execution sizes partitions by bytes; model fitting needs them by cores.
     """
-    sc = df.sparkSession.sparkContext
-    parts = max(sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return cut(df.repartition(parts))
-
-
-def store(df: DataFrame) -> DataFrame:
-    """Like ``cut_wide`` for tables with many columns: written as Parquet, so that later
-    steps read only the columns they use."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    df.repartition(parts).write.parquet(path)
-    return spark.read.parquet(path)
+    return cut(df.repartition(_cores(df.sparkSession)))
