@@ -21,8 +21,8 @@ def last_n_history(log: DataFrame, n: int, order: list[str]) -> DataFrame:
 def user_sequences(log: DataFrame, order: list[str], max_len: int = MAX_SEQ_LEN) -> DataFrame:
     """Items in time order, the newest ``max_len`` of each user."""
     kept = last_n_history(log, max_len, order)
-    ordered = F.sort_array(F.collect_list(F.struct(*order, "item_idx")))
-    return kept.groupBy("user_idx").agg(F.transform(ordered, lambda r: r["item_idx"]).alias("items"))
+    ordered = F.sort_array(F.collect_list(F.struct(*order, F.col("item_idx").alias("__item"))))
+    return kept.groupBy("user_idx").agg(F.transform(ordered, lambda r: r["__item"]).alias("items"))
 
 
 def current_context(log: DataFrame, size: int, order: list[str]) -> DataFrame:
@@ -32,9 +32,10 @@ def current_context(log: DataFrame, size: int, order: list[str]) -> DataFrame:
 
 def context_rows(log: DataFrame, size: int, order: list[str], max_len: int = MAX_SEQ_LEN) -> DataFrame:
     """(user, prev, item): each kept row with the up to ``size`` items before it."""
-    kept = last_n_history(log.select("user_idx", "item_idx", *order), max_len, order)
+    columns = list(dict.fromkeys(["user_idx", "item_idx", *order]))
+    kept = last_n_history(log.select(*columns), max_len, order)
     window = Window.partitionBy("user_idx").orderBy(*order).rowsBetween(-size, -1)
-    return kept.select("user_idx", "item_idx", *order, F.collect_list("item_idx").over(window).alias("prev"))
+    return kept.select(*columns, F.collect_list("item_idx").over(window).alias("prev"))
 
 
 def ngram_windows(log: DataFrame, n: int, order: list[str], max_len: int = MAX_SEQ_LEN) -> DataFrame:
