@@ -104,8 +104,3 @@ def _cosine_above(threshold: float):
         return s
 
     return score
-
-
-def liked_vectors(items: DataFrame, columns: list[str]) -> DataFrame:
-    """Items with their attribute columns as one ``vector``."""
-    return items.select("item_idx", F.array(*[F.col(c).cast("double") for c in columns]).alias("vector"))

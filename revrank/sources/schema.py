@@ -68,10 +68,6 @@ def write_recommendations(recs: DataFrame, path: str, mode: str = "errorifexists
     as_recommendations(recs).write.mode(mode).parquet(path)
 
 
-def price_columns(items: DataFrame) -> bool:
-    return "price" in items.columns
-
-
 def attribute_columns(df: DataFrame, prefix: str) -> list[str]:
     """Names of ``user_attr_*`` / ``item_attr_*`` columns, in table order."""
     return [c for c in df.columns if c.startswith(prefix)]
