@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
 from revrank.llm.common import table
 from revrank.llm.mixing import mix_sources
 from revrank.llm.registry import query
+from revrank.llm.sentencepiece_bpe import encoding_digests
+from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
+
+URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
+
+
+@query("op1_url_filter")
+def op1_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = judge_urls(pages, URL_RULES, train_url_filter(labelled_urls(spark)))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
 
 OP8_SQL = r"""
 WITH docs AS (
@@ -44,3 +56,8 @@ FROM placed
 def op8_mix_sources(spark, sf_dir):
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_sentencepiece")
+def op9_sentencepiece(spark, sf_dir):
+    return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
