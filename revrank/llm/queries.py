@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from revrank.llm.common import table
+from revrank.llm.language_id import held_out, identify, train_filters
 from revrank.llm.mixing import mix_sources
 from revrank.llm.registry import query
 from revrank.llm.sentencepiece_bpe import encoding_digests
@@ -58,6 +59,13 @@ def op8_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_language_id")
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    filters = train_filters(docs.filter(~held_out()))
+    return identify(docs, filters).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "evidence")
+
+
 @query("op9_sentencepiece")
 def op9_sentencepiece(spark, sf_dir):
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
