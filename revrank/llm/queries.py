@@ -7,6 +7,7 @@ import public_tokenizers
 from revrank.llm.common import table
 from revrank.llm.language_id import held_out, identify, train_filters
 from revrank.llm.mixing import mix_sources
+from revrank.llm.near_dedup import near_duplicates
 from revrank.llm.registry import query
 from revrank.llm.sentencepiece_bpe import encoding_digests
 from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
@@ -52,6 +53,35 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP7_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+numbered AS (SELECT doc_id, s, count(*) OVER (PARTITION BY s) AS docs FROM shingles),
+-- Two sets that are 0.8 alike share one of the rarest floor(n / 5) + 1 shingles of either.
+rare AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY docs, s) AS r FROM numbered)
+  JOIN sizes USING (doc_id) WHERE r <= n // 5 + 1),
+pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM rare a JOIN rare b ON a.s = b.s AND a.doc_id < b.doc_id),
+links AS (
+  SELECT p.a, p.b FROM pairs p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+  JOIN shingles f ON f.doc_id = p.a JOIN shingles g ON g.doc_id = p.b AND g.s = f.s
+  GROUP BY p.a, p.b, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN both_ways l ON l.a = r.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id, d.doc_id = least_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS least_id FROM reached GROUP BY a) USING (doc_id)
+"""
+
 
 @query("op8_mix_sources", OP8_SQL)
 def op8_mix_sources(spark, sf_dir):
@@ -66,6 +96,12 @@ def op4_language_id(spark, sf_dir):
     return identify(docs, filters).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "evidence")
 
 
+@query("op7_near_duplicates", OP7_SQL)
+def op7_near_duplicates(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op9_sentencepiece")
 def op9_sentencepiece(spark, sf_dir):
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
