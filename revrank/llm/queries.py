@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from revrank.llm.common import table
 from revrank.llm.language_id import held_out, identify, train_filters
 from revrank.llm.mixing import mix_sources
 from revrank.llm.near_dedup import near_duplicates
+from revrank.llm.pii import scan_pii, span_text
 from revrank.llm.registry import query
 from revrank.llm.sentencepiece_bpe import encoding_digests
 from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
@@ -96,6 +98,16 @@ def op4_language_id(spark, sf_dir):
     return identify(docs, filters).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "evidence")
 
 
+@query("op6_pii")
+def op6_pii(spark, sf_dir):
+    found = scan_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(F.array_sort(F.concat("base", "terms"))).alias("spans"),
+    )
+
+
 @query("op7_near_duplicates", OP7_SQL)
 def op7_near_duplicates(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=2)
