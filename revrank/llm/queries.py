@@ -9,6 +9,7 @@ from revrank.llm.common import table
 from revrank.llm.language_id import held_out, identify, train_filters
 from revrank.llm.mixing import mix_sources
 from revrank.llm.near_dedup import near_duplicates
+from revrank.llm.order_minhash import fingerprints
 from revrank.llm.pii import scan_pii, span_text
 from revrank.llm.registry import query
 from revrank.llm.sentencepiece_bpe import encoding_digests
@@ -117,3 +118,8 @@ def op7_near_duplicates(spark, sf_dir):
 @query("op9_sentencepiece")
 def op9_sentencepiece(spark, sf_dir):
     return encoding_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op10_fingerprints")
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints(table(spark, sf_dir, "documents"))
