@@ -7,6 +7,8 @@ hashed as a pair. Two texts agree in a bin if they share both k-mers in the same
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -120,11 +122,12 @@ def _id_ranges(docs: DataFrame) -> Column:
     return F.when(F.col("doc_id").isNull() | (group == 0), 0).otherwise((group - 1) * step + inside)
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``docs`` with ``next_<column>``: the values of the next row by doc_id, after the last the first.
 
     Rows are shuffled once, by id range. The first row of every range also goes to the end of
     the range before it, so that windows over single ranges find each row's next one.
+    ``prepare`` adds columns to all of them before that shuffle.
     """
     ranged = docs.withColumn("__range", _id_ranges(docs))
     first = ranged.groupBy("__range").agg(F.min(F.struct("doc_id")).alias("f"))
@@ -133,6 +136,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     moved = first.select(F.col("f.doc_id").alias("__first"), before.alias("__to"))
     guests = ranged.join(F.broadcast(moved), F.col("doc_id").eqNullSafe(F.col("__first"))).withColumn("__range", F.col("__to"))
     rows = ranged.withColumn("__guest", F.lit(0)).unionByName(guests.drop("__first", "__to").withColumn("__guest", F.lit(1)))
+    rows = prepare(rows)
     order = Window.partitionBy("__range").orderBy("__guest", "doc_id", "__tie")
     for c in columns:
         rows = rows.withColumn(f"next_{c}", F.lead(c).over(order))
@@ -150,8 +154,8 @@ def fingerprints(docs: DataFrame, k: int = 3) -> DataFrame:
     at. Texts are read whole; order among k-mers past place 2^26 of a text is not told apart.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    own = with_fingerprint(own.withColumn("__tie", F.xxhash64("text")), "text", "print", k)
-    rows = with_next(own, ["text", "print"])
+    own = own.withColumn("__tie", F.xxhash64("text"))
+    rows = with_next(own, ["text", "print"], lambda r: with_fingerprint(r, "text", "print", k))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))

@@ -13,6 +13,7 @@ from revrank.llm.order_minhash import fingerprints
 from revrank.llm.pii import scan_pii, span_text
 from revrank.llm.registry import query
 from revrank.llm.sentencepiece_bpe import encoding_digests
+from revrank.llm.topk_search import top_k
 from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
 
 URL_RULES = ["allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/"]
@@ -56,6 +57,18 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP5_SQL = r"""
+WITH parts AS (
+  SELECT vec_id, len(embedding) AS n, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+usable AS (SELECT vec_id FROM parts GROUP BY vec_id, n HAVING count(CASE WHEN isfinite(v) THEN 1 END) = n),
+x AS (SELECT vec_id, i, floor(v * 256)::BIGINT AS v FROM parts SEMI JOIN usable USING (vec_id)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.v * c.v)::BIGINT AS score
+  FROM x q JOIN x c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, r::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores) WHERE r <= 5
+"""
+
 OP7_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
@@ -99,6 +112,11 @@ def op4_language_id(spark, sf_dir):
     return identify(docs, filters).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "evidence")
 
 
+@query("op5_topk_search", OP5_SQL)
+def op5_topk_search(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_pii")
 def op6_pii(spark, sf_dir):
     found = scan_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
