@@ -23,6 +23,12 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "revrank") -
     )
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder for written tables."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's ``spark.checkpoint.dir``; invent a folder only in local mode."""
     sc = spark.sparkContext
