@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -141,3 +142,8 @@ def op9_sentencepiece(spark, sf_dir):
 @query("op10_fingerprints")
 def op10_fingerprints(spark, sf_dir):
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
