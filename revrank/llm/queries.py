@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from revrank.llm.common import table
 from revrank.llm.language_id import held_out, identify, train_filters
+from revrank.llm.license_scan import labelled_paragraphs, scan_licenses, train_license_model
 from revrank.llm.mixing import mix_sources
 from revrank.llm.near_dedup import near_duplicates
 from revrank.llm.order_minhash import fingerprints
 from revrank.llm.pii import scan_pii, span_text
 from revrank.llm.registry import query
+from revrank.llm.secret_scan import labelled_findings, scan_secrets, train_secret_forest
 from revrank.llm.sentencepiece_bpe import encoding_digests
 from revrank.llm.topk_search import top_k
 from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
@@ -106,6 +108,17 @@ def op8_mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_license_scan")
+def op2_license_scan(spark, sf_dir):
+    model = train_license_model(labelled_paragraphs(spark))
+    return scan_licenses(table(spark, sf_dir, "documents"), model)
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"), train_secret_forest(labelled_findings(spark)))
+
+
 @query("op4_language_id")
 def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
