@@ -21,16 +21,18 @@ from revrank.session import cut
 
 SAMPLES = 240
 BAND_ROWS = 6
-SKETCH_BITS = 512
+# The odd sketches of classes that share a bucket: samples folded into so many bits.
+SKETCH_SAMPLES = 2048
+SKETCH_BITS = 4096
 # 4.5 standard deviations of the estimate at a similarity of 0.8.
-MARGIN = 0.13
+MARGIN = 0.05
 CHUNK = 1 << 20
 
 _rng = np.random.default_rng(20240607)
 _BYTES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
-_A = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
-_PLACE = _rng.integers(0, 1 << 64, SAMPLES, dtype=np.uint64) | np.uint64(1)
+_BANDS = [_rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) for _ in range(2)]
+_ODD = [_rng.integers(0, 1 << 32, SKETCH_SAMPLES, dtype=np.uint32) for _ in range(2)]
+_PLACE = _rng.integers(0, 1 << 64, SKETCH_SAMPLES, dtype=np.uint64) | np.uint64(1)
 _BAND = _rng.integers(0, 1 << 64, (SAMPLES // BAND_ROWS, BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
@@ -91,11 +93,13 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(found)
 
 
-def min_hashes(shingles: np.ndarray) -> np.ndarray:
+def min_hashes(shingles: np.ndarray, functions: list[np.ndarray]) -> np.ndarray:
+    factor, shift = functions[0] | np.uint32(1), functions[1]
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
-    for start in range(0, len(short), 256):
-        least = np.minimum(least, (short[start : start + 256, None] * _A + _B).min(axis=0))
+    least = np.full(len(shift), 0xFFFFFFFF, np.uint32)
+    step = (1 << 16) // len(shift)
+    for start in range(0, len(short), step):
+        least = np.minimum(least, (short[start : start + step, None] * factor + shift).min(axis=0))
     return least
 
 
@@ -110,48 +114,48 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, two digests of the set, band keys, odd sketch."""
+    """Per row: doc_id, text_hash, n_shingles, two digests of the set, band keys."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, bands, odd = [], [], [], [], []
+            n, one, two, bands = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, words)
                 n.append(len(s))
                 one.append(int(_mix(s * _STEP).sum(dtype=np.uint64).astype(np.int64)) if len(s) else 0)
                 two.append(int(np.bitwise_xor.reduce(_mix(s + _STEP)).astype(np.int64)) if len(s) else 0)
-                if len(s):
-                    least = min_hashes(s)
-                    bands.append(band_keys(least))
-                    odd.append(odd_sketch(least))
-                else:
-                    bands.append(None)
-                    odd.append(None)
-            longs = pa.list_(pa.int64())
+                bands.append(band_keys(min_hashes(s, _BANDS)) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.array(bands, longs), pa.array(odd, longs)],
-                names=["doc_id", "text_hash", "n_shingles", "one", "two", "bands", "odd"],
+                 pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "n_shingles", "one", "two", "bands"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return rows.mapInArrow(
         run,
-        f"doc_id {kind}, text_hash bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>, odd array<bigint>",
+        f"doc_id {kind}, text_hash bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>",
     )
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles) for confirming."""
+    """(rep, n_shingles, shingles, odd): full sets for confirming, odd sketches for sifting."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for batch in batches:
-            sets = [shingle_set(t, words).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            odd = [odd_sketch(min_hashes(s, _ODD)) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), pa.array(odd, longs)],
+                names=["rep", "n_shingles", "shingles", "odd"],
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"rep {kind}, n_shingles bigint, shingles array<bigint>, odd array<bigint>"
+    )
 
 
 def flipped(a: str, b: str) -> Column:
@@ -162,7 +166,7 @@ def flipped(a: str, b: str) -> Column:
 def most_flips(similarity: float) -> int:
     """Largest XOR count whose estimate 1 + n / (4k) ln(1 - 2x / n) is within the margin."""
     n = SKETCH_BITS
-    return int(n / 2 * (1 - np.exp((similarity - MARGIN - 1) * 4 * SAMPLES / n)))
+    return int(n / 2 * (1 - np.exp((similarity - MARGIN - 1) * 4 * SKETCH_SAMPLES / n)))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -189,8 +193,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose exact sets are at least ``similarity`` alike (in hundredths)."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
     joined = pairs.join(left, "a").join(right, "b")
@@ -219,7 +223,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     # A repeated id with two texts represents the class whose digest it is, so join on both.
     reps = cut(
         useful.join(classes, digest).filter(F.col("doc_id") == F.col("rep"))
-        .dropDuplicates(["doc_id", *digest]).select("rep", "n_shingles", "bands", "odd")
+        .dropDuplicates(["doc_id", *digest]).select("rep", "bands")
     )
     members = reps.select("rep", F.explode("bands").alias("key"))
     order = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
@@ -230,43 +234,64 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     # Only classes that share a bucket go on.
     shared = cut(members.join(buckets, "key"))
     meeting = shared.select("rep").distinct()
-    known = cut(reps.join(meeting, "rep").select("rep", "n_shingles", "odd"))
-    wanted = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(
-        useful.join(meeting, F.col("doc_id") == F.col("rep")).select("doc_id", "text_hash").distinct(), ["doc_id", "text_hash"]
-    ).dropDuplicates(["doc_id"]).transform(lambda d: shingle_sets(d, words)))
+    chosen = useful.join(meeting, F.col("doc_id") == F.col("rep")).select("doc_id", "text_hash").distinct()
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(chosen, ["doc_id", "text_hash"])
+    sets = cut(shingle_sets(texts.dropDuplicates(["doc_id"]), words))
 
     limit = most_flips(similarity)
-    in_reach = (F.col("na") * 100 >= F.col("nb") * round(similarity * 100)) & (F.col("nb") * 100 >= F.col("na") * round(similarity * 100))
+    least = round(similarity * 100)
+    in_reach = (F.col("na") * 100 >= F.col("nb") * least) & (F.col("nb") * 100 >= F.col("na") * least)
 
     def side(name: str) -> DataFrame:
-        return known.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("odd").alias(f"o{name}"))
-
-    pairs = shared.filter(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    sifted = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("flips", flipped("oa", "ob"))
-    sifted = sifted.filter(in_reach & (F.col("flips") <= limit)).select("a", F.struct("flips", "b").alias("p"))
-    # At most one pivot per band comes together here.
-    nearest = sifted.groupBy("a").agg(F.slice(F.array_sort(F.collect_list("p")), 1, best).alias("best"))
-    first = nearest.select("a", F.explode("best.b").alias("b"))
-    links = cut(confirmed(cut(first), wanted, similarity))
+        return sets.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("odd").alias(f"o{name}"))
+
+    def nearest(pairs: DataFrame) -> DataFrame:
+        """For every a the ``best`` of its pairs by sketch, confirmed. An a has a few pivots per band."""
+        sifted = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("flips", flipped("oa", "ob"))
+        sifted = sifted.filter(in_reach & (F.col("flips") <= limit)).select("a", F.struct("flips", "b").alias("p"))
+        top = sifted.groupBy("a").agg(F.slice(F.array_sort(F.collect_list("p")), 1, best).alias("best"))
+        return cut(confirmed(cut(top.select("a", F.explode("best.b").alias("b"))), sets, similarity))
+
+    def apart(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows (key, rep, component, largest) of buckets that hold several components; rows outside the largest."""
+        named = shared.select("key", "rep").join(labels, F.col("rep") == F.col("doc_id"), "left")
+        named = cut(named.select("key", "rep", F.coalesce("component", "rep").alias("component")))
+        parts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
+        split = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
+        split = cut(split.filter(F.col("parts") > 1).select("key", F.col("top.component").alias("largest")))
+        rows = cut(named.join(split, "key"))
+        return rows, rows.filter(F.col("component") != F.col("largest"))
+
+    pairs = shared.filter(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    links = nearest(cut(pairs.distinct()))
     labels = components(links)
 
-    # Where a bucket still holds several components, compare across them.
-    named = shared.select("key", "rep").join(labels, F.col("rep") == F.col("doc_id"), "left")
-    named = cut(named.select("key", "rep", F.coalesce("component", "rep").alias("component")))
-    parts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    split = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    split = cut(split.filter(F.col("parts") > 1).select("key", F.col("top.component").alias("largest")))
-    apart = cut(named.join(split, "key").join(side("rep").withColumnRenamed("nrep", "n").withColumnRenamed("orep", "o"), "rep"))
-    small = apart.filter(F.col("component") != F.col("largest"))
-    left = small.select("key", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("o").alias("oa"))
-    right = apart.select(
-        "key", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("o").alias("ob"),
-        (F.col("component") == F.col("largest")).alias("big"),
+    # Who is left outside of a bucket's largest component meets more pivots from inside it.
+    rows_apart, outside = apart(labels)
+    pivots = rows_apart.filter(F.col("component") == F.col("largest")).groupBy("key").agg(
+        F.array(*[F.min(F.struct(F.xxhash64("rep", "key", F.lit(i)), F.col("rep"))) for i in range(4)]).alias("p")
     )
-    across = left.join(right, "key").filter(
+    pivots = cut(pivots.select("key", F.explode(F.array_distinct("p.rep")).alias("b")))
+    again = cut(outside.select("key", F.col("rep").alias("a")).join(pivots, "key").select("a", "b").distinct())
+    links = cut(links.union(nearest(again)))
+    labels = components(links)
+
+    # Who is left now is compared with all others of its buckets, through the sketches.
+    rows_apart, outside = apart(labels)
+    def banded(name: str) -> DataFrame:
+        return side(name).join(reps.select(F.col("rep").alias(name), F.col("bands").alias(f"k{name}")), name)
+
+    left = outside.select("key", F.col("component").alias("ca"), F.col("rep").alias("a")).join(banded("a"), "a")
+    right = rows_apart.select(
+        "key", F.col("component").alias("cb"), F.col("rep").alias("b"), (F.col("component") == F.col("largest")).alias("big")
+    ).join(banded("b"), "b")
+    # A pair comes out of the first bucket it shares only.
+    first_shared = F.element_at("ka", F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True).cast("int"))
+    across = cut(left).join(cut(right), "key").filter(
         (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & in_reach & (flipped("oa", "ob") <= limit)
+        & (first_shared == F.col("key"))
     )
-    more = confirmed(cut(across.select("a", "b").distinct()), wanted, similarity)
+    more = confirmed(cut(across.select("a", "b")), sets, similarity)
     all_links = cut(links.union(more))
     labels = components(all_links)
 
