@@ -109,10 +109,17 @@ class LanguageFilters:
 
 
 def training_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, text): for each language the ``per_language`` documents of smallest id digest."""
+    """(lang, text): for each language the ``per_language`` documents of smallest id digest.
+
+    Counts per language come first: only digests that can be among the smallest (a share of
+    twice the wanted number) meet in the ranking, so it is as small for a language of any size.
+    """
     keyed = docs.filter(F.col("lang").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id", F.lit(7)).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = keyed.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language)
+    sizes = cut(keyed.groupBy("lang").agg(F.count("*").alias("n")))
+    share = F.shiftrightunsigned("h", 11) / float(1 << 53)
+    few = keyed.join(sizes, "lang").filter(share * F.col("n") <= 2 * per_language + 100)
+    first = Window.partitionBy("lang").orderBy(share, "doc_id")
+    chosen = few.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language)
     chosen = cut(chosen.select("doc_id", "lang").distinct())
     return docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select("lang", "text")
 
