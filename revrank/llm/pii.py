@@ -202,15 +202,21 @@ def revealing_terms(
     pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("c")).groupBy("entity", "term").agg(
         F.sum("c").alias("both"), F.count("*").alias("contexts")
     )
-    pairs = cut(pairs.filter(F.col("contexts") >= least_contexts))
-    places = cut(term_places(docs, pairs.select("term").distinct()))
-    terms = places.groupBy("term").agg(F.count("*").alias("t_docs"))
     n = float(max(1, found.count()))
     information = -F.log(F.col("e_docs") / n)
-    mutual = F.log(F.col("both") * n / (F.col("t_docs") * F.col("e_docs")))
-    scored = pairs.join(entities, "entity").join(terms, "term").withColumn(
-        "disclosure", F.when(information > 0, F.least(F.lit(1.0), mutual / information)).otherwise(0.0)
-    )
+
+    def disclosure(t_docs: str):
+        mutual = F.log(F.col("both") * n / (F.col(t_docs) * F.col("e_docs")))
+        return F.when(information > 0, F.least(F.lit(1.0), mutual / information)).otherwise(0.0)
+
+    # A term occurs at least in the documents where it is near some entity: that bounds its
+    # disclosure from above and rules common words out before their places are looked for.
+    near_docs = found.select(F.explode(F.array_distinct("near.term")).alias("term")).groupBy("term").agg(F.count("*").alias("n_docs"))
+    known = pairs.filter(F.col("contexts") >= least_contexts).join(entities, "entity").join(near_docs, "term")
+    pairs = cut(known.filter(disclosure("n_docs") >= generalise_at).select("entity", "term", "both", "e_docs"))
+    places = cut(term_places(docs, pairs.select("term").distinct()))
+    terms = places.groupBy("term").agg(F.count("*").alias("t_docs"))
+    scored = pairs.join(terms, "term").withColumn("disclosure", disclosure("t_docs"))
     flagged = scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
     return cut(flagged.withColumn("removed", F.col("disclosure") >= remove_at)), places
 
