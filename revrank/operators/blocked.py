@@ -1,11 +1,12 @@
-"""Exact top-k over all user-item pairs without building the pairs.
-
-Users and items are packed into blocks of rows by a hash of the id. One row of the
-plan is one (user block, item block); a task multiplies the two small matrices,
-masks what was seen and passes on only the best k items of each user in that
-block. A second top-k over the blocks gives the answer. Nothing is collected to
-the driver; an item table whose size was measured to be small is broadcast,
-a larger one is shuffled by (item block, user-block share).
+"""Exact top-k over all user-item pairs without a row per pair.
+
+Users and items are packed into blocks of rows by a hash of the id. A task holds the
+matrix of one user block and lets item blocks pass by: it multiplies, masks what was seen and
+keeps the best k items of each user so far, so k rows per user leave it. Where user blocks are
+fewer than cores, each is dealt out over slices of the item blocks. User vectors are shuffled
+once (per slice), as rows; an item table whose size was measured to be small is broadcast, a
+larger one shuffled once per group of user blocks. All users x items scores are computed:
+that is what the operator means. Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -31,20 +32,6 @@ def dot_scores(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     return u @ i.T
 
 
-def _pack(df: DataFrame, id_col: str, vec: str, block: str, n_blocks: int, ids: str, mat: str) -> DataFrame:
-    rows = F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(vec).alias("v")))
-    return (
-        df.withColumn(block, F.pmod(F.xxhash64(id_col), F.lit(n_blocks)).cast("int"))
-        .groupBy(block)
-        .agg(F.sort_array(rows).alias("__rows"))
-        .select(
-            block,
-            F.transform("__rows", lambda r: r["id"]).alias(ids),
-            F.flatten(F.transform("__rows", lambda r: r["v"])).alias(mat),
-        )
-    )
-
-
 def best_of_row(scores: np.ndarray, item_ids: np.ndarray, k: int) -> np.ndarray:
     """Column numbers of the k best finite scores, ties to the smaller item id.
 
@@ -59,45 +46,117 @@ def best_of_row(scores: np.ndarray, item_ids: np.ndarray, k: int) -> np.ndarray:
     return cols[np.argsort(-scores[cols], kind="stable")][:k]
 
 
+class _Best:
+    """The k best items so far of each user of one block."""
+
+    def __init__(self, key, uids: np.ndarray):
+        self.key, self.uids = key, uids
+        self.scores = np.zeros((len(uids), 0))
+        self.items = np.zeros((len(uids), 0), np.int64)
+
+    def add(self, scores: np.ndarray, iids: np.ndarray, k: int) -> None:
+        together = np.concatenate((self.scores, scores), axis=1)
+        ids = np.concatenate((self.items, np.broadcast_to(iids, scores.shape)), axis=1)
+        kept_scores = np.full((len(self.uids), k), -np.inf)
+        kept_items = np.full((len(self.uids), k), -1, np.int64)
+        for n in range(len(self.uids)):
+            order = np.argsort(ids[n], kind="stable")
+            picks = order[best_of_row(together[n][order], ids[n][order], k)] if self.scores.shape[1] else best_of_row(
+                scores[n], iids, k
+            )
+            kept_scores[n, : len(picks)], kept_items[n, : len(picks)] = together[n, picks], ids[n, picks]
+        self.scores, self.items = kept_scores, kept_items
+
+    def frame(self) -> pd.DataFrame:
+        rows, places = np.nonzero(np.isfinite(self.scores))
+        return pd.DataFrame(
+            {"user_idx": self.uids[rows], "item_idx": self.items[rows, places], "relevance": self.scores[rows, places]}
+        )
+
+
+def _matrix(ids, values) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.asarray(ids)
+    return ids, np.asarray(values, dtype=np.float64).reshape(len(ids), -1)
+
+
+def _mask(scores: np.ndarray, uids: np.ndarray, iids: np.ndarray, seen_u: np.ndarray, seen_i: np.ndarray) -> None:
+    at_u, at_i = np.searchsorted(uids, seen_u), np.searchsorted(iids, seen_i)
+    at_u[at_u == len(uids)], at_i[at_i == len(iids)] = 0, 0
+    here = (uids[at_u] == seen_u) & (iids[at_i] == seen_i)
+    scores[at_u[here], at_i[here]] = -np.inf
+
+
 def _score_blocks(scorer: Callable, k: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                uids, iids = np.asarray(row.uids), np.asarray(row.iids)
-                u = np.asarray(row.umat, dtype=np.float64).reshape(len(uids), -1)
-                i = np.asarray(row.imat, dtype=np.float64).reshape(len(iids), -1)
+                uids, u = _matrix(row.uids, row.umat)
+                iids, i = _matrix(row.iids, row.imat)
                 scores = np.array(scorer(u, i), dtype=np.float64)
-                if row.seen_u is not None and len(row.seen_u):
-                    su = np.searchsorted(uids, np.asarray(row.seen_u))
-                    si = np.searchsorted(iids, np.asarray(row.seen_i))
-                    scores[su, si] = -np.inf
-                picks = [best_of_row(scores[n], iids, k) for n in range(len(uids))]
-                lens = [len(p) for p in picks]
-                flat = np.concatenate(picks) if picks else np.array([], dtype=int)
-                rows = np.repeat(np.arange(len(uids)), lens)
-                yield pd.DataFrame(
-                    {"user_idx": uids[rows], "item_idx": iids[flat], "relevance": scores[rows, flat]}
-                )
+                if len(row.seen_u):
+                    _mask(scores, uids, iids, np.asarray(row.seen_u), np.asarray(row.seen_i))
+                if best is None or best.key != (row.ub, row.slice):
+                    if best is not None:
+                        yield best.frame()
+                    best = _Best((row.ub, row.slice), uids)
+                best.add(scores, iids, k)
+        if best is not None:
+            yield best.frame()
 
     return run
 
 
 def _block_pairs(
-    users: DataFrame, items: DataFrame, user_block: int, item_block: int, broadcast_bytes: int
-) -> tuple[DataFrame, int, int]:
-    """One row per (user block, item block), and the numbers of blocks."""
+    users: DataFrame, items: DataFrame, seen: DataFrame | None, user_block: int, item_block: int, broadcast_bytes: int
+) -> DataFrame:
+    """Rows (ub, slice, uids, umat, seen_u, seen_i, iids, imat): a user block and one of its item blocks."""
+    spark = users.sparkSession
     n_users = users.agg(F.count("*")).first()[0]
     n_items, width = items.agg(F.count("*"), F.max(F.size("ivec"))).first()
     user_blocks, item_blocks = max(1, -(-n_users // user_block)), max(1, -(-n_items // item_block))
-    left = _pack(users, "user_idx", "uvec", "ub", user_blocks, "uids", "umat")
-    right = _pack(items, "item_idx", "ivec", "ib", item_blocks, "iids", "imat")
-    pairs = left.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
-    if n_items * ((width or 0) + 1) * 8 <= broadcast_bytes:
-        return pairs.join(F.broadcast(right), "ib"), user_blocks, item_blocks
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    small = n_items * ((width or 0) + 1) * 8 <= broadcast_bytes
+    slices = min(item_blocks, -(-2 * cores // user_blocks)) if small else item_blocks
+    if small and user_blocks < 2 * cores:
+        # Few users: smaller user blocks give every core something, at the cost of more products.
+        user_blocks = min(max(1, n_users), max(user_blocks, -(-2 * cores // slices)))
+
+    def hashed(column: str, n: int):
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
+
+    left = users.select(
+        hashed("user_idx", user_blocks).alias("ub"), F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
+        F.struct(F.col("user_idx").alias("id"), F.col("uvec").alias("v")).alias("vec"),
+        F.lit(None).cast("struct<u:bigint,i:bigint>").alias("pair"),
+    )
+    if seen is not None:
+        known = seen.select(
+            hashed("user_idx", user_blocks).alias("ub"), F.pmod(hashed("item_idx", item_blocks), F.lit(slices)).alias("slice"),
+            F.lit(None).cast(left.schema["vec"].dataType).alias("vec"),
+            F.struct(F.col("user_idx").cast("bigint").alias("u"), F.col("item_idx").cast("bigint").alias("i")).alias("pair"),
+        )
+        left = left.unionByName(known)
+    # One exchange brings a block's vectors and its seen pairs together; its number of partitions
+    # is given, so that adaptive execution does not merge blocks of few bytes into one task.
+    dealt = left.repartition(min(user_blocks * slices, 8 * cores), "ub", "slice")
+    packed = dealt.groupBy("ub", "slice").agg(
+        F.sort_array(F.collect_list("vec")).alias("__rows"), F.collect_list("pair").alias("__seen")
+    ).filter(F.size("__rows") > 0)
+    packed = packed.select(
+        "ub", "slice", F.col("__rows.id").alias("uids"), F.flatten("__rows.v").alias("umat"),
+        F.col("__seen.u").alias("seen_u"), F.col("__seen.i").alias("seen_i"),
+    )
+    right = (
+        items.select(hashed("item_idx", item_blocks).alias("ib"), F.struct(F.col("item_idx").alias("id"), F.col("ivec").alias("v")).alias("vec"))
+        .groupBy("ib").agg(F.sort_array(F.collect_list("vec")).alias("__rows"))
+        .select(F.pmod("ib", F.lit(slices)).alias("slice"), F.col("__rows.id").alias("iids"), F.flatten("__rows.v").alias("imat"))
+    )
+    if small:
+        return packed.join(F.broadcast(right), "slice")
     groups = -(-user_blocks // USER_BLOCKS_PER_GROUP)
-    pairs = pairs.withColumn("grp", F.pmod("ub", F.lit(groups)))
     spread = right.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    return pairs.join(spread, ["ib", "grp"]).drop("grp"), user_blocks, item_blocks
+    return packed.withColumn("grp", F.pmod("ub", F.lit(groups))).join(spread, ["slice", "grp"]).drop("grp")
 
 
 def blocked_topk(
@@ -116,27 +175,8 @@ def blocked_topk(
     matrix. Seen pairs are masked before the cut; a user with fewer than k items left gets
     fewer rows.
     """
-    pairs, user_blocks, item_blocks = _block_pairs(users, items, user_block, item_block, broadcast_bytes)
-    if seen is None:
-        none = F.array().cast("array<bigint>")
-        pairs = pairs.withColumns({"seen_u": none, "seen_i": none})
-    else:
-        known = seen.select("user_idx", "item_idx").distinct()
-        known = known.join(users.select("user_idx"), "user_idx", "left_semi").join(
-            items.select("item_idx"), "item_idx", "left_semi"
-        )
-        # A list holds at most one entry per pair of the block.
-        masks = known.groupBy(
-            F.pmod(F.xxhash64("user_idx"), F.lit(user_blocks)).cast("int").alias("ub"),
-            F.pmod(F.xxhash64("item_idx"), F.lit(item_blocks)).cast("int").alias("ib"),
-        ).agg(F.collect_list(F.struct("user_idx", "item_idx")).alias("__seen"))
-        masks = masks.select(
-            "ub", "ib",
-            F.transform("__seen", lambda r: r["user_idx"]).alias("seen_u"),
-            F.transform("__seen", lambda r: r["item_idx"]).alias("seen_i"),
-        )
-        pairs = pairs.join(masks, ["ub", "ib"], "left")
-    best = pairs.select("uids", "umat", "iids", "imat", "seen_u", "seen_i").mapInPandas(_score_blocks(scorer, k), OUT)
+    pairs = _block_pairs(users, items, seen, user_block, item_block, broadcast_bytes)
+    best = pairs.select("ub", "slice", "uids", "umat", "iids", "imat", "seen_u", "seen_i").mapInPandas(_score_blocks(scorer, k), OUT)
     return top_k(best, k)
 
 
@@ -161,7 +201,7 @@ def blocked_logsumexp(
                     {"user_idx": row.uids, "top": top, "total": np.exp(scores - top[:, None]).sum(axis=1)}
                 )
 
-    pairs, _, _ = _block_pairs(users, items, user_block, item_block, broadcast_bytes)
+    pairs = _block_pairs(users, items, None, user_block, item_block, broadcast_bytes)
     parts = pairs.select("uids", "umat", "iids", "imat").mapInPandas(run, "user_idx bigint, top double, total double")
     peak = F.max("top")
     scaled = F.collect_list(F.struct("top", "total"))

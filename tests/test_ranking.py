@@ -70,3 +70,31 @@ def test_best_of_row_breaks_ties_by_id():
     scores = np.array([1.0, 2.0, 2.0, -np.inf, 2.0])
     assert best_of_row(scores, np.arange(5), 2).tolist() == [1, 2]
     assert best_of_row(scores, np.arange(5), 9).tolist() == [1, 2, 4, 0]
+
+
+def test_blocked_topk_keeps_matrices_out_of_shuffles_and_cores_busy(spark):
+    import re
+
+    users = spark.range(900).selectExpr("id AS user_idx", "array(id % 50 * 1D, 1D, id % 7 * 1D) AS uvec")
+    items = spark.range(700).selectExpr("id AS item_idx", "array(id % 90 * 1D, id % 5 * 1D, 2D) AS ivec")
+    seen = spark.range(3000).selectExpr("id % 1000 AS user_idx", "id * 13 % 800 AS item_idx")
+    for known in (None, seen):
+        best = blocked_topk(users, items, 4, seen=known, user_block=512, item_block=128)
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        shuffles = [line for line in plan.splitlines() if re.search(r"(?<!Broadcast)Exchange hashpartitioning", line)]
+        assert shuffles and not any("umat" in line or "imat" in line for line in shuffles)
+        assert re.search(r"Exchange hashpartitioning\(ub#\d+, slice#\d+, (\d+)\), REPARTITION_BY_NUM", plan)
+        banned = {(r[0], r[1]) for r in seen.collect()} if known is not None else set()
+        want = []
+        for u in range(900):
+            scored = [(-((u % 50) * (i % 90) + i % 5 + 2 * (u % 7)), i) for i in range(700) if (u, i) not in banned]
+            want += [(u, i) for _, i in sorted(scored)[:4]]
+        assert sorted((r["user_idx"], r["item_idx"]) for r in best.collect()) == sorted(want)
+
+
+def test_blocked_topk_beyond_the_broadcast_size(spark):
+    users = spark.range(150).selectExpr("id AS user_idx", "array(id * 1D, 1D) AS uvec")
+    items = spark.range(90).selectExpr("id AS item_idx", "array(id * 1D, -id * 2D) AS ivec")
+    wide = blocked_topk(users, items, 3, user_block=16, item_block=16, broadcast_bytes=0)
+    near = blocked_topk(users, items, 3)
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, near.collect()))
