@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,3 +49,16 @@ def running_totals(sums: DataFrame, keys: list[str], index: str, value: str, fan
         .withColumn("before", F.col("before") + F.col("__above"))
         .drop("__above", group)
     )
+
+
+def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about ``limit`` bytes of column ``text`` (one row at least)."""
+    for batch in batches:
+        start, size = 0, 0
+        for row, value in enumerate(batch.column(text)):
+            size += value.as_buffer().size if value.is_valid else 0
+            if size >= limit:
+                yield batch.slice(start, row + 1 - start)
+                start, size = row + 1, 0
+        if start < batch.num_rows or not batch.num_rows:
+            yield batch.slice(start)

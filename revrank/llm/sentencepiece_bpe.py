@@ -23,10 +23,12 @@ import sentencepiece
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
+from revrank.llm.common import small_batches
+
 SPACE = "▁"
 # Chunks up to this many characters go through the arrays.
 SHORT = 48
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 150_000
 
 
 class PieceTable:
@@ -205,8 +207,8 @@ class Encoder:
         if not new:
             return
         if len(self.kept) + len(new) > KEPT_CHUNKS:
-            self.kept = {}
-            new = list(chunks)
+            # Only what this round needs stays.
+            self.kept = {c: self.kept[c] for c in chunks if c in self.kept}
         for c, ids in self.table.encode_chunks(new).items():
             self.kept[c] = (tuple(ids), " ".join(map(str, ids)))
         if self.checked:
@@ -283,7 +285,7 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", key: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name)
         lib = encoder.table.library
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             ids = [[*i, lib.eos_id()] for i, _ in encoder.encode_all(texts)]
             decoded = [lib.decode(i) for i in ids]
@@ -304,7 +306,7 @@ def encoding_digests(docs: DataFrame, model_path: str, text: str = "text", key:
         encoder = _encoder(name)
         lib = encoder.table.library
         end = lib.eos_id()
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             counts, ids_sha, decoded_sha = [], [], []
             for ids, joined in encoder.encode_all(texts):
