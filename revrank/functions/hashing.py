@@ -25,3 +25,14 @@ def draw(*keys) -> Column:
 def keep_share(share: float, *keys) -> Column:
     """True for about ``share`` of the keys."""
     return draw(*keys) < F.lit(int(share * DRAW_RANGE))
+
+
+def with_row_id(df, name: str = "row_id"):
+    """``df`` with an id that depends on the row's content only, whatever the order of rows.
+
+    Equal rows are counted and listed again with a number, so their ids differ, too.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
+    numbered = counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in df.columns]
+    return numbered.withColumn(name, F.md5(F.concat_ws("|", *parts, F.col("__copy").cast("string")))).drop("__copies", "__copy")

@@ -93,16 +93,18 @@ def histogram_by(df: DataFrame, column: str, group: str, bins: int = 20) -> Data
     )
 
 
-def attribute_histograms(df: DataFrame, group: str, prefix: str, first: int = 5, bins: int = 20) -> DataFrame:
-    """``histogram_by`` for the first few attribute columns, stacked."""
-    parts = [
-        histogram_by(df, c, group, bins).select(F.lit(c).alias("attribute"), group, "bin", "n")
-        for c in [c for c in df.columns if c.startswith(prefix)][:first]
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def attribute_histograms(df: DataFrame, group: str, prefix: str, bins: int = 20) -> DataFrame:
+    """``histogram_by`` for every numeric attribute column, from one unpivoted table."""
+    columns = [c for c in df.columns if c.startswith(prefix)]
+    values = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).cast("double").alias("x")) for c in columns])
+    long = df.select(group, F.inline(values)).filter(F.col("x").isNotNull())
+    ranges = long.groupBy("attribute", group).agg(F.min("x").alias("__low"), F.max("x").alias("__high"))
+    return (
+        long.join(ranges, ["attribute", group])
+        .withColumn("bin", _bin(F.col("x"), F.col("__low"), F.col("__high"), bins))
+        .groupBy("attribute", group, "bin")
+        .agg(F.count("*").alias("n"))
+    )
 
 
 def segment_category_pivot(log: DataFrame, users: DataFrame, items: DataFrame, categories: list[str]) -> DataFrame:
@@ -165,7 +167,7 @@ def global_mean_label(log: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, distinct) for each column, from one pass."""
+    """(column, distinct) for each column. Spark expands every row once per column for this."""
     one = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct")) for c in columns])
     return one.select(F.inline(rows))

@@ -56,11 +56,13 @@ def normalized_edges(
 ) -> tuple[DataFrame, DataFrame]:
     """(edges with symmetric weight deg^-1/2 * deg^-1/2, node table).
 
-    ``nodes`` keeps the copies of a known node table, for a graph with edges left out.
+    ``nodes`` keeps the copies of a known node table, for a graph with edges left out; self
+    loops are then made for all its nodes, also those without an edge.
     """
     base = directed.select("src", "dst")
     if self_loops:
-        loops = base.select(F.col("src").alias("node")).distinct().select(F.col("node").alias("src"), F.col("node").alias("dst"))
+        every = base.select(F.col("src").alias("node")).distinct() if nodes is None else nodes.select("node")
+        loops = every.select(F.col("node").alias("src"), F.col("node").alias("dst"))
         base = base.unionByName(loops)
     counted = node_copies(base, edges_per_copy)
     nodes = counted if nodes is None else nodes

@@ -84,11 +84,15 @@ class ContentRecommender(Recommender):
         parts = liked.join(self.vectors, "item_idx")
         means = [F.avg(F.element_at("ivec", j + 1)) for j in range(width)]
         profile = parts.groupBy("user_idx").agg(F.array(*means).alias("uvec"))
+        self.width = width
         self.profiles = profile.select("user_idx", l2_normalize("uvec").alias("uvec"))
         return self
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
-        asked = users.select("user_idx").join(self.profiles, "user_idx")
+        # Who liked nothing is equally far from everything.
+        nothing = F.array_repeat(F.lit(0.0), self.width)
+        asked = users.select("user_idx").join(self.profiles, "user_idx", "left")
+        asked = asked.select("user_idx", F.coalesce("uvec", nothing).alias("uvec"))
         offered = items.select("item_idx").join(self.vectors, "item_idx")
         best = blocked_topk(
             asked, offered, k, _cosine_above(self.similarity_threshold), self._seen(log, filter_seen_items)

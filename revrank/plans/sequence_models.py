@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from revrank.functions.hashing import with_row_id
 from revrank.functions.scores import bpr_term, sigmoid
 from revrank.functions.vectors import dot, dot_wide, names, to_array
 from revrank.operators import positions, sampling
@@ -38,7 +39,7 @@ class _SequenceRecommender(Recommender):
         """Log rows with a negative, a loss weight and chunk numbers; written once, used every epoch."""
         log = price_from_items(log, item_features)
         base = log.select("user_idx", "item_idx", "price", *[c for c in self.time if c != "item_idx"])
-        base = cut(base.withColumn("row_id", F.monotonically_increasing_id()))
+        base = cut(with_row_id(base))
         self.slots = cut(sampling.numbered_items(base))
         counts = base.groupBy(F.col("item_idx").alias("node")).agg(F.count("*").alias("n"))
         self.nodes = cut(counts.select("node", F.ceil(F.col("n") / EDGES_PER_COPY).cast("int").alias("copies")))

@@ -21,7 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revrank.functions.hashing import keep_share
+from revrank.functions.hashing import keep_share, with_row_id
 from revrank.functions.scores import price_power
 from revrank.operators import features
 from revrank.operators.aggregates import distinct_counts, item_stats, user_stats
@@ -281,9 +281,9 @@ class LambdaRankRecommender(_TreeModel):
         self.user_cols = [c for c in one.columns if c not in skip]
         self.item_cols = [c for c in two.columns if c not in skip]
         rows = log.select("user_idx", "item_idx", (F.col("relevance") > 0).cast("int").alias("label"))
-        wide = rows.join(one, "user_idx").join(two, "item_idx")
-        # The id is fixed by the write; it only has to be unique.
-        return cut_wide(wide.drop("item_idx").withColumn("row_id", F.monotonically_increasing_id()))
+        # The id breaks ties of scores, so it must not depend on the order of rows.
+        wide = with_row_id(rows).join(one, "user_idx").join(two, "item_idx")
+        return cut_wide(wide.drop("item_idx"))
 
     def _boost(self, rows: DataFrame, price_pow: float, learning_rate: float) -> list[Tree]:
         names = self.user_cols + self.item_cols
@@ -292,6 +292,7 @@ class LambdaRankRecommender(_TreeModel):
         valid = rows.filter(held)
         assembler = VectorAssembler(inputCols=names, outputCol="features")
         base = train.withColumn("__base", F.lit(0.0))
+        checked = valid.withColumn("__base", F.lit(0.0))
         trees: list[Tree] = []
         pending: list[Tree] = []
         best, best_at = -1.0, 0
@@ -317,18 +318,21 @@ class LambdaRankRecommender(_TreeModel):
             if len(pending) >= self.ROUNDS_PER_CUT:
                 # Fold the trees so far into a stored score, so the expression stays short.
                 base = cut_wide(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
+                checked = cut_wide(checked.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
                 pending = []
-            if done >= self.early_stopping_rounds and self.early_stopping_rounds < self.num_boost_round:
-                now = self.ndcg(valid, trees, names, learning_rate)
+            if self.early_stopping_rounds < self.num_boost_round:
+                # Every round can be the best one; only the stop waits.
+                now = self.ndcg(checked, pending, names, learning_rate)
                 if now > best:
                     best, best_at = now, len(trees)
                 elif len(trees) - best_at >= self.early_stopping_rounds:
-                    return trees[:best_at]
-        return trees
+                    break
+        return trees[:best_at] if best_at else trees
 
-    def ndcg(self, rows: DataFrame, trees: list[Tree], names: list[str], learning_rate: float, k: int = 10) -> float:
+    def ndcg(self, rows: DataFrame, pending: list[Tree], names: list[str], learning_rate: float, k: int = 10) -> float:
+        """NDCG of the stored score ``__base`` plus the trees since it was stored."""
         scored = rows.select(
-            "row_id", "user_idx", "label", _sum_trees(F.lit(0.0), trees, names, learning_rate).alias("score")
+            "row_id", "user_idx", "label", _sum_trees(F.col("__base"), pending, names, learning_rate).alias("score")
         )
         best = top_k(scored, k, score="score", tie="row_id")
         got = best.groupBy("user_idx").agg(F.sum(F.col("label") / F.log2(F.col("rank") + 1.0)).alias("dcg"))

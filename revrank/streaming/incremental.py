@@ -77,14 +77,18 @@ def stream_item_popularity(stream: DataFrame, out: str, checkpoint: str) -> Data
 def stream_windowed_popularity(
     stream: DataFrame, out: str, checkpoint: str, window: str = "1 day", late: str = "2 days"
 ) -> DataFrame:
-    """Sum of relevance and rows per item and time window, with a bound on late rows."""
+    """Sum of relevance and rows per item and time window, with a bound on late rows.
+
+    Windows older than the watermark leave the state. Each batch writes only the windows it
+    changed; of a window's rows the newest counts.
+    """
     timed = stream.withColumn("timestamp", _instant(stream)).withWatermark("timestamp", late)
     totals = (
         timed.groupBy(F.window("timestamp", window), "item_idx")
         .agg(F.sum("relevance").alias("score"), F.count("*").alias("n"))
         .select(F.col("window.start").alias("start"), "item_idx", "score", "n")
     )
-    return _complete(totals, out, checkpoint)
+    return _updated(totals, ["start", "item_idx"], out, checkpoint)
 
 
 def _instant(stream: DataFrame) -> Column:
@@ -103,3 +107,16 @@ def _complete(totals: DataFrame, out: str, checkpoint: str) -> DataFrame:
 
     _run(totals.writeStream.outputMode("complete").foreachBatch(save), checkpoint)
     return spark.read.parquet(_version(out, _latest(spark, out)))
+
+
+def _updated(totals: DataFrame, keys: list[str], out: str, checkpoint: str) -> DataFrame:
+    """Changed rows of every batch under their batch number; read back, the newest per key."""
+    spark = totals.sparkSession
+    rest = [c for c in totals.columns if c not in keys]
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    _run(totals.writeStream.outputMode("update").foreachBatch(save), checkpoint)
+    newest = F.max_by(F.struct(*rest), "batch").alias("newest")
+    return spark.read.parquet(out).groupBy(*keys).agg(newest).select(*keys, "newest.*").select(*totals.columns)
