@@ -102,12 +102,10 @@ def test_prints_by_brute_force(spark):
         bins = {}
         for h, place in full:
             bins.setdefault(h >> (O.HASH_BITS - O.BIN_BITS), []).append((place, h))
-        want = []
-        for b, members in sorted(bins.items()):
-            pair = [h for _, h in sorted(members[:2])]
-            mixed = hashed([pair], "bigint")[0] & ((1 << O.PAIR_BITS) - 1)
-            value = b << O.PAIR_BITS | mixed
-            want.append(value - (1 << 32) if value >> 31 else value)
+        used = sorted(bins)
+        pairs = [[h for _, h in sorted(bins[b][:2])] for b in used]
+        want = [b << O.PAIR_BITS | (h & ((1 << O.PAIR_BITS) - 1)) for b, h in zip(used, hashed(pairs, "bigint"))]
+        want = [v - (1 << 32) if v >> 31 else v for v in want]
         assert found == want, text
 
 
