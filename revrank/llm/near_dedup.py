@@ -169,23 +169,28 @@ def most_flips(similarity: float) -> int:
     return int(n / 2 * (1 - np.exp((similarity - MARGIN - 1) * 4 * SKETCH_SAMPLES / n)))
 
 
+def cut_slim(df: DataFrame) -> DataFrame:
+    """``cut`` of a table of a few numbers per row, in two tasks per core: not one small file per partition."""
+    return cut(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(doc_id, component): the smallest id reachable over ``links`` (a, b).
 
     Every round passes the smallest label to all neighbours and then follows labels once
     (pointer jumping). All tables stay distributed; each round is written.
     """
-    both = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("doc_id"), F.least("a", "low").alias("component")))
+    both = cut_slim(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut_slim(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("doc_id"), F.least("a", "low").alias("component")))
     while True:
         near = both.join(labels, F.col("b") == F.col("doc_id")).groupBy("a").agg(F.min("component").alias("low"))
         lower = labels.join(near, F.col("doc_id") == F.col("a")).select(
             "doc_id", F.col("component").alias("before"), F.least("component", "low").alias("component")
         )
-        lower = cut(lower)
+        lower = cut_slim(lower)
         up = lower.select(F.col("doc_id").alias("up"), F.col("component").alias("up_component"))
         jumped = lower.join(up, F.col("component") == F.col("up")).select("doc_id", "before", F.col("up_component").alias("component"))
-        jumped = cut(jumped)
+        jumped = cut_slim(jumped)
         labels = jumped.select("doc_id", "component")
         if not jumped.filter(F.col("before") != F.col("component")).limit(1).count():
             return labels
@@ -217,7 +222,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     # cut() reads back what it wrote: the class table is one row per distinct set.
     useful = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     digest = ["n_shingles", "one", "two"]
-    classes = cut(
+    classes = cut_slim(
         useful.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     )
     # A repeated id with two texts represents the class whose digest it is, so join on both.
@@ -227,12 +232,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     )
     members = reps.select("rep", F.explode("bands").alias("key"))
     order = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
-    buckets = cut(
+    buckets = cut_slim(
         members.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n"))
         .filter(F.col("n") > 1).select("key", F.col("first.rep").alias("pivot"))
     )
     # Only classes that share a bucket go on.
-    shared = cut(members.join(buckets, "key"))
+    shared = cut_slim(members.join(buckets, "key"))
     meeting = shared.select("rep").distinct()
     chosen = useful.join(meeting, F.col("doc_id") == F.col("rep")).select("doc_id", "text_hash").distinct()
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(chosen, ["doc_id", "text_hash"])
@@ -250,20 +255,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
         sifted = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("flips", flipped("oa", "ob"))
         sifted = sifted.filter(in_reach & (F.col("flips") <= limit)).select("a", F.struct("flips", "b").alias("p"))
         top = sifted.groupBy("a").agg(F.slice(F.array_sort(F.collect_list("p")), 1, best).alias("best"))
-        return cut(confirmed(cut(top.select("a", F.explode("best.b").alias("b"))), sets, similarity))
+        return cut_slim(confirmed(cut_slim(top.select("a", F.explode("best.b").alias("b"))), sets, similarity))
 
     def apart(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows (key, rep, component, largest) of buckets that hold several components; rows outside the largest."""
         named = shared.select("key", "rep").join(labels, F.col("rep") == F.col("doc_id"), "left")
-        named = cut(named.select("key", "rep", F.coalesce("component", "rep").alias("component")))
+        named = cut_slim(named.select("key", "rep", F.coalesce("component", "rep").alias("component")))
         parts = named.groupBy("key", "component").agg(F.count("*").alias("n"))
         split = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-        split = cut(split.filter(F.col("parts") > 1).select("key", F.col("top.component").alias("largest")))
-        rows = cut(named.join(split, "key"))
+        split = cut_slim(split.filter(F.col("parts") > 1).select("key", F.col("top.component").alias("largest")))
+        rows = cut_slim(named.join(split, "key"))
         return rows, rows.filter(F.col("component") != F.col("largest"))
 
     pairs = shared.filter(F.col("rep") != F.col("pivot")).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
-    links = nearest(cut(pairs.distinct()))
+    links = nearest(cut_slim(pairs.distinct()))
     labels = components(links)
 
     # Who is left outside of a bucket's largest component meets more pivots from inside it.
@@ -271,9 +276,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     pivots = rows_apart.filter(F.col("component") == F.col("largest")).groupBy("key").agg(
         F.array(*[F.min(F.struct(F.xxhash64("rep", "key", F.lit(i)), F.col("rep"))) for i in range(4)]).alias("p")
     )
-    pivots = cut(pivots.select("key", F.explode(F.array_distinct("p.rep")).alias("b")))
-    again = cut(outside.select("key", F.col("rep").alias("a")).join(pivots, "key").select("a", "b").distinct())
-    links = cut(links.union(nearest(again)))
+    pivots = cut_slim(pivots.select("key", F.explode(F.array_distinct("p.rep")).alias("b")))
+    again = cut_slim(outside.select("key", F.col("rep").alias("a")).join(pivots, "key").select("a", "b").distinct())
+    links = cut_slim(links.union(nearest(again)))
     labels = components(links)
 
     # Who is left now is compared with all others of its buckets, through the sketches.
@@ -291,15 +296,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
         (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & in_reach & (flipped("oa", "ob") <= limit)
         & (first_shared == F.col("key"))
     )
-    more = confirmed(cut(across.select("a", "b")), sets, similarity)
-    all_links = cut(links.union(more))
+    more = confirmed(cut_slim(across.select("a", "b")), sets, similarity)
+    all_links = cut_slim(links.union(more))
     labels = components(all_links)
 
     # Back to rows: classes that are more than one document.
     named_classes = classes.join(labels, F.col("rep") == F.col("doc_id"), "left").filter(
         (F.col("copies") > 1) | F.col("component").isNotNull()
     )
-    named_classes = cut(named_classes.select(*digest, F.coalesce("component", "rep").alias("component_id")))
+    named_classes = cut_slim(named_classes.select(*digest, F.coalesce("component", "rep").alias("component_id")))
     result = rows.select("doc_id", "text_hash", *digest).join(named_classes, digest, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     result = result.withColumn("component_id", component)
