@@ -41,12 +41,15 @@ def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         "doc_id", F.col(path).cast("string").alias("path"),
         F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1)).alias("__m"), F.split("text", ANY).alias("__between"),
     )
-    one = hit.select("doc_id", "path", "__between", F.posexplode("__m").alias("n", "candidate"))
-    return one.select(
-        "doc_id", (F.col("n") + 1).alias("finding"), "candidate",
-        F.right(F.get("__between", F.col("n")), F.lit(REACH)).alias("before"),
-        F.left(F.get("__between", F.col("n") + 1), F.lit(REACH)).alias("after"), "path",
+    between = F.col("__between")
+    found = F.transform(
+        "__m",
+        lambda m, i: F.struct(
+            (i + 1).alias("finding"), m.alias("candidate"), F.right(F.get(between, i), F.lit(REACH)).alias("before"),
+            F.left(F.get(between, i + 1), F.lit(REACH)).alias("after"),
+        ),
     )
+    return hit.select("doc_id", "path", F.inline(found)).select("doc_id", "finding", "candidate", "before", "after", "path")
 
 
 def _share(count: Column, whole: Column) -> Column:

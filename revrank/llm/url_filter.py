@@ -51,18 +51,20 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def ngrams(text: Column, n: int, mark: str) -> Column:
-    places = F.sequence(F.lit(1), F.length(text) - n + 1)
-    found = F.transform(places, lambda i: F.concat(F.lit(mark), F.substring(text, i, F.lit(n))))
-    return F.when(F.length(text) >= n, found).otherwise(F.array().cast("array<string>"))
+def ngrams(letters: str, n: int, mark: str) -> Column:
+    """All n-grams of a column that holds a text's characters as an array."""
+    at = F.col(letters)
+    first = F.slice(at, F.lit(1), F.greatest(F.size(at) - (n - 1), F.lit(0)))
+    return F.transform(first, lambda x, i: F.concat(F.lit(mark), x, *[F.get(at, i + j) for j in range(1, n)]))
 
 
 def with_ngrams(df: DataFrame, sizes: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
     """``__grams`` of host and path; runs of digits count as one."""
     host = F.concat(F.lit("^"), F.col("host"), F.lit("$"))
     path = F.regexp_replace("path", "[0-9]+", "0")
-    parts = [g for n in sizes for g in (ngrams(host, n, "h"), ngrams(path, n, "p"))]
-    return df.withColumn("__grams", F.concat(*parts))
+    df = df.withColumn("__host", F.split(host, "")).withColumn("__path", F.array_remove(F.split(path, ""), ""))
+    parts = [g for n in sizes for g in (ngrams("__host", n, "h"), ngrams("__path", n, "p"))]
+    return df.withColumn("__grams", F.concat(*parts)).drop("__host", "__path")
 
 
 def train_url_filter(labelled: DataFrame, features: int = 1 << 14, ridge: float = 0.003) -> PipelineModel:
