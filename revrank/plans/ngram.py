@@ -8,9 +8,10 @@ price order, the same for everyone. A user's top-k lies in the union of
 
 each long enough to skip what the user has seen (``head_of_order``). Taking an item's
 best score over the lists is exact: a counted item that also sits in a default list has
-the larger score in its own list, and fewer than k items can stand before a true
-top-k item in any list that scores no item too high. The work grows with users * k
-plus the seen pairs, not with users * items.
+the larger score in its own list (items of negative price, where it is the other way round,
+are kept out of the default lists of contexts that count them), and fewer than k items can
+stand before a true top-k item in any list that scores no item too high. The work grows with
+users * k plus the seen pairs, not with users * items.
 """
 
 from __future__ import annotations
@@ -123,12 +124,21 @@ class NGramRecommender(Recommender):
             F.when(F.col("total").isNull(), F.lit(self.k) / (F.lit(self.k) * size))
             .otherwise(F.lit(self.k) / (F.col("total") + F.lit(self.k) * size))
             .alias("p0"),
+            "ctx",
         )
         inside = price_order(priced.join(self.vocabulary, "item_idx", "left_semi"))
         outside = price_order(priced.join(self.vocabulary, "item_idx", "left_anti"))
-        default = head_of_order(known, inside, seen, k).select(
-            "user_idx", "item_idx", (F.col("price") * F.col("p0")).alias("relevance")
-        )
+        score = (F.col("price") * F.col("p0")).alias("relevance")
+        low = probs.join(self._negative(priced), "item_idx").select("ctx", "item_idx")
+        if low.isEmpty():
+            default = head_of_order(known.drop("ctx"), inside, seen, k).select("user_idx", "item_idx", score)
+        else:
+            low = cut(low)
+            special = self._needs(asked, seen, k).join(low.select("ctx").distinct(), "ctx", "left_semi")
+            heads = self._context_heads(special, inside, low, None)
+            mine = head_of_order(known, heads, seen, k, group="ctx").select("user_idx", "item_idx", score)
+            others = known.join(special.select("ctx"), "ctx", "left_anti").drop("ctx")
+            default = mine.unionByName(head_of_order(others, inside, seen, k).select("user_idx", "item_idx", score))
         foreign = head_of_order(asked.select("user_idx"), outside, seen, k).select(
             "user_idx", "item_idx", (F.col("price") * (F.lit(self.k) / (F.lit(self.k) * size))).alias("relevance")
         )
@@ -141,11 +151,7 @@ class NGramRecommender(Recommender):
         out per context, not per user: users who share a context share its lists.
         """
         probs = cut(backoff_probabilities(self.counts))
-        gone = None if seen is None else seen.groupBy("user_idx").agg(F.count("*").alias("__gone"))
-        needed = asked if gone is None else asked.join(gone, "user_idx", "left")
-        upto = F.lit(k) if gone is None else F.lit(k) + F.coalesce(F.max("__gone"), F.lit(0))
-        # How far down its lists the most demanding user of a context has to look.
-        contexts = cut(needed.groupBy("ctx").agg(upto.alias("need")))
+        contexts = cut(self._needs(asked, seen, k))
         ranked = cut(self._ranked_successors(probs, priced).withColumnRenamed("ctx", "tail"))
         lists = []
         for n in range(self.order, 0, -1):
@@ -163,10 +169,24 @@ class NGramRecommender(Recommender):
         # A context seen more than 1 / floor times can count an item below the floor; the default
         # list must not offer it then. Such contexts get a default list of their own.
         rare = probs.filter(F.col("p") < BACKOFF_FLOOR).select("ctx", "item_idx")
-        if not rare.isEmpty():
-            lists[-1] = self._default_without(asked, contexts, probs, default, seen, k)
+        negative = self._negative(priced)
+        if not (rare.isEmpty() and negative.isEmpty()):
+            lists[-1] = self._default_without(asked, contexts, probs, default, seen, k, negative)
         return lists
 
+    @staticmethod
+    def _negative(priced: DataFrame) -> DataFrame:
+        """Items of negative price: the larger probability gives the smaller score."""
+        return priced.filter(F.col("price") < 0).select("item_idx").distinct()
+
+    @staticmethod
+    def _needs(asked: DataFrame, seen: DataFrame | None, k: int) -> DataFrame:
+        """(ctx, need): how far down its lists the most demanding user of a context has to look."""
+        gone = None if seen is None else seen.groupBy("user_idx").agg(F.count("*").alias("__gone"))
+        needed = asked if gone is None else asked.join(gone, "user_idx", "left")
+        upto = F.lit(k) if gone is None else F.lit(k) + F.coalesce(F.max("__gone"), F.lit(0))
+        return needed.groupBy("ctx").agg(upto.alias("need"))
+
     def _counted_by_longer(self, here: DataFrame, probs: DataFrame, n: int) -> DataFrame | None:
         """(ctx, item_idx) counted by a suffix of ctx longer than n."""
         parts = None
@@ -183,7 +203,7 @@ class NGramRecommender(Recommender):
         placed = with_position(heads.withColumnRenamed("rank", "__old"), ["ctx"], ["__old"], "rank")
         return cut(placed.withColumn("rank", F.col("rank") + 1).drop("__old", "need", "tail"))
 
-    def _default_without(self, asked, contexts, probs, default, seen, k):
+    def _default_without(self, asked, contexts, probs, default, seen, k, negative):
         parts = None
         for n in range(1, self.order + 1):
             tails = contexts.filter(F.size("ctx") >= n).select("ctx", suffix("ctx", n).alias("__tail"))
@@ -192,7 +212,8 @@ class NGramRecommender(Recommender):
             )
             parts = part if parts is None else parts.unionByName(part)
         final = parts.groupBy("ctx", "item_idx").agg(F.max_by("p", "n").alias("p"))
-        low = cut(final.filter(F.col("p") < BACKOFF_FLOOR).select("ctx", "item_idx"))
+        below = final.join(negative.withColumn("__negative", F.lit(True)), "item_idx", "left")
+        low = cut(below.filter((F.col("p") < BACKOFF_FLOOR) | F.col("__negative")).select("ctx", "item_idx"))
         special = contexts.join(low.select("ctx").distinct(), "ctx", "left_semi")
         heads = self._context_heads(special, default, low, None)
         floor = (F.col("price") * BACKOFF_FLOOR).alias("relevance")

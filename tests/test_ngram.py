@@ -74,14 +74,16 @@ def brute(log, users, items, smoothing, order, k, top, floor):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order,cheapest", [(1, 1), (2, 1), (3, 1), (1, -9), (2, -9)])
 @pytest.mark.parametrize("smoothing,floor", [("add-k", 1e-6), ("back-off", 1e-6), ("back-off", 0.2)])
-def test_recommender_equals_brute_force(spark, monkeypatch, smoothing, floor, order):
+def test_recommender_equals_brute_force(spark, monkeypatch, smoothing, floor, order, cheapest):
     monkeypatch.setattr(plan, "BACKOFF_FLOOR", floor)
     rng = random.Random(order)
-    log = [(rng.randint(0, 11), min(rng.randint(0, 14), rng.randint(0, 14)), t, rng.randint(1, 9) + 0.5) for t in range(160)]
+    log = [
+        (rng.randint(0, 11), min(rng.randint(0, 14), rng.randint(0, 14)), t, rng.randint(cheapest, 9) + 0.5) for t in range(160)
+    ]
     users = list(range(14))  # two without history
-    items = {i: float(rng.randint(1, 9)) for i in range(20)}  # five outside the log
+    items = {i: rng.randint(cheapest, 9) + 0.25 for i in range(20)}  # five outside the log
     df = spark.createDataFrame([(u, i, 1.0, t, p) for u, i, t, p in log],
                                "user_idx bigint, item_idx bigint, relevance double, timestamp bigint, price double")
     udf = spark.createDataFrame([(u,) for u in users], "user_idx bigint")
