@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +63,28 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_0
                 start, size = row + 1, 0
         if start < batch.num_rows or not batch.num_rows:
             yield batch.slice(start)
+
+
+def bit_table(hashes: DataFrame, bits: int = 1 << 24) -> np.ndarray:
+    """Bloom filter of a one-column table of 64-bit hashes: ``bits`` bits, whatever its number of rows.
+
+    ``maybe_in`` tells rows that are surely not in the table. Too many rows make it say "maybe"
+    always, which costs time only: an exact join follows.
+    """
+    h = F.col(hashes.columns[0])
+    places = F.array(h.bitwiseAND(bits - 1), F.shiftrightunsigned(h, 32).bitwiseAND(bits - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(63).cast("int"))
+    words = hashes.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
+    found = words.toPandas()
+    table = np.zeros(bits // 64, np.int64)
+    table[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64)
+    return table.view(np.uint8)
+
+
+def maybe_in(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """True for the 64-bit hashes that may be in the table."""
+    h, low = hashes.view(np.uint64), np.uint64(len(table) * 8 - 1)
+    hit = np.ones(len(h), bool)
+    for p in (h & low, (h >> np.uint64(32)) & low):
+        hit &= (table[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return hit

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from revrank.llm.common import bit_table, maybe_in
 from revrank.session import cut
 
 SAMPLES = 240
@@ -139,23 +140,36 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(rep, n_shingles, shingles, odd): full sets for confirming, odd sketches for sifting."""
+def _row_key(doc_id: str = "doc_id", text_hash: str = "text_hash") -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(rep, n_shingles, shingles, odd) of the rows ``wanted`` (doc_id, text_hash): sets for confirming, odd sketches for sifting.
+
+    Texts are not shuffled: a bit table of fixed size picks the rows in the scan, and the join
+    that drops those it let through by chance sees sets only.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(wanted.select(_row_key())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for batch in batches:
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+            batch = batch.filter(pa.array(maybe_in(shared.value, batch.column(2).to_numpy())))
+            sets = [shingle_set(t, words) for t in batch.column(3).to_pylist()]
             odd = [odd_sketch(min_hashes(s, _ODD)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), pa.array(odd, longs)],
-                names=["rep", "n_shingles", "shingles", "odd"],
+                [*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), pa.array(odd, longs)],
+                names=["doc_id", "text_hash", "n_shingles", "shingles", "odd"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"rep {kind}, n_shingles bigint, shingles array<bigint>, odd array<bigint>"
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select("doc_id", "text_hash", _row_key().alias("key"), "text")
+    made = rows.mapInArrow(
+        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, shingles array<bigint>, odd array<bigint>"
     )
+    made = made.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id"])
+    return made.select(F.col("doc_id").alias("rep"), "n_shingles", "shingles", "odd")
 
 
 def flipped(a: str, b: str) -> Column:
@@ -240,8 +254,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     shared = cut_slim(members.join(buckets, "key"))
     meeting = shared.select("rep").distinct()
     chosen = useful.join(meeting, F.col("doc_id") == F.col("rep")).select("doc_id", "text_hash").distinct()
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(chosen, ["doc_id", "text_hash"])
-    sets = cut(shingle_sets(texts.dropDuplicates(["doc_id"]), words))
+    sets = cut(shingle_sets(docs, cut_slim(chosen), words))
 
     limit = most_flips(similarity)
     least = round(similarity * 100)
@@ -318,10 +331,24 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     Of rows equal in id and text one stays; rows with a null id all stay.
     """
     found = near_duplicates(docs, words, similarity)
-    gone = cut(found.filter(~F.col("kept")).select("doc_id", F.col("text_hash").alias("__hash")).distinct())
+    gone = cut_slim(found.filter(~F.col("kept")).select("doc_id", F.col("text_hash").alias("__hash")).distinct())
     twice = found.filter(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    rest = docs.withColumn("__hash", F.xxhash64("text")).join(gone, ["doc_id", "__hash"], "left_anti")
-    twice = cut(twice)
+    twice = cut_slim(twice)
+    keyed = docs.withColumn("__hash", F.xxhash64("text")).withColumn("__key", _row_key("doc_id", "__hash"))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(gone.select(_row_key("doc_id", "__hash"))))
+    at = len(keyed.columns) - 1
+
+    def picked(hit: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(maybe_in(shared.value, batch.column(at).to_numpy()) == hit))
+
+        return keyed.mapInArrow(run, keyed.schema)
+
+    # Only rows that may go are joined, so most texts are not shuffled.
+    rest = picked(False).unionByName(picked(True).join(gone, ["doc_id", "__hash"], "left_anti").select(*keyed.columns))
+    if twice.isEmpty():
+        return rest.select(*docs.columns)
     once = rest.join(twice, "doc_id", "left_anti")
     again = rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "__hash"])
     return once.unionByName(again).select(*docs.columns)

@@ -11,12 +11,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revrank.llm.common import bit_table
 from revrank.session import cut
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -128,25 +128,13 @@ def find_entities(docs: DataFrame, window: int = 8) -> DataFrame:
     )
 
 
-def _bloom(terms: DataFrame) -> np.ndarray:
-    """Bit table of the terms, a fixed size whatever their number."""
-    h = F.xxhash64("term")
-    places = F.array(h.bitwiseAND(BLOOM_BITS - 1), F.shiftrightunsigned(h, 32).bitwiseAND(BLOOM_BITS - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(63).cast("int"))
-    words = terms.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(bit).alias("mask"))
-    found = words.toPandas()
-    table = np.zeros(BLOOM_BITS // 64, np.int64)
-    table[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64)
-    return table.view(np.uint8)
-
-
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, text_hash, term, places): where the words that may be ``terms`` occur.
 
     A Bloom filter of the terms lets some other words through; whoever joins the terms drops
     them. If there are very many terms it lets every word through, which is slow but right.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(terms))
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(terms.select(F.xxhash64("term")), BLOOM_BITS))
     kind = docs.schema["doc_id"].dataType.simpleString()
     place_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
