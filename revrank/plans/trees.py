@@ -330,10 +330,9 @@ class LambdaRankRecommender(_TreeModel):
         return trees[:best_at] if best_at else trees
 
     def ndcg(self, rows: DataFrame, pending: list[Tree], names: list[str], learning_rate: float, k: int = 10) -> float:
-        """NDCG of the stored score ``__base`` plus the trees since it was stored."""
-        scored = rows.select(
-            "row_id", "user_idx", "label", _sum_trees(F.col("__base"), pending, names, learning_rate).alias("score")
-        )
+        """NDCG of the stored score ``__base`` (none yet: 0) plus the trees since it was stored."""
+        start = F.col("__base") if "__base" in rows.columns else F.lit(0.0)
+        scored = rows.select("row_id", "user_idx", "label", _sum_trees(start, pending, names, learning_rate).alias("score"))
         best = top_k(scored, k, score="score", tie="row_id")
         got = best.groupBy("user_idx").agg(F.sum(F.col("label") / F.log2(F.col("rank") + 1.0)).alias("dcg"))
         both = got.join(ideal_dcg(scored, k).filter(F.col("ideal") > 0), "user_idx")
