@@ -3,13 +3,17 @@
 A term reveals an entity as far as knowing the term tells it: pointwise mutual information
 over the entity's own information, log(p(t, e) / (p(t) p(e))) / -log p(e). It is 1 for a term
 that never occurs without the entity near it. Terms above a threshold are generalised, above
-a second one removed, wherever they occur.
+a second one removed, wherever they occur. Copies of a text count once, and a pair only counts
+if that many texts with both would hardly come together by chance.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -33,6 +37,8 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 BLOOM_BITS = 1 << 23
 SEED = 42
 KEPT_WORDS = 600_000
+# A term counts for an entity within so many words (of 24 characters on average at most) on either side.
+WINDOW = 32
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -83,28 +89,29 @@ def _entity(text: str, span: tuple[int, int, int]) -> str:
     return f"{KINDS[span[1]]}:{value.lower() if span[1] == 0 else value if span[1] == 1 else _NOT_DIGIT.sub('', value)}"
 
 
-def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[str, str, int]]:
-    """(entity, term, context) for the words next to each entity, once per entity and term.
-
-    The context is a digest of the words left and right of the term: copies of one text
-    count as one context.
-    """
-    found: dict[tuple[str, str], int] = {}
+def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[str, str]]:
+    """(entity, term) for the words near each entity, once per entity and term."""
+    found: dict[tuple[str, str], None] = {}
+    starts = [s for s, _, _ in spans]
+    reached = list(accumulate((e for _, _, e in spans), max))
     for span in spans:
         start, end = span[0], span[2]
-        left = list(_WORD.finditer(text, max(0, start - 24 * window), start))[-window - 1 :]
-        right = list(_WORD.finditer(text, end, end + 24 * window))[: window + 1]
-        words = [m for m in left + right if not any(s < m.end() and m.start() < e for s, _, e in spans)]
-        lower = [m.group().lower() for m in words]
+        left = list(_WORD.finditer(text, max(0, start - 24 * window), start))[-window:]
+        right = list(_WORD.finditer(text, end, end + 24 * window))[:window]
         entity = _entity(text, span)
-        for i, w in enumerate(lower):
-            around = "\0".join((*lower[max(0, i - 1) : i], "", *lower[i + 1 : i + 2]))
-            found.setdefault((entity, w), xxhash.xxh64_intdigest(around.encode("utf-8", "surrogatepass"), SEED))
-    return [(e, w, c - (1 << 64) if c >> 63 else c) for (e, w), c in found.items()]
+        for m in left + right:
+            before = bisect_left(starts, m.end())
+            if not before or reached[before - 1] <= m.start():
+                found[entity, m.group().lower()] = None
+    return list(found)
+
 
+def find_entities(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per row: doc_id, text_hash, base (spans), near (entity, term, context).
 
-def find_entities(docs: DataFrame, window: int = 8) -> DataFrame:
-    """Per row: doc_id, text_hash, base (spans), near (entity, term, context)."""
+    The context is the digest of the whole text: copies of one text are one context, a phrase
+    repeated in different texts is as many as there are texts.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
     near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64())]))
@@ -112,10 +119,10 @@ def find_entities(docs: DataFrame, window: int = 8) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans, near = [], []
-            for text in batch.column(2).to_pylist():
+            for text_hash, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 found = base_spans(text or "")
                 spans.append([dict(zip(("start", "kind", "end"), s)) for s in found])
-                near.append([dict(zip(("entity", "term", "context"), n)) for n in _near(text, found, window)] if found else [])
+                near.append([{"entity": e, "term": t, "context": text_hash} for e, t in _near(text, found, window)] if found else [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(spans, span_type), pa.array(near, near_type)],
                 names=["doc_id", "text_hash", "base", "near"],
@@ -176,44 +183,51 @@ def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def revealing_terms(
-    docs: DataFrame, found: DataFrame, generalise_at: float, remove_at: float, least_contexts: int
+    docs: DataFrame, found: DataFrame, generalise_at: float, remove_at: float, least_contexts: int, chance: float | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """((term, disclosure, removed), places of those terms) from the whole corpus.
 
-    Only pairs seen in ``least_contexts`` different contexts count: a rare word next to one
-    entity once would else look fully revealing.
+    All counts are of different texts. Only pairs in ``least_contexts`` of them count: a rare
+    word next to one entity once would else look fully revealing. With ``chance``, the
+    probability that some pair of the corpus gets there without a bond is at most that.
     """
     near = found.select(F.explode("near").alias("n")).select("n.entity", "n.term", "n.context")
-    entities = found.select("doc_id", "text_hash", F.explode("near").alias("n")).groupBy("n.entity", "doc_id", "text_hash").agg(
-        F.lit(1).alias("one")
-    ).groupBy("entity").agg(F.count("*").alias("e_docs"))
-    pairs = near.groupBy("entity", "term", "context").agg(F.count("*").alias("c")).groupBy("entity", "term").agg(
-        F.sum("c").alias("both"), F.count("*").alias("contexts")
-    )
-    n = float(max(1, found.count()))
+    entities = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("e_docs"))
+    pairs = near.distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
+    n = float(max(1, found.select("text_hash").distinct().count()))
+    tested = found.agg(F.sum(F.size("near"))).first()[0] or 0
     information = -F.log(F.col("e_docs") / n)
 
     def disclosure(t_docs: str):
         mutual = F.log(F.col("both") * n / (F.col(t_docs) * F.col("e_docs")))
         return F.when(information > 0, F.least(F.lit(1.0), mutual / information)).otherwise(0.0)
 
+    def bonded():
+        """Chernoff's bound of the term's texts that hold the entity, over all pairs looked at."""
+        share, rate = F.least(F.lit(1.0), F.col("both") / F.col("t_docs")), F.col("e_docs") / n
+        rest = F.when((share < 1) & (rate < 1), (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+        return F.col("t_docs") * (share * F.log(share / rate) + rest) >= math.log(max(1, tested) / chance)
+
     # A term occurs at least in the documents where it is near some entity: that bounds its
     # disclosure from above and rules common words out before their places are looked for.
-    near_docs = found.select(F.explode(F.array_distinct("near.term")).alias("term")).groupBy("term").agg(F.count("*").alias("n_docs"))
-    known = pairs.filter(F.col("contexts") >= least_contexts).join(entities, "entity").join(near_docs, "term")
+    near_docs = near.select("term", "context").distinct().groupBy("term").agg(F.count("*").alias("n_docs"))
+    known = pairs.filter(F.col("both") >= least_contexts).join(entities, "entity").join(near_docs, "term")
     pairs = cut(known.filter(disclosure("n_docs") >= generalise_at).select("entity", "term", "both", "e_docs"))
     places = cut(term_places(docs, pairs.select("term").distinct()))
-    terms = places.groupBy("term").agg(F.count("*").alias("t_docs"))
+    terms = places.select("term", "text_hash").distinct().groupBy("term").agg(F.count("*").alias("t_docs"))
     scored = pairs.join(terms, "term").withColumn("disclosure", disclosure("t_docs"))
+    if chance is not None:
+        scored = scored.filter(bonded())
     flagged = scored.groupBy("term").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
     return cut(flagged.withColumn("removed", F.col("disclosure") >= remove_at)), places
 
 
 def revealing_spans(
-    docs: DataFrame, found: DataFrame, generalise_at: float = 0.9, remove_at: float = 0.98, least_contexts: int = 3
+    docs: DataFrame, found: DataFrame, generalise_at: float = 0.9, remove_at: float = 0.98, least_contexts: int = 2,
+    chance: float = 0.01,
 ) -> DataFrame:
     """(doc_id, text_hash, terms): spans of revealing terms, ``kind`` -1 for those to remove."""
-    flagged, places = revealing_terms(docs, found, generalise_at, remove_at, least_contexts)
+    flagged, places = revealing_terms(docs, found, generalise_at, remove_at, least_contexts, chance)
     hits = places.join(flagged.select("term", "removed"), "term").dropDuplicates(["doc_id", "text_hash", "term"])
     spans = hits.select("doc_id", "text_hash", "removed", F.explode("places").alias("p"))
     span = F.struct(
@@ -229,6 +243,8 @@ def scan_pii(docs: DataFrame, **thresholds) -> DataFrame:
     spans. Null text counts as empty and has no spans. Rows with equal id and text get equal
     spans; null ids are rows like others. Extra columns are not looked at; an empty table
     gives an empty one. Texts are read whole. Spans are code points, end exclusive.
+    Words within ``WINDOW`` words of an entity are looked at. Those of an entity in a single
+    text are no evidence, as every rare word of it would be.
     """
     found = cut(find_entities(docs))
     terms = revealing_spans(docs, found, **thresholds).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})

@@ -79,6 +79,30 @@ def test_disclosure_by_brute_force(people):
     assert {t: round(v, 9) for t, v in got.items()} == {t: round(v, 9) for t, v in want.items() if v >= 0}
 
 
+def test_names_in_a_repeated_phrase(spark):
+    """One phrase in many different texts counts by text, whatever stands next to the name; exact copies count once."""
+    rng = random.Random(4)
+    talk = lambda n: " ".join(rng.choice("the of and that with for was are this from have not".split()) for _ in range(n))
+    rows = [(i, f"{talk(30)} Please contact Jane Doe at jane@x.org for further details {talk(20)}") for i in range(40)]
+    rows += [(100 + i, talk(40)) for i in range(400)]
+    # Far from the entity; one text copied.
+    rows += [(600 + i, f"{talk(3)} Farfetch {talk(24)} kim@z.org {talk(9)}") for i in range(6)]
+    rows += [(700 + i, "signed by Copyman kit@y.net the of and") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = pii.find_entities(df).cache()
+    flagged = {r["term"] for r in pii.revealing_terms(df, found, 0.9, 0.98, 2, 0.01)[0].collect()}
+    assert flagged == {"please", "contact", "jane", "doe", "further", "details", "farfetch"}
+    texts = dict(rows)
+    for r in pii.scan_pii(df).filter("doc_id < 40").collect():
+        assert {"jane", "doe"} <= {texts[r["doc_id"]][t["start"] : t["end"]].lower() for t in r["terms"]}
+
+
+def test_two_texts_are_enough_where_chance_is_ruled_out(spark):
+    rows = [(i, f"word{i} the of and") for i in range(3000)] + [(5000 + i, f"of Wrenfield mia@q.org and {'the ' * i}") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert [len(r["terms"]) for r in pii.scan_pii(df).filter("doc_id >= 5000").collect()] == [1, 1]
+
+
 def test_rewritten_texts(people, odd_docs):
     before = {r["doc_id"]: r["text"] for r in people.collect()}
     for r in pii.sanitise(people.withColumn("n_chars", F.length("text"))).collect():
