@@ -9,15 +9,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Shapes of keys, and values assigned to telling names.
+NAMES = r"(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[:=]"
+# Shapes of keys, and values assigned to telling names. No length is too large, and
+# none too small for an assigned value: its length is a feature of the forest. An assigned value is
+# not itself a name with its own value, nor the head of a key block: these are findings of their own.
 PATTERNS = {
     "aws_key": r"\bA[KS]IA[0-9A-Z]{16}\b",
-    "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,255}\b",
-    "slack_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,250}",
-    "private_key": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----",
-    "jwt": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "assigned": r"(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{8,255}",
-    "long_hex": r"\b[0-9a-f]{32,128}\b",
+    "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}+\b",
+    "slack_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,}+",
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "jwt": r"\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
+    "assigned": rf"{NAMES}\s{{0,3}}[\"']?(?!{NAMES}|-----BEGIN )[^\s\"']++",
+    "long_hex": r"\b[0-9a-f]{32,}+\b",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Words whose letters in a candidate speak against a random value.
