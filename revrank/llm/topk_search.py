@@ -23,20 +23,27 @@ BLOCK_ROWS = 2048
 # From this cosine on, coordinates prune; below, lengths do.
 COORDINATES_FROM = 0.5
 FOCUS = 4
-# Largest |component| after scaling: sums of products then fit 64 bits.
-LARGEST = 1 << 24
+# Scores are 64-bit integers; these two values stand for those beyond.
+BELOW, ABOVE = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """(vec_id, x array of bigint, norm) of the vectors that take part; exact copies of a row once."""
-    scaled = F.transform(F.col(vector), lambda v: F.floor(v.cast("double") * scale))
+    """(vec_id, x array of whole doubles, norm) of the vectors that take part; exact copies of a row once."""
+
+    def whole(v):
+        # From 2^53 on every double is a whole number; floor() gives a bigint.
+        return F.when(F.abs(v) < 2.0**62, F.floor(v).cast("double")).otherwise(v)
+
+    scaled = F.transform(F.col(vector), lambda v: whole(v.cast("double") * scale))
     # NaN compares as larger than every number.
     usable = F.col(vector).isNotNull() & F.forall(
-        F.col(vector), lambda v: v.isNotNull() & (F.abs(v.cast("double")) * scale < LARGEST)
+        F.col(vector), lambda v: v.isNotNull() & (F.abs(v.cast("double")) < float("inf"))
     )
     rows = vectors.filter(F.coalesce(usable, F.lit(False)) & F.col(key).isNotNull())
     rows = rows.select(F.col(key).alias("vec_id"), scaled.alias("x")).distinct()
-    return rows.withColumn("norm", F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v)))
+    norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
+    too_long = F.raise_error(F.lit("a vector's length is beyond double")).cast("double")
+    return rows.withColumn("norm", F.when(norm < float("inf"), norm).otherwise(too_long))
 
 
 def _blocks(rows: DataFrame, name: str, bucketed: bool) -> DataFrame:
@@ -54,7 +61,7 @@ def _blocks(rows: DataFrame, name: str, bucketed: bool) -> DataFrame:
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["norm", "vec_id"], ascending=[False, True], kind="stable")
         dims = int(frame["x"].map(len).max())
-        matrix = np.zeros((len(frame), dims), np.int32)
+        matrix = np.zeros((len(frame), dims))
         for i, x in enumerate(frame["x"]):
             matrix[i, : len(x)] = x
         top = float(frame["norm"].max())
@@ -72,15 +79,30 @@ def _blocks(rows: DataFrame, name: str, bucketed: bool) -> DataFrame:
 
 def _matrix(row, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, dims = getattr(row, f"{name}_n"), getattr(row, f"{name}_dims")
-    matrix = np.frombuffer(getattr(row, f"{name}_matrix"), np.int32).reshape(n, dims)
+    matrix = np.frombuffer(getattr(row, f"{name}_matrix"), np.float64).reshape(n, dims)
     return np.frombuffer(getattr(row, f"{name}_ids"), np.int64), np.frombuffer(getattr(row, f"{name}_norms"), np.float64), matrix
 
 
 def _products(a: np.ndarray, b: np.ndarray, bound: float) -> np.ndarray:
-    """Exact integer products: in doubles while every partial sum stays below 2^53."""
+    """Exact products of whole numbers, as BELOW or ABOVE where they leave 64 bits.
+
+    ``bound``, the product of the largest lengths, limits every partial sum. Doubles do below
+    2^52. Above, 64-bit sums are right but for multiples of 2^64, and rounded sums tell where
+    those may be missing; there Python's integers decide.
+    """
+    rough = a @ b.T
     if bound < 2.0**52:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+        return rough.astype(np.int64)
+    error = bound * (a.shape[1] + 8) * 2.0**-52
+    sure = np.abs(rough) + error < 2.0**63
+    scores = np.where(rough > 0, ABOVE, BELOW)
+    if max(np.abs(a).max(initial=0), np.abs(b).max(initial=0)) < 2.0**63:
+        scores[sure] = (a.astype(np.int64) @ b.astype(np.int64).T)[sure]
+    else:
+        sure[:] = False
+    for i, j in zip(*np.nonzero(~sure & (np.abs(rough) - error < 2.0**63))):
+        scores[i, j] = min(max(sum(int(x) * int(y) for x, y in zip(a[i], b[j])), BELOW), ABOVE)
+    return scores
 
 
 def search_block(query, candidate, least: dict[int, float], k: int) -> list[tuple[int, int, int]]:
@@ -91,7 +113,7 @@ def search_block(query, candidate, least: dict[int, float], k: int) -> list[tupl
     q = np.pad(q, ((0, 0), (0, dims - q.shape[1])))
     c = np.pad(c, ((0, 0), (0, dims - c.shape[1])))
     if not dims:
-        q, c = np.zeros((len(q_ids), 1), np.int32), np.zeros((len(c_ids), 1), np.int32)
+        q, c = np.zeros((len(q_ids), 1)), np.zeros((len(c_ids), 1))
     bound = np.array([least.get(int(i), -np.inf) for i in q_ids])
     top = float(c_norms[0])
     reach = q_norms * top
@@ -104,11 +126,13 @@ def search_block(query, candidate, least: dict[int, float], k: int) -> list[tupl
     def keep(i: int, at: np.ndarray, scores: np.ndarray) -> None:
         right = (c_ids[at] != q_ids[i]) & (scores >= bound[i])
         at, scores = at[right], scores[right]
+        if len(at) and scores.max() == ABOVE:
+            raise OverflowError(f"a best score of vector {q_ids[i]} does not fit bigint")
         if len(at) > k:
             # All that tie with the k-th stay for the order by id.
             least_kept = np.partition(scores, len(scores) - k)[len(scores) - k]
             at, scores = at[scores >= least_kept], scores[scores >= least_kept]
-        order = np.lexsort((c_ids[at], -scores))[:k]
+        order = np.lexsort((c_ids[at], ~scores))[:k]
         found.extend((int(q_ids[i]), int(c_ids[at[j]]), int(scores[j])) for j in order)
 
     by_length = np.flatnonzero((cosine <= 1) & (cosine < COORDINATES_FROM))
@@ -166,9 +190,9 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by ``every`` the best k others.
 
-    Components become floor(scale * x); the score is their inner product, exact. Vectors that
-    are null or hold null, NaN, infinite or (scaled) over 2^24 components take no part, nor do
-    rows with a null id. Vectors of different length are compared as if padded with zeros.
+    Components become floor(scale * x); the score is their inner product, exact at any length.
+    A score among the best k that does not fit bigint is an error. Vectors that are null or hold
+    null, NaN or infinite components take no part, nor do rows with a null id. Vectors of different length are compared as if padded with zeros.
     Rows equal in id and vector count once; a row with the query's id is never its result.
     Ties go to the smaller id. Fewer than k others give fewer rows, an empty table none.
 
@@ -215,4 +239,6 @@ def top_k(
     pairs = ids.select("q_id", "c_id").join(queries, "q_id").join(packed.drop("need"), "q_id").join(candidates, "c_id")
     found = first.drop("rank").unionByName(_search(pairs.repartition("q_id", "c_id"), k))
     best = _best(found, k)
-    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    unfit = F.raise_error(F.lit("a best score does not fit bigint")).cast("bigint")
+    score = F.when(F.col("score") > BELOW, F.col("score")).otherwise(unfit)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))

@@ -45,6 +45,31 @@ def test_equals_brute_force_over_many_blocks(spark, monkeypatch, spread):
     assert found(df) == brute(rows)
 
 
+def test_large_components_stay(spark, monkeypatch):
+    """Lengths up to where scores just fit 64 bits, and beyond where they are never among the best."""
+    monkeypatch.setattr(topk_search, "BLOCK_ROWS", 40)
+    rng = random.Random(7)
+    rows = [(i, [rng.gauss(0, 1) * 10 ** rng.choice([0, 2, 5, 6]) for _ in range(6)]) for i in range(300)]
+    rows += [(400 + i, [rng.randint(-(1 << 22), 1 << 22) + 0.5 for _ in range(6)]) for i in range(60)]
+    rows += [(500, [70000.0, 1.0, 0.0, 0.0, 0.0, 0.0]), (501, [70000.0, 0.0, 0.0, 0.0, 0.0, 0.0])]
+    assert found(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")) == brute(rows)
+    far = [(0, [1.0, -1e20, 3.0]), (1, [2.0, 1e20, 1e5]), (2, [-7.0, 0.0, 5e12]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 0.0, 2e5]), (5, [1.0, 0.0, 9.0]), (6, [2.0, 0.0, 4.0])]
+    assert found(spark.createDataFrame(far, "vec_id bigint, embedding array<double>")) == brute(far)
+    with pytest.raises(Exception, match="does not fit bigint"):
+        found(spark.createDataFrame([(0, [1e20]), (1, [1e20])], "vec_id bigint, embedding array<double>"))
+
+
+def test_products_are_exact_at_any_length():
+    import numpy as np
+
+    rng = random.Random(8)
+    for top in (1 << 20, 1 << 29, 1 << 31, 1 << 40, 1 << 70):
+        a, b = ([[float(rng.randint(-top, top)) for _ in range(5)] for _ in range(30)] for _ in range(2))
+        bound = max(math.hypot(*x) for x in a) * max(math.hypot(*x) for x in b)
+        want = [[min(max(sum(int(p) * int(q) for p, q in zip(x, y)), topk_search.BELOW), topk_search.ABOVE) for y in b] for x in a]
+        assert topk_search._products(np.array(a), np.array(b), bound).tolist() == want
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame(
         [(0, [1.0, 2.0], 1), (0, [1.0, 2.0], 1), (1, [3.0], 2), (2, [], 2), (3, [-1.0, 0.5, 7.0], None)],
