@@ -16,6 +16,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 UNKNOWN = "unknown"
 FIRST_FAMILY = 1
@@ -99,7 +100,10 @@ OTHER = [
     "You may obtain a copy of the book at the library.",
     "The restaurant lost its liquor license in April.",
 ]
-# Every template holds one of these, so a paragraph without any cannot be confirmed.
+# Wrapped sentences are read in windows of so many lines, one from every third line on: any six
+# neighbouring lines are together in one.
+WINDOW_LINES, WINDOW_STEP = 8, 3
+# Paragraphs with one of these are returned even if their family is unknown.
 CUES = r"(?i)licen[cs]|copyright|permission|redistribut|rights reserved|public domain|spdx"
 # Words put around the sentences to make further training paragraphs.
 AROUND = ["", "Note:", "See the file for details.", "Copyright (c) 2020 The Authors.", "# //", "and the of was in"]
@@ -167,26 +171,40 @@ def with_ngrams(df: DataFrame) -> DataFrame:
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, confirm_from: float = 0.6) -> DataFrame:
-    """(doc_id, paragraph_no, family, score, similarity, confirmed, paragraph) per paragraph with licence words.
-
-    Paragraphs are the lines of a text, numbered from 1. ``family`` is ``unknown`` where no
-    family reaches the calibrated threshold. ``similarity`` is the largest share of a
-    template's word pairs found in the paragraph, over the family's templates; the prediction
-    is ``confirmed`` from ``confirm_from`` on. Null and empty texts have no paragraphs;
-    repeated rows give repeated results; extra columns are not looked at; null ids stay null.
-    Paragraphs without any licence word can share no template's sentence and are passed over.
+    """(doc_id, paragraph_no, family, score, similarity, confirmed, paragraph, lines) per paragraph of a licence.
+
+    Paragraphs are the lines of a text, numbered from 1, and windows of ``WINDOW_LINES`` lines,
+    numbered by their first, for sentences that are wrapped. All are classified. ``family`` is
+    ``unknown`` where no family reaches the calibrated threshold. ``similarity`` is the largest
+    share of a template's word pairs found in the paragraph, over the family's templates; the
+    prediction is ``confirmed`` from ``confirm_from`` on, a window's unless a window that overlaps
+    is more similar to another family. Returned are lines with a family or a
+    licence word, and windows with a family that none of their lines has, or none confirmed
+    where the window is. Windows that overlap may tell of the same sentence. Null and empty
+    texts have no paragraphs; repeated rows give repeated results; extra columns are not looked
+    at; null ids stay null.
     """
-    lines = docs.filter(F.col("text").rlike(CUES)).select("doc_id", F.posexplode(F.split("text", "\r?\n")).alias("n", "paragraph"))
-    rows = with_ngrams(lines.filter(F.col("paragraph").rlike(CUES)))
+    split = docs.select("doc_id", F.monotonically_increasing_id().alias("__row"), F.split("text", "\r?\n").alias("__lines"))
+    size = F.size("__lines")
+    starts = F.when(size > 1, F.sequence(F.lit(0), size - 2, F.lit(WINDOW_STEP))).otherwise(F.array().cast("array<int>"))
+    single = F.transform("__lines", lambda x, i: F.struct(i.alias("n"), F.lit(1).alias("lines"), x.alias("paragraph")))
+    joined = F.transform(starts, lambda i: F.struct(
+        i.alias("n"), F.least(F.lit(WINDOW_LINES), size - i).alias("lines"),
+        F.array_join(F.slice("__lines", i + 1, F.lit(WINDOW_LINES)), "\n").alias("paragraph"),
+    ))
+    paragraphs = split.select("doc_id", "__row", F.inline(F.concat(single, joined)))
+    rows = with_ngrams(paragraphs.filter(F.col("paragraph").rlike(r"\S")))
     hashing, regression = model.pipeline.stages
     scored = regression.transform(hashing.transform(rows))
     probabilities = vector_to_array("__probability")
-    scored = scored.withColumn("__p", probabilities)
+    # Unpacked from an array, so that the filter below is not run with copies of the whole model.
+    scored = scored.select("doc_id", "__row", "n", "lines", "paragraph", "__pairs", F.inline(F.array(F.struct(probabilities.alias("__p")))))
     families = F.array(*[F.lit(f) for f in model.families])
     best = F.array_max(F.slice("__p", F.lit(FIRST_FAMILY + 1), F.size("__p")))
     scored = scored.withColumn("score", best)
     family = F.when(F.col("score") >= model.threshold, F.element_at(families, F.array_position("__p", F.col("score")).cast("int")))
     scored = scored.withColumn("family", F.coalesce(family, F.lit(UNKNOWN)))
+    scored = scored.filter((F.col("family") != UNKNOWN) | ((F.col("lines") == 1) & F.col("paragraph").rlike(CUES)))
     spark = docs.sparkSession
     templates = spark.createDataFrame(
         [(f, t) for f, sentences in TEMPLATES.items() for t in sentences], "family string, paragraph string"
@@ -200,7 +218,19 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, confirm_from: float = 0.
     for name, arrays in sorted(pairs.items()):
         shares = [F.size(F.array_intersect("__pairs", F.array(*[F.lit(x) for x in a]))) / len(a) for a in arrays if a]
         shared = F.when(F.col("family") == name, F.greatest(*shares, F.lit(0.0))).otherwise(shared)
-    return scored.select(
-        "doc_id", (F.col("n") + 1).alias("paragraph_no"), "family", "score", shared.alias("similarity"),
-        ((F.col("family") != UNKNOWN) & (shared >= confirm_from)).alias("confirmed"), "paragraph",
+    confirmed = (F.col("family") != UNKNOWN) & (F.col("similarity") >= confirm_from)
+    told = scored.select("doc_id", "__row", "n", "lines", "family", "score", shared.alias("similarity"), "paragraph")
+    # Half of a sentence may resemble that of another family: what windows around tell better is not confirmed.
+    around = Window.partitionBy("__row").orderBy("n").rangeBetween(1 - WINDOW_LINES, WINDOW_LINES - 1)
+    own = Window.partitionBy("__row", "family").orderBy("n").rangeBetween(1 - WINDOW_LINES, WINDOW_LINES - 1)
+    joint = F.when(F.col("lines") > 1, F.col("similarity"))
+    told = told.withColumn("__rival", F.max(joint).over(around)).withColumn("__own", F.max(joint).over(own))
+    told = told.withColumn("confirmed", confirmed & ((F.col("lines") == 1) | (F.col("__own") >= F.col("__rival"))))
+    # What the lines of a window tell of its family: 2 confirmed, 1 not, 0 nothing.
+    level = F.when(F.col("confirmed"), 2).otherwise(1)
+    inside = Window.partitionBy("__row", "family").orderBy("n").rangeBetween(0, WINDOW_LINES - 1)
+    by_lines = F.coalesce(F.max(F.when(F.col("lines") == 1, level)).over(inside), F.lit(0))
+    kept = told.withColumn("__by_lines", by_lines).filter((F.col("lines") == 1) | (level > F.col("__by_lines")))
+    return kept.select(
+        "doc_id", (F.col("n") + 1).alias("paragraph_no"), "family", "score", "similarity", "confirmed", "paragraph", "lines"
     )

@@ -76,6 +76,18 @@ def test_licenses_in_texts(spark, license_model):
     assert rows[(4, 1)]["family"] == rows[(5, 1)]["family"] == "unknown"
 
 
+def test_wrapped_headers_and_notices_without_stems(spark, license_model):
+    import textwrap
+
+    long = {f: max(license_scan.TEMPLATES[f], key=len) for f in ("mit", "gpl", "bsd", "apache")}
+    texts = [f"import os\n\n{textwrap.fill(t, 72, initial_indent=' * ', subsequent_indent=' * ')}\n\nint x\n" for t in long.values()]
+    texts += ["Creative Commons Attribution 4.0 International", "Released under CC BY-NC 4.0.", "the of\nand was\nin to\nit"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = license_scan.scan_licenses(df, license_model).collect()
+    assert {(r["doc_id"], r["family"]) for r in rows if r["confirmed"] and r["doc_id"] < 4} == set(enumerate(long))
+    assert {(r["doc_id"], r["family"]) for r in rows if r["doc_id"] >= 4} == {(4, "cc-by"), (5, "cc-by-nc")}
+
+
 def test_licenses_odd_rows(spark, odd_docs, license_model):
     assert license_scan.scan_licenses(odd_docs, license_model).count() == 0
     mit = "Released under the MIT License."
