@@ -12,10 +12,13 @@ from revrank.llm.license_scan import labelled_paragraphs, scan_licenses, train_l
 from revrank.llm.mixing import mix_sources
 from revrank.llm.near_dedup import near_duplicates
 from revrank.llm.order_minhash import fingerprints
+from revrank.llm.periodic_runs import longest, periodic_runs, repeated_tail
 from revrank.llm.pii import scan_pii, span_text
 from revrank.llm.registry import query
 from revrank.llm.secret_scan import labelled_findings, scan_secrets, train_secret_forest
 from revrank.llm.sentencepiece_bpe import encoding_digests
+from revrank.llm.token_alignment import align_tokenizers
+from revrank.llm.token_files import token_file_digests, write_token_files
 from revrank.llm.topk_search import top_k
 from revrank.llm.url_filter import judge_urls, labelled_urls, train_url_filter
 
@@ -157,6 +160,67 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+OP11_SQL = r"""
+WITH bits AS (SELECT range(8) AS eight),
+hashed AS (
+  SELECT doc_id, text, xor(list_reduce(
+      list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+      lambda crc, c: list_reduce(list_transform(eight, lambda b: b::BIGINT),
+        lambda a, b: xor(a >> 1, (a & 1) * 3988292384), xor(crc, c)), 4294967295), 4294967295) AS h
+  FROM documents, bits),
+words AS (
+  SELECT doc_id, h, h // 10 AS g, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM hashed),
+tails AS (SELECT *, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN g % len(w) END AS a FROM words),
+texts AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+         list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w
+  FROM tails),
+placed AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM texts),
+matches AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM placed x JOIN placed y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l),
+gone AS (SELECT DISTINCT r.doc_id, p.i FROM runs r JOIN placed p ON p.doc_id = r.doc_id AND p.i >= r.s + r.q AND p.i < r.s + r.l),
+collapsed AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM placed p
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = p.doc_id AND g.i = p.i) GROUP BY doc_id),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY l DESC, s, q) AS r FROM runs) WHERE r = 1)
+SELECT d.doc_id, coalesce(t.n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.l::BIGINT AS length, b.q::BIGINT AS period,
+       (1000 * b.l // b.q)::BIGINT AS exponent_milli,
+       sha256(coalesce(t.t, '')) AS runs_sha256, sha256(coalesce(c.t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN told t USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN collapsed c USING (doc_id)
+"""
+
+
+@query("op11_periodic_runs", OP11_SQL)
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), rewrite=repeated_tail)
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", longest("runs"))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokenizers(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_file_digests(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
