@@ -55,21 +55,30 @@ def level_widths(ids: np.ndarray) -> list[int]:
 
 
 def pack(values: np.ndarray, width: int) -> bytes:
-    out = []
-    for at in range(0, len(values), 1 << 19):
-        part = np.ascontiguousarray(values[at : at + (1 << 19)], "<u4")
-        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 4), axis=1, count=width, bitorder="little")
-        out.append(np.packbits(bits, bitorder="little").tobytes())
-    return b"".join(out)
+    """``width`` bits of every value, low bit first; eight values take ``width`` bytes."""
+    rows = np.zeros((-(-len(values) // 8), 8), np.uint64)
+    rows.reshape(-1)[: len(values)] = values
+    out = np.zeros((len(rows), width), np.uint8)
+    for j in range(8):
+        byte, shift = divmod(j * width, 8)
+        moved = rows[:, j] << np.uint64(shift)
+        for k in range(-(-(shift + width) // 8)):
+            out[:, byte + k] |= (moved >> np.uint64(8 * k)).astype(np.uint8)
+    return out.tobytes()
 
 
 def unpack(data: bytes, skip: int, n: int, width: int) -> np.ndarray:
-    """``n`` values of ``width`` bits, ``skip`` bits into ``data``."""
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=skip + n * width, bitorder="little")[skip:].reshape(n, width)
-    full = 16 if width <= 16 else 32
-    padded = np.zeros((n, full), np.uint8)
-    padded[:, :width] = bits
-    return np.packbits(padded, axis=1, bitorder="little").view("<u2" if full == 16 else "<u4").reshape(n).astype(np.uint32)
+    """``n`` values of ``width`` bits after the first ``skip`` ones of ``data`` (whole groups of eight)."""
+    rows = np.frombuffer(data, np.uint8).reshape(-1, width)
+    kind = np.uint32 if width <= 25 else np.uint64
+    out = np.empty((len(rows), 8), np.uint32)
+    for j in range(8):
+        byte, shift = divmod(j * width, 8)
+        value = rows[:, byte].astype(kind)
+        for k in range(1, -(-(shift + width) // 8)):
+            value |= rows[:, byte + k].astype(kind) << kind(8 * k)
+        out[:, j] = (value >> kind(shift)) & kind((1 << width) - 1)
+    return out.reshape(-1)[skip : skip + n]
 
 
 def write_codes(out, ids: np.ndarray, starts: np.ndarray, keys: pa.Array) -> None:
@@ -137,14 +146,18 @@ class CodeFile:
 
     def read(self, start: int, stop: int) -> np.ndarray:
         """Tokens from place ``start`` to before ``stop``."""
-        ids = np.zeros(stop - start, np.uint32)
+        ids = np.zeros(0, np.uint32)
         where, shift = np.arange(stop - start), 0
         for level in self.header["levels"]:
             if not len(where):
                 break
             width = level["width"]
-            data = self._read(level["chunks"], start * width // 8, -(-stop * width // 8))
-            ids[where] |= unpack(data, start * width % 8, stop - start, width) << np.uint32(shift)
+            data = self._read(level["chunks"], start // 8 * width, -(-stop // 8) * width)
+            chunks = unpack(data, start % 8, stop - start, width) << np.uint32(shift)
+            if shift:
+                ids[where] |= chunks
+            else:
+                ids = chunks
             if "more" not in level:
                 break
             where = where[self._bits(level["more"], start, stop)]
