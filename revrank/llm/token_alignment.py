@@ -180,7 +180,9 @@ def _chunk_row(number: int, parts: list[tuple[pa.Array, pa.Table, pa.Table]]) ->
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=names)
 
 
-def aligned_chunks(docs: DataFrame, byte_level_path: str, piece_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def aligned_chunks(
+    docs: DataFrame, byte_level_path: str, piece_path: str, text: str = "text", key: str = "doc_id", chunk_pairs: int = CHUNK_PAIRS
+) -> DataFrame:
     """One row per chunk of rows of ``docs``: chunk, documents, links (both packed), pair, docs."""
     context = docs.sparkSession.sparkContext
     for path in (byte_level_path, piece_path):
@@ -196,7 +198,7 @@ def aligned_chunks(docs: DataFrame, byte_level_path: str, piece_path: str, text:
             documents, pairs = align(aligner, batch.column(1).to_pylist())
             parts.append((batch.column(0), documents, pairs))
             held += len(pairs)
-            if held >= CHUNK_PAIRS:
+            if held >= chunk_pairs:
                 yield _chunk_row(chunk, parts)
                 parts, held, chunk = [], 0, chunk + 1
         if parts:
@@ -225,7 +227,9 @@ def pair_counts(chunks: DataFrame) -> DataFrame:
     return counts.join(most, "a").select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
 
 
-def align_tokenizers(docs: DataFrame, byte_level_path: str, piece_path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
+def align_tokenizers(
+    docs: DataFrame, byte_level_path: str, piece_path: str, text: str = "text", key: str = "doc_id", chunk_pairs: int = CHUNK_PAIRS
+) -> DataFrame:
     """Per row of ``docs``: key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
     A (byte-level) encodes a space and the text, B (pieces) the text, both without special
@@ -234,11 +238,11 @@ def align_tokenizers(docs: DataFrame, byte_level_path: str, piece_path: str, tex
     documents, so repeated rows count as often as they occur; null keys stay null; other
     columns are not looked at; an empty table gives an empty one. Texts are read whole.
 
-    A chunk's pairs are different ones, at most about ``CHUNK_PAIRS`` or those of one text, and
+    A chunk's pairs are different ones, at most about ``chunk_pairs`` or those of one text, and
     only they travel to be counted; a pair in every document is one row per chunk.
     """
     kind = docs.schema[key].dataType.simpleString()
-    chunks = cut(aligned_chunks(docs, byte_level_path, piece_path, text, key))
+    chunks = cut(aligned_chunks(docs, byte_level_path, piece_path, text, key, chunk_pairs))
     listed = chunks.select("chunk", F.posexplode("pair").alias("at", "pair"))
     wanted = listed.join(pair_counts(chunks), "pair").select("chunk", "at", "docs", "best")
     names = [key, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
