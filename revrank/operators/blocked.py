@@ -213,3 +213,70 @@ def blocked_logsumexp(
             + F.log(F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["total"] * F.exp(p["top"] - F.col("top"))))
         ).alias("lse"),
     )
+
+
+def blocked_softmax_gradients(
+    states: DataFrame,
+    items: DataFrame,
+    d: int,
+    n: int,
+    user_block: int = USER_BLOCK,
+    item_block: int = ITEM_BLOCK,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(id, is_row, v, loss): gradients of the mean cross-entropy over ``n`` rows, in parts to be added up.
+
+    ``states``: row, target (an item), h, lse (log of the softmax denominator). A row's part is
+    the gradient in its h, an item's part that in its vector; an item's parts are summed over all
+    states of a task. A task holds sums for ``broadcast_bytes`` of items and hands them on beyond.
+    """
+    most = max(1, broadcast_bytes // (8 * d * item_block))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, list] = {}
+        key, uids, own, loss = None, None, None, 0.0
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame({"id": uids, "is_row": True, "v": list(own), "loss": 0.0})
+
+        def item_sums() -> Iterator[pd.DataFrame]:
+            for iids, total, part in sums.values():
+                losses = np.zeros(len(iids))
+                losses[0] = part
+                yield pd.DataFrame({"id": iids, "is_row": False, "v": list(total), "loss": losses})
+            sums.clear()
+
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                ids, u = _matrix(row.uids, row.umat)
+                iids, i = _matrix(row.iids, row.imat)
+                h, lse, target = u[:, :d], u[:, d], u[:, d + 1].astype(np.int64)
+                logits = h @ i.T
+                p = np.exp(logits - lse[:, None])
+                at = np.minimum(np.searchsorted(iids, target), len(iids) - 1)
+                hit = np.flatnonzero(iids[at] == target)
+                p[hit, at[hit]] -= 1.0
+                p /= n
+                loss = float((lse[hit] - logits[hit, at[hit]]).sum()) / n
+                if key != (row.ub, row.slice):
+                    if key is not None:
+                        yield rows()
+                    key, uids, own = (row.ub, row.slice), ids, np.zeros((len(ids), d))
+                own += p @ i
+                name = (int(iids[0]), len(iids))
+                if name not in sums:
+                    if len(sums) >= most:
+                        yield from item_sums()
+                    sums[name] = [iids, np.zeros((len(iids), d)), 0.0]
+                sums[name][1] += p.T @ h
+                sums[name][2] += loss
+        if key is not None:
+            yield rows()
+        yield from item_sums()
+
+    packed = states.select(
+        F.col("row").alias("user_idx"), F.concat("h", F.array("lse", F.col("target").cast("double"))).alias("uvec")
+    )
+    pairs = _block_pairs(packed, items, None, user_block, item_block, broadcast_bytes)
+    columns = "id bigint, is_row boolean, v array<double>, loss double"
+    return pairs.select("ub", "slice", "uids", "umat", "iids", "imat").mapInPandas(run, columns)

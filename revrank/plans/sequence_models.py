@@ -1,8 +1,8 @@
-"""Next-item models over the user's newest items, trained with window sums.
+"""Next-item models over the user's newest items.
 
 Both keep one vector per item. A user's state before a row is a mix of the vectors of the
-up to L rows before it. The pooled model mixes by windows forward (state) and backward
-(gradient), so an epoch costs one shuffle of the log by user, whatever L is.
+up to L rows before it. Histories are packed once; an epoch brings vectors to the packed
+chunks, works out gradients in the tasks and sums them per item (operators.sequence_blocks).
 """
 
 from __future__ import annotations
@@ -12,71 +12,80 @@ import math
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from revrank.functions.hashing import with_row_id
-from revrank.functions.scores import bpr_term, sigmoid
-from revrank.functions.vectors import dot, dot_wide, names, to_array
-from revrank.operators import positions, sampling
+from revrank.functions.vectors import dot, names, to_array
+from revrank.operators import sampling
 from revrank.operators.aggregates import first_price_per_item
 from revrank.operators.blocked import blocked_logsumexp, blocked_topk
-from revrank.operators.graph import EDGES_PER_COPY, spread
+from revrank.operators.graph import EDGES_PER_COPY
+from revrank.operators.sequence_blocks import CHUNK, attention_gradient, chunk_nodes, pack_histories, pooled_softmax_gradient
 from revrank.operators.sequences import last_n_history
 from revrank.plans.base import Recommender
-from revrank.plans.training import adam_step, gather, start_state, sum_gradients
+from revrank.plans.training import adam_step, gather, start_state
 from revrank.session import cut
 from revrank.sources.schema import price_from_items
 
 
 class _SequenceRecommender(Recommender):
-    def __init__(self, dim: int, max_len: int, lr: float, weight_decay: float, epochs: int, time, seed: int):
+    def __init__(self, dim: int, max_len: int, lr: float, weight_decay: float, epochs: int, time, seed: int, chunk: int = CHUNK):
         super().__init__(seed)
+        self.chunk = chunk
         self.dim, self.max_len, self.lr, self.weight_decay, self.epochs = dim, max_len, lr, weight_decay, epochs
         self.time = time or ["timestamp", "item_idx"]
         self.losses: list[float] = []
 
-    def _rows(self, log: DataFrame, item_features: DataFrame | None) -> DataFrame:
-        """Log rows with a negative, a loss weight and chunk numbers; written once, used every epoch."""
-        log = price_from_items(log, item_features)
-        base = log.select("user_idx", "item_idx", "price", *[c for c in self.time if c != "item_idx"])
-        base = cut(with_row_id(base))
-        self.slots = cut(sampling.numbered_items(base))
-        counts = base.groupBy(F.col("item_idx").alias("node")).agg(F.count("*").alias("n"))
-        self.nodes = cut(counts.select("node", F.ceil(F.col("n") / EDGES_PER_COPY).cast("int").alias("copies")))
-        key = ["user_idx", "item_idx", *[c for c in self.time if c != "item_idx"]]
-        drawn = self._negatives(base, key)
-        spread_rows = spread(drawn, self.nodes, "item_idx", "user_idx", "icopy")
-        chunked = positions.chunk_rows(spread_rows, ["user_idx"], self.time, self.max_len, self.max_len)
-        return cut(chunked)
-
-    def _negatives(self, base: DataFrame, key: list[str]) -> DataFrame:
-        drawn = sampling.negative_sample_unseen(
-            base.select("row_id", *key), ["row_id"], base, self.slots, seed=self.seed
-        )
-        return base.join(drawn.select("row_id", "neg_idx"), "row_id").drop("row_id")
-
-    def _window(self) -> Window:
-        return Window.partitionBy("user_idx", "__chunk").orderBy(*self.time)
+    def _pack(self, log: DataFrame, item_features: DataFrame | None, extras: list[str]) -> None:
+        """Chunks of histories, their links to items, and the node table; written once, used every epoch."""
+        base = self._base(log, item_features)
+        self.chunks = pack_histories(base, self.time, self.max_len, extras, self.chunk)
+        lists = ["items", *[c for c in extras if c == "negs"]]
+        self.links, used = chunk_nodes(self.chunks, lists, EDGES_PER_COPY)
+        # Items that nobody touched take part in the softmax and can be recommended, too.
+        every = log.select("item_idx") if item_features is None else log.select("item_idx").union(item_features.select("item_idx"))
+        nodes = every.distinct().withColumnRenamed("item_idx", "node").join(used, "node", "left")
+        self.nodes = cut(nodes.select("node", F.coalesce("copies", F.lit(1)).alias("copies")))
+        live = F.size(F.filter("own", lambda x: x)) - F.when(F.get("own", F.lit(0)), 1).otherwise(0)
+        self.n_rows = self.chunks.agg(F.sum(live)).first()[0] or 0
+        if not self.n_rows:
+            raise ValueError("no user has two log rows")
+
+    def _base(self, log: DataFrame, item_features: DataFrame | None) -> DataFrame:
+        return log.select("user_idx", "item_idx", *[c for c in self.time if c != "item_idx"])
 
     def _start(self) -> DataFrame:
-        return cut(start_state(self.nodes, self.dim, self.seed, 1.0 / math.sqrt(self.dim)))
+        return cut(start_state(self.nodes, self.dim, self.seed, self._scale()))
+
+    def _scale(self) -> float:
+        return 1.0 / math.sqrt(self.dim)
 
     def _vectors(self, state: DataFrame) -> DataFrame:
         return state.select("node", "copies", *names(self.dim))
 
+    def _gradient(self, emb: DataFrame) -> DataFrame:
+        """(node, e0.., loss) of the whole log at the vectors ``emb``."""
+        raise NotImplementedError
+
+    def _limit(self, grad: DataFrame) -> DataFrame:
+        return grad
+
+    def _epoch(self, state: DataFrame, step: int) -> DataFrame:
+        grad = cut(self._gradient(self._vectors(state)))
+        self.losses.append(grad.agg(F.sum("loss")).first()[0])
+        return cut(adam_step(state, self._limit(grad), self.dim, step, self.lr, self.weight_decay))
+
     def _newest(self, log: DataFrame, users: DataFrame) -> DataFrame:
         asked = log.select("user_idx", "item_idx", *[c for c in self.time if c != "item_idx"])
         asked = asked.join(users.select("user_idx").distinct(), "user_idx", "left_semi")
         return last_n_history(asked, self.max_len, self.time)
 
     def _items(self, items: DataFrame, prices: DataFrame) -> DataFrame:
-        """Candidates that have a vector, as vector and price."""
+        """Candidates as vector and price; an item that was unknown to ``fit`` has its start vector."""
         vec = self.state.select(F.col("node").alias("item_idx"), to_array(self.dim).alias("v"))
-        return (
-            items.select("item_idx").join(vec, "item_idx").join(prices, "item_idx", "left").select(
-                "item_idx", F.concat("v", F.array(F.coalesce("price", F.lit(1.0)))).alias("ivec")
-            )
-        )
+        fresh = start_state(items.select(F.col("item_idx").alias("node"), F.lit(1).alias("copies")), self.dim, self.seed, self._scale())
+        start = fresh.select(F.col("node").alias("item_idx"), to_array(self.dim).alias("s"))
+        found = start.join(vec, "item_idx", "left").join(prices, "item_idx", "left")
+        return found.select("item_idx", F.concat(F.coalesce("v", "s"), F.array(F.coalesce("price", F.lit(1.0)))).alias("ivec"))
 
     def _with_cold(self, states: DataFrame, users: DataFrame) -> DataFrame:
         """Users without history start from the zero state."""
@@ -103,67 +112,29 @@ def _sigmoid_price(power: float):
 
 
 class SequencePoolRecommender(_SequenceRecommender):
-    """State = half the newest item, half the mean of the last L; score = softmax * price."""
+    """State = half the newest item, half the mean of the last L; score = softmax * price.
+
+    Trained on the full softmax: the next item against all items, whole-log gradients.
+    """
 
     def __init__(self, embed_dim: int = 64, lr: float = 1e-3, weight_decay: float = 1e-5, epochs: int = 5,
-                 max_seq_len: int = 50, time: list[str] | None = None, seed: int = 42):
-        super().__init__(embed_dim, max_seq_len, lr, weight_decay, epochs, time, seed)
+                 max_seq_len: int = 50, time: list[str] | None = None, seed: int = 42, chunk: int = CHUNK):
+        super().__init__(embed_dim, max_seq_len, lr, weight_decay, epochs, time, seed, chunk)
 
     def fit(self, log, user_features=None, item_features=None):
-        rows = self._rows(log, item_features)
-        n = rows.filter("__own").count()
+        self._pack(log, item_features, [])
         state = self._start()
         for epoch in range(self.epochs):
-            state = self._epoch(rows, state, n, epoch + 1)
+            state = self._epoch(state, epoch + 1)
         self.state = state
         self.history = log
         return self
 
-    def _epoch(self, rows: DataFrame, state: DataFrame, n: int, step: int) -> DataFrame:
-        d, w = self.dim, self._window()
-        past, future = w.rowsBetween(-self.max_len, -1), w.rowsBetween(1, self.max_len)
-        emb = self._vectors(state)
-        found = gather(rows, emb, "item_idx", "e", d, "icopy")
-        found = gather(found, emb, "neg_idx", "n", d)
-        mixed = found.withColumns(
-            {"__size": F.count("*").over(past)}
-            | {f"h{j}": (F.avg(f"e{j}").over(past) + F.lag(f"e{j}", 1).over(w)) / 2.0 for j in range(d)}
-        )
-        pulled = mixed.withColumns({"pos": dot_wide("h", "e", d), "neg": dot_wide("h", "n", d)})
-        # The first row of a user has no state and teaches nothing.
-        live = F.col("__size") > 0
-        pulled = pulled.withColumns(
-            {
-                "__g": F.when(live, -sigmoid(F.col("neg") - F.col("pos")) / n).otherwise(0.0),
-                "__loss": F.when(live, bpr_term("pos", "neg") / n).otherwise(0.0),
-            }
-        )
-        pulled = pulled.withColumns({f"q{j}": F.col("__g") * (F.col(f"e{j}") - F.col(f"n{j}")) for j in range(d)})
-        share = F.greatest(F.col("__size"), F.lit(1))
-        back = pulled.withColumns(
-            {
-                f"b{j}": (
-                    F.coalesce(F.sum(F.col(f"q{j}") / share).over(future), F.lit(0.0))
-                    + F.coalesce(F.lead(f"q{j}", 1).over(w), F.lit(0.0))
-                ) / 2.0
-                for j in range(d)
-            }
-        )
-        g = F.col("__g")
-        own = back.filter("__own").withColumns({f"h{j}": F.coalesce(f"h{j}", F.lit(0.0)) for j in range(d)})
-        grad = cut(
-            sum_gradients(
-                own,
-                [
-                    ("item_idx", lambda j: g * F.col(f"h{j}") + F.col(f"b{j}")),
-                    ("neg_idx", lambda j: -g * F.col(f"h{j}")),
-                ],
-                F.col("__loss"),
-                d,
-            )
-        )
-        self.losses.append(grad.agg(F.sum("loss")).first()[0])
-        return cut(adam_step(state, _clip(grad, d, 5.0), d, step, self.lr, self.weight_decay))
+    def _gradient(self, emb):
+        return pooled_softmax_gradient(self.chunks, self.links, emb, self.dim, self.max_len, self.n_rows)
+
+    def _limit(self, grad):
+        return _clip(grad, self.dim, 5.0)
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
         d = self.dim
@@ -184,30 +155,31 @@ class SequenceAttentionRecommender(_SequenceRecommender):
     """The newest item asks, the last L items answer; price-weighted pairwise loss.
 
     The state is the softmax-weighted mean of the last L vectors, weights from the inner
-    product with the newest one. The gradient runs through the values, the weights are held
-    fixed inside a step.
+    product with the newest one. The gradient runs through values, keys and query.
     """
 
     def __init__(self, dim: int = 128, max_len: int = 50, lr: float = 5e-4, weight_decay: float = 1e-4, epochs: int = 15,
-                 patience: int = 3, price_exp: float = 1.0, time: list[str] | None = None, seed: int = 42):
-        super().__init__(dim, max_len, lr, weight_decay, epochs, time, seed)
+                 patience: int = 3, price_exp: float = 1.0, time: list[str] | None = None, seed: int = 42, chunk: int = CHUNK):
+        super().__init__(dim, max_len, lr, weight_decay, epochs, time, seed, chunk)
         self.patience, self.price_exp = patience, price_exp
 
-    def fit(self, log, user_features=None, item_features=None):
-        rows = self._rows(log, item_features)
+    def _base(self, log, item_features):
+        """Rows with an unseen negative and the price of their item, relative to the highest."""
+        base = cut(with_row_id(super()._base(log, item_features)))
+        slots = cut(sampling.numbered_items(base))
+        drawn = sampling.negative_sample_unseen(base, ["row_id"], base, slots, seed=self.seed)
+        rows = base.join(drawn.select("row_id", F.col("neg_idx").alias("negs")), "row_id").drop("row_id")
         self.log_prices = cut(first_price_per_item(price_from_items(log, item_features), self.time))
         top = self.log_prices.agg(F.max("price")).first()[0] or 1.0
-        own_price = F.coalesce("__p", F.lit(1.0)) / F.lit(float(top))
-        rows = cut(
-            rows.join(self.log_prices.withColumnRenamed("price", "__p"), "item_idx", "left")
-            .withColumn("weight", own_price)
-            .drop("__p")
-        )
-        n = rows.filter("__own").count()
+        priced = rows.join(self.log_prices, "item_idx", "left")
+        return priced.withColumn("weights", F.coalesce("price", F.lit(1.0)) / F.lit(float(top))).drop("price")
+
+    def fit(self, log, user_features=None, item_features=None):
+        self._pack(log, item_features, ["negs", "weights"])
         state = self._start()
         best, stall = float("inf"), 0
         for epoch in range(self.epochs):
-            state = self._epoch(rows, state, n, epoch + 1)
+            state = self._epoch(state, epoch + 1)
             if self.losses[-1] < best - 1e-5:
                 best, stall = self.losses[-1], 0
             else:
@@ -218,6 +190,9 @@ class SequenceAttentionRecommender(_SequenceRecommender):
         self.history = log
         return self
 
+    def _gradient(self, emb):
+        return attention_gradient(self.chunks, self.links, emb, self.dim, self.max_len, self.n_rows)
+
     def _attend(self, listed: str):
         """(weights over the list, state) for a list of vectors, oldest first."""
         scale = 1.0 / math.sqrt(self.dim)
@@ -240,43 +215,6 @@ class SequenceAttentionRecommender(_SequenceRecommender):
         )
         return df.withColumn("__h", state).drop("__l", "__x", "__total")
 
-    def _epoch(self, rows: DataFrame, state: DataFrame, n: int, step: int) -> DataFrame:
-        d = self.dim
-        past = self._window().rowsBetween(-self.max_len, -1)
-        emb = self._vectors(state)
-        found = gather(rows, emb, "item_idx", "e", d, "icopy").withColumn("__v", to_array(d))
-        listed = found.withColumns(
-            {"__vs": F.collect_list("__v").over(past), "__ids": F.collect_list("item_idx").over(past)}
-        )
-        listed = listed.filter(F.col("__own") & (F.size("__vs") > 0))
-        listed = gather(self._mix(listed, "__vs").drop("__vs"), emb, "neg_idx", "n", d)
-        listed = listed.withColumns({"pos": dot("__h", "__v"), "neg": dot("__h", to_array(d, "n"))})
-        slope = -F.col("weight") * sigmoid(F.col("neg") - F.col("pos")) / n
-        done = listed.withColumns({"__g": slope, "__loss": bpr_term("pos", "neg", F.col("weight")) / n})
-        g = F.col("__g")
-        at = lambda j: F.element_at("__h", j + 1)
-        # The row's own item, its negative, and the items of its list. What they get is summed in
-        # the map tasks; the long form never travels.
-        listed_items = F.transform(F.arrays_zip(F.col("__ids").alias("id"), F.col("__w").alias("w")), lambda p: F.struct(
-            p["id"].alias("node"), (g * p["w"]).alias("a"), F.lit(0.0).alias("b"), F.lit(0.0).alias("loss")))
-        ends = F.array(
-            F.struct(F.col("item_idx").alias("node"), F.lit(0.0).alias("a"), g.alias("b"), F.col("__loss").alias("loss")),
-            F.struct(F.col("neg_idx").alias("node"), F.lit(0.0).alias("a"), (-g).alias("b"), F.lit(0.0).alias("loss")),
-        )
-        received = done.select(
-            F.inline(F.concat(ends, listed_items)),
-            *[(F.col(f"e{j}") - F.col(f"n{j}")).alias(f"q{j}") for j in range(d)],
-            *[at(j).alias(f"h{j}") for j in range(d)],
-        )
-        grad = cut(
-            received.groupBy("node").agg(
-                *[F.sum(F.col("a") * F.col(f"q{j}") + F.col("b") * F.col(f"h{j}")).alias(f"e{j}") for j in range(d)],
-                F.sum("loss").alias("loss"),
-            )
-        )
-        self.losses.append(grad.agg(F.sum("loss")).first()[0])
-        return cut(adam_step(state, grad, d, step, self.lr, self.weight_decay))
-
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
         newest = self._newest(self.history if log is None else log, users)
         vec = self.state.select(F.col("node").alias("item_idx"), to_array(self.dim).alias("v"))

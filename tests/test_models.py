@@ -147,22 +147,63 @@ def test_sequence_loss_falls_and_is_repeatable(planted, make):
     assert recs.groupBy("user_idx").count().agg(F.max("count")).first()[0] <= 4
 
 
-def test_pool_gradient_by_differences(spark, planted, monkeypatch):
-    """One plain gradient step recovered from the first Adam moment against a difference quotient."""
+@pytest.mark.parametrize("make", [
+    lambda: SequencePoolRecommender(embed_dim=3, max_seq_len=5),
+    lambda: SequencePoolRecommender(embed_dim=3, max_seq_len=4, chunk=5),
+    lambda: SequenceAttentionRecommender(dim=3, max_len=5),
+    lambda: SequenceAttentionRecommender(dim=3, max_len=4, chunk=5),
+])
+def test_sequence_gradient_by_differences(spark, planted, make):
+    """Every component of the vectors of an item that is asked, answers, is wanted and is not wanted."""
+    log, _, items = planted
+    model = make()
+    model._pack(log, items, ["negs", "weights"] if isinstance(model, SequenceAttentionRecommender) else [])
+    emb = cut(model._vectors(model._start()))
+    exact = {r["node"]: r for r in model._gradient(emb).collect()}
+    assert len(exact) == 30
+    eps = 1e-5
+    for node, j in ((0, 0), (7, 2), (29, 1)):
+        losses = []
+        for sign in (1, -1):
+            shift = F.when(F.col("node") == node, sign * eps).otherwise(0.0)
+            losses.append(model._gradient(emb.withColumn(f"e{j}", F.col(f"e{j}") + shift)).agg(F.sum("loss")).first()[0])
+        assert (losses[0] - losses[1]) / (2 * eps) == pytest.approx(exact[node][f"e{j}"], rel=1e-5, abs=1e-9)
+
+
+@pytest.mark.parametrize("kind", [SequencePoolRecommender, SequenceAttentionRecommender])
+def test_chunks_of_a_hot_user_give_the_same_gradient(spark, planted, kind):
+    """One user holds a third of the log; cut into chunks of six rows nothing changes."""
+    log, _, items = planted
+    hot = log.withColumn("user_idx", F.when(F.col("user_idx") % 3 == 0, 0).otherwise(F.col("user_idx")))
+    hot = cut(hot.withColumn("timestamp", F.xxhash64("user_idx", "item_idx", "timestamp") % 100_000))
+    found = []
+    for chunk in (2048, 6):
+        model = kind(3, chunk=chunk) if kind is SequencePoolRecommender else kind(dim=3, chunk=chunk)
+        model.max_len, model.time = 5, ["timestamp", "item_idx"]
+        model._pack(hot, items, ["negs", "weights"] if kind is SequenceAttentionRecommender else [])
+        assert model.chunks.agg(F.max(F.size("items"))).first()[0] <= chunk + 5
+        rows = model._gradient(cut(model._vectors(model._start()))).orderBy("node").collect()
+        found.append(np.array([[r["e0"], r["e1"], r["e2"], r["loss"]] for r in rows]))
+        found[-1][:, 3] = found[-1][:, 3].sum()
+    assert np.allclose(*found)
+
+
+@pytest.mark.parametrize("make", [
+    lambda: SequencePoolRecommender(embed_dim=4, lr=0.1, epochs=2, max_seq_len=6),
+    lambda: SequenceAttentionRecommender(dim=4, lr=0.1, epochs=2, max_len=6),
+])
+def test_every_offered_item_has_a_vector(spark, planted, make):
+    """Items without log rows, known at fit or only at predict, are offered like all others."""
     log, users, items = planted
-    model = SequencePoolRecommender(embed_dim=2, lr=1e-3, epochs=1, max_seq_len=5)
-    rows = model._rows(log, items)
-    n = rows.filter("__own").count()
-    state = model._start()
-    after = model._epoch(rows, state, n, 1)
-    node = state.agg(F.min("node")).first()[0]
-    moment = after.filter(F.col("node") == node).first()["m0"] / 0.1  # m = 0.1 * gradient
-    eps, losses = 1e-4, []
-    for sign in (1, -1):
-        moved = state.withColumn("e0", F.col("e0") + F.when(F.col("node") == node, sign * eps).otherwise(0.0))
-        model._epoch(rows, moved, n, 1)
-        losses.append(model.losses[-1])
-    assert (losses[0] - losses[1]) / (2 * eps) == pytest.approx(moment, rel=1e-3, abs=1e-7)
+    few = cut(log.filter("item_idx < 9"))
+    later = spark.createDataFrame([(100 + i, 3.0) for i in range(4)], "item_idx bigint, price double")
+    offered = items.select("item_idx", "price").unionByName(later)
+    model = make().fit(few, users, items)
+    assert model.state.count() == 30
+    recs = model.predict(few, 40, users, offered)
+    seen = few.groupBy("user_idx").agg(F.count_distinct("item_idx").alias("n"))
+    wrong = recs.groupBy("user_idx").count().join(seen, "user_idx", "left").filter("count <> 34 - coalesce(n, 0)")
+    assert recs.select("user_idx").distinct().count() == 40 and wrong.isEmpty()
 
 
 def test_popularity_and_random(planted):
