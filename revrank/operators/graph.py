@@ -9,8 +9,11 @@ more than about ``EDGES_PER_COPY`` edges whatever one node's degree.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,3 +226,105 @@ def gat_propagate(
     first = attend_once(edges, emb, nodes, d, heads, l1, r1)
     hidden = cut(first.withColumns({c: elu(F.col(c)) for c in names(d)}))
     return attend_once(edges, hidden, nodes, d, 1, l2, r2)
+
+
+# -- layers with parameters --------------------------------------------------------------
+
+
+def _columns(batch: pa.RecordBatch, cols: list[str]) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols]) if batch.num_rows else np.zeros((0, len(cols)))
+
+
+def times_matrix(emb: DataFrame, w: np.ndarray, bias: np.ndarray | None = None) -> DataFrame:
+    """Every node's vector times ``w`` (a d x d parameter, sent with the task), plus ``bias``."""
+    cols, out = names(w.shape[0]), names(w.shape[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y = _columns(batch, cols) @ w
+            y = y if bias is None else y + bias
+            arrays = [batch.column("node"), batch.column("copies"), *[pa.array(np.ascontiguousarray(y[:, j])) for j in range(y.shape[1])]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "copies", *out])
+
+    schema = "node bigint, copies int, " + ", ".join(f"{c} double" for c in out)
+    return emb.select("node", F.col("copies").cast("int").alias("copies"), *cols).mapInArrow(run, schema)
+
+
+def outer_sums(left: DataFrame, right: DataFrame, d: int) -> DataFrame:
+    """(k, e0..): row k of the sum over nodes of left's vector (as a column) times right's; d rows.
+
+    Each task adds its nodes up and hands on d rows.
+    """
+    cols = names(d)
+    both = left.select("node", *cols).join(right.select("node", *[F.col(c).alias(f"r_{c}") for c in cols]), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((d, d))
+        for batch in batches:
+            total += _columns(batch, cols).T @ _columns(batch, [f"r_{c}" for c in cols])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(d, dtype=np.int32)), *[pa.array(total[:, j].copy()) for j in range(d)]], names=["k", *cols])
+
+    parts = both.mapInArrow(run, "k int, " + ", ".join(f"{c} double" for c in cols))
+    return parts.groupBy("k").agg(*[F.sum(c).alias(c) for c in cols])
+
+
+def gcn_layer_back(grad: DataFrame, edges: DataFrame, nodes: DataFrame, d: int, w: np.ndarray) -> DataFrame:
+    """Gradient in a layer's input from that in its output, ``A x w``; A is symmetric."""
+    return _with_copies(edges_to_nodes(edges, times_matrix(grad, w.T), d), nodes)
+
+
+def attention_back(
+    edges: DataFrame, x: DataFrame, out: DataFrame, grad: DataFrame, d: int, heads: int, left: list[float], right: list[float]
+) -> DataFrame:
+    """(node, e0.., l0.., r0..): gradient of an attention layer in its input vectors ``x``.
+
+    ``edges`` carry the weights a0.. of the forward pass, ``out`` is its result and ``grad`` the
+    gradient there. The softmax over a target's edges needs one number per target and head, the
+    product of gradient and result, so each edge is met once. ``l``/``r`` are the sums of the score
+    gradients by source and by target; with ``x`` they give the gradients of the coefficients.
+    """
+    size, hs = d // heads, range(heads)
+
+    def part(h: int, value) -> Column:
+        return reduce(lambda a, b: a + b, [value(j) for j in range(h * size, (h + 1) * size)])
+
+    sent = fan_out(x.select("node", "copies", *[F.col(f"e{j}").alias(f"x{j}") for j in range(d)]))
+    sent = sent.withColumnsRenamed({"node": "src"}).drop("copies")
+    at = (
+        grad.select("node", *[F.col(f"e{j}").alias(f"g{j}") for j in range(d)])
+        .join(out.select("node", *[F.col(f"e{j}").alias(f"o{j}") for j in range(d)]), "node")
+        .join(x.select("node", "copies", *names(d)), "node")
+    )
+    at = at.select(
+        "node", "copies", *[f"g{j}" for j in range(d)],
+        *[part(h, lambda j: F.col(f"g{j}") * F.col(f"o{j}")).alias(f"m{h}") for h in hs],
+        *[part(h, lambda j: F.col(f"e{j}") * float(right[j])).alias(f"t{h}") for h in hs],
+    )
+    at = fan_out(at).withColumnsRenamed({"node": "dst", "copy": "dcopy"}).drop("copies")
+    rows = edges.join(sent, ["src", "copy"]).join(at, ["dst", "dcopy"])
+    slope = {}
+    for h in hs:
+        score = part(h, lambda j: F.col(f"x{j}") * float(left[j])) + F.col(f"t{h}")
+        lead = part(h, lambda j: F.col(f"g{j}") * F.col(f"x{j}")) - F.col(f"m{h}")
+        slope[f"z{h}"] = F.col(f"a{h}") * lead * F.when(score > 0, 1.0).otherwise(LEAK)
+    rows = rows.withColumns(slope)
+    z, none = [F.col(f"z{h}") for h in hs], F.lit(0.0)
+    source = F.struct(
+        F.col("src").alias("node"),
+        *[(F.col(f"a{j // size}") * F.col(f"g{j}") + z[j // size] * float(left[j])).alias(f"e{j}") for j in range(d)],
+        *[z[h].alias(f"l{h}") for h in hs], *[none.alias(f"r{h}") for h in hs],
+    )
+    target = F.struct(
+        F.col("dst").alias("node"), *[(z[j // size] * float(right[j])).alias(f"e{j}") for j in range(d)],
+        *[none.alias(f"l{h}") for h in hs], *[z[h].alias(f"r{h}") for h in hs],
+    )
+    sums = [*names(d), *[f"l{h}" for h in hs], *[f"r{h}" for h in hs]]
+    return rows.select(F.inline(F.array(source, target))).groupBy("node").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def coefficient_gradients(back: DataFrame, x: DataFrame, d: int, heads: int) -> DataFrame:
+    """One row l0.. r0..: gradients of the attention coefficients, from ``attention_back`` and its ``x``."""
+    size = d // heads
+    both = back.select("node", *[f"{s}{h}" for s in "lr" for h in range(heads)]).join(x.select("node", *names(d)), "node")
+    # Node by node first: one sum per head and component, taken in the map tasks.
+    return both.agg(*[F.sum(F.col(f"{s}{j // size}") * F.col(f"e{j}")).alias(f"c{s}{j}") for s in "lr" for j in range(d)])

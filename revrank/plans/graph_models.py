@@ -1,9 +1,9 @@
 """Recommenders on the user-item graph: light convolution, convolution, attention.
 
-All share one loop. The propagation is linear with a symmetric matrix P (for attention: with
-weights held fixed during a step), so the gradient of the loss in the start vectors is P
-(or its transpose) applied to the gradient in the final vectors: the backward pass
-is the same join-and-sum as the forward pass.
+All share one loop. Light propagation is linear with a symmetric matrix P, so the gradient of the
+loss in the start vectors is P applied to the gradient in the final vectors: the backward pass
+is the same join-and-sum as the forward pass. The layered models go back layer by layer in the
+same way and collect the gradients of their matrices and coefficients, a fixed number of values.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from revrank.operators.blocked import blocked_topk
 from revrank.operators.evaluate import dcg_revenue, fill_missing_price, relative_log_price
 from revrank.operators.joins import exclude_seen
 from revrank.plans.base import Recommender
-from revrank.plans.training import adam_step, gather, start_state, sum_gradients, unit_rows, xavier
+from revrank.plans.training import DenseAdam, adam_step, gather, glorot, start_state, sum_gradients, unit_rows, xavier
 from revrank.session import cut
 
 VALIDATION_K = 20
@@ -266,8 +266,26 @@ class _CrossEntropy(_GraphRecommender):
         return loss, (sigmoid("pos") - 1.0) / n, sigmoid("neg") / n
 
 
-class GCNRecommender(_CrossEntropy):
-    """Linear convolution with self loops; layer weights are folded into the embedding."""
+class _Layered(_CrossEntropy):
+    """Layers with trained parameters. A forward pass keeps what the backward pass needs."""
+
+    def _parameters(self) -> list[np.ndarray]:
+        """Start values, drawn from the seed."""
+        raise NotImplementedError
+
+    def _set_up(self, log, user_features, item_features):
+        super()._set_up(log, user_features, item_features)
+        self.parameters = self._parameters()
+        self._adam = DenseAdam(self.lr, self.weight_decay)
+
+    def _epoch(self, state, edges, samples, n, step):
+        state = super()._epoch(state, edges, samples, n, step)
+        self.parameters = self._adam.step(self.parameters, self.gradients)
+        return state
+
+
+class GCNRecommender(_Layered):
+    """Linear convolution with self loops; every layer has a matrix and a bias."""
 
     self_loops = True
 
@@ -276,12 +294,32 @@ class GCNRecommender(_CrossEntropy):
         super().__init__(n_epochs, embedding_dim, lr, l2_lambda, seed, post_filter)
         self.num_layers = num_layers
 
+    def _parameters(self):
+        rng, d = np.random.default_rng(self.seed), self.dim
+        return [x for _ in range(self.num_layers) for x in (glorot(rng, d, d), np.zeros(d))]
+
     def _forward(self, emb, edges):
-        return graph.gcn_propagate(emb, edges, self.nodes, self.dim, self.num_layers)
+        self._sums = []
+        for layer in range(self.num_layers):
+            hop = cut(graph.gcn_propagate(emb, edges, self.nodes, self.dim, 1))
+            self._sums.append(hop)
+            emb = graph.times_matrix(hop, self.parameters[2 * layer], self.parameters[2 * layer + 1])
+        return emb
+
+    def _backward(self, grad, edges):
+        found: list[np.ndarray] = []
+        for layer in reversed(range(self.num_layers)):
+            grad = cut(grad)
+            rows = graph.outer_sums(self._sums[layer], grad, self.dim).orderBy("k").collect()
+            bias = grad.agg(*[F.sum(c) for c in names(self.dim)]).first()
+            found = [np.array([r[1:] for r in rows], float), np.array(bias, float), *found]
+            grad = graph.gcn_layer_back(grad, edges, self.nodes, self.dim, self.parameters[2 * layer])
+        self.gradients = found
+        return grad
 
 
-class GATRecommender(_CrossEntropy):
-    """Two attention layers; weights are recomputed every step and held fixed inside it."""
+class GATRecommender(_Layered):
+    """Two attention layers (``heads`` heads and ELU, then one head) with trained matrices and score coefficients."""
 
     reg_lambda = 1e-6
 
@@ -292,6 +330,11 @@ class GATRecommender(_CrossEntropy):
         super().__init__(n_epochs, embedding_dim, lr, l2_lambda, seed, post_filter)
         self.heads = heads
 
+    def _parameters(self):
+        rng, d = np.random.default_rng(self.seed), self.dim
+        sizes = (d // self.heads, d)
+        return [x for size in sizes for x in (glorot(rng, d, d), *(rng.uniform(-1, 1, d) * xavier(size, 1) for _ in range(2)))]
+
     def _edges(self, directed):
         base = directed.select("src", "dst")
         every = self.nodes.select(F.col("node").alias("src"), F.col("node").alias("dst"))
@@ -299,18 +342,30 @@ class GATRecommender(_CrossEntropy):
         return graph.spread(out, self.nodes, "dst", "src", "dcopy")
 
     def _forward(self, emb, edges):
-        d, ones = self.dim, [1.0 / self.dim] * self.dim
-        self._first = graph.attention_weights(edges, emb, d, self.heads, ones, ones)
-        raw = cut(graph.attend(self._first, emb, self.nodes, d, self.heads))
-        self._raw = raw
-        hidden = raw.withColumns({c: graph.elu(F.col(c)) for c in names(d)})
-        self._second = graph.attention_weights(edges, hidden, d, 1, ones, ones)
-        return graph.attend(self._second, hidden, self.nodes, d, 1)
+        d, self._layers = self.dim, []
+        for layer, heads in enumerate((self.heads, 1)):
+            w, left, right = self.parameters[3 * layer : 3 * layer + 3]
+            x = cut(graph.times_matrix(emb, w))
+            weights = cut(graph.attention_weights(edges, x, d, heads, left, right))
+            out = cut(graph.attend(weights, x, self.nodes, d, heads))
+            self._layers.append((emb, x, weights, out))
+            emb = out.withColumns({c: graph.elu(F.col(c)) for c in names(d)}) if layer == 0 else out
+        return emb
 
     def _backward(self, grad, edges):
-        d = self.dim
-        inner = graph.attend_back(self._second, grad, self.nodes, d, 1)
-        raw = self._raw.select("node", *[F.col(f"e{j}").alias(f"r{j}") for j in range(d)])
-        slope = {f"e{j}": F.col(f"e{j}") * F.when(F.col(f"r{j}") > 0, 1.0).otherwise(F.exp(F.least(f"r{j}", F.lit(0.0)))) for j in range(d)}
-        through = inner.join(raw, "node").withColumns(slope).select("node", "copies", *names(d))
-        return graph.attend_back(self._first, through, self.nodes, d, self.heads)
+        d, found = self.dim, []
+        for layer, heads in ((1, 1), (0, self.heads)):
+            w, left, right = self.parameters[3 * layer : 3 * layer + 3]
+            emb, x, weights, out = self._layers[layer]
+            if layer == 0:
+                raw = out.select("node", *[F.col(f"e{j}").alias(f"r{j}") for j in range(d)])
+                slope = {f"e{j}": F.col(f"e{j}") * F.when(F.col(f"r{j}") > 0, 1.0).otherwise(F.exp(F.least(f"r{j}", F.lit(0.0)))) for j in range(d)}
+                grad = grad.join(raw, "node").withColumns(slope).select("node", "copies", *names(d))
+            back = cut(graph.attention_back(weights, x, out, grad, d, heads, left, right))
+            coefs = np.array(graph.coefficient_gradients(back, x, d, heads).first(), float)
+            inner = back.select("node", *names(d)).join(self.nodes, "node")
+            rows = graph.outer_sums(emb, inner, d).orderBy("k").collect()
+            found = [np.array([r[1:] for r in rows], float), coefs[:d], coefs[d:], *found]
+            grad = graph.times_matrix(inner, w.T)
+        self.gradients = found
+        return grad

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,3 +87,28 @@ def sum_gradients(rows: DataFrame, roles: list[tuple[str, Callable[[int], Column
         for n, (node, value) in enumerate(roles)
     ]
     return rows.select(F.inline(F.array(*parts))).groupBy("node").agg(*[F.sum(c).alias(c) for c in [*names(d), "loss"]])
+
+
+class DenseAdam:
+    """Adam for parameters of fixed size (layer matrices, coefficients), kept on the driver."""
+
+    def __init__(self, lr: float, decay: float):
+        self.lr, self.decay, self.steps = lr, decay, 0
+        self.moments: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def step(self, values: list[np.ndarray], gradients: list[np.ndarray]) -> list[np.ndarray]:
+        """New values; the decay joins the gradient."""
+        self.moments = self.moments or [(np.zeros_like(v), np.zeros_like(v)) for v in values]
+        self.steps += 1
+        out = []
+        for k, (value, gradient) in enumerate(zip(values, gradients)):
+            g = gradient + self.decay * value
+            m, v = self.moments[k]
+            m, v = BETA1 * m + (1 - BETA1) * g, BETA2 * v + (1 - BETA2) * g * g
+            self.moments[k] = (m, v)
+            out.append(value - self.lr * (m / (1 - BETA1**self.steps)) / (np.sqrt(v / (1 - BETA2**self.steps)) + EPS))
+        return out
+
+
+def glorot(rng: np.random.Generator, rows: int, columns: int) -> np.ndarray:
+    return rng.uniform(-1, 1, (rows, columns)) * xavier(rows, columns)

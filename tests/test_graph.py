@@ -79,6 +79,53 @@ def test_light_gcn_gradient_by_differences(spark, net):
         assert (loss(up) - loss(down)) / (2 * eps) == pytest.approx(exact[nodes.index(node), c], rel=1e-4, abs=1e-9)
 
 
+@pytest.mark.parametrize("make", [
+    lambda: GCNRecommender(embedding_dim=D, num_layers=2, seed=3), lambda: GATRecommender(embedding_dim=D, heads=2, seed=3),
+])
+def test_layer_gradients_by_differences(spark, net, make, monkeypatch):
+    """Start vectors, matrices, biases and attention coefficients, with hot nodes split into copies."""
+    monkeypatch.setattr(graph.node_copies, "__defaults__", (7,))
+    model = make()
+    log = net[0].withColumn("relevance", F.lit(1.0))
+    items = spark.createDataFrame([(i, 2.0) for i in range(7)], "item_idx bigint, price double")
+    model._set_up(log, None, items)
+    assert model.nodes.agg(F.max("copies")).first()[0] > 1
+    edges = cut(model._edges(graph.bidirectional_edges(model.edges, model.n_users)))
+    samples = cut(model._samples(model.edges, 0))
+    n = model.edges.count()
+    start = cut(random_table(spark, model.nodes, 3))
+    # Zero biases would hide a wrong sign.
+    model.parameters = [p + 0.1 for p in model.parameters]
+    model.reg_lambda = 0.0
+
+    def loss(e):
+        return model._gradients(cut(model._forward(e, edges)), samples, n).agg(F.sum("loss")).first()[0]
+
+    exact = matrix(model._backward(model._gradients(cut(model._forward(start, edges)), samples, n).drop("loss"), edges))
+    nodes = [r["node"] for r in model.nodes.orderBy("node").collect()]
+    eps, found = 1e-5, model.gradients
+    for node, c in ((nodes[0], 0), (nodes[-1], 2)):
+        both = [loss(start.withColumn(f"e{c}", F.col(f"e{c}") + F.when(F.col("node") == node, s * eps).otherwise(0.0))) for s in (1, -1)]
+        assert (both[0] - both[1]) / (2 * eps) == pytest.approx(exact[nodes.index(node), c], rel=1e-4, abs=1e-8)
+    for k, p in [x for x in enumerate(model.parameters) if x[0] in (0, 1, 2, 5)]:
+        place = (1, 2) if p.ndim == 2 else (k % D,)
+        both = []
+        for s in (1, -1):
+            p[place] += s * eps
+            both.append(loss(start))
+            p[place] -= s * eps
+        assert (both[0] - both[1]) / (2 * eps) == pytest.approx(found[k][place], rel=1e-4, abs=1e-8), k
+
+
+def test_identity_matrices_give_the_plain_propagation(spark, net):
+    model = GCNRecommender(embedding_dim=D, num_layers=3)
+    model._set_up(net[0].withColumn("relevance", F.lit(1.0)), None, None)
+    model.parameters = [x for _ in range(3) for x in (np.eye(D), np.zeros(D))]
+    edges = cut(model._edges(graph.bidirectional_edges(model.edges, model.n_users)))
+    start = random_table(spark, model.nodes, 2)
+    assert np.allclose(matrix(model._forward(start, edges)), matrix(graph.gcn_propagate(start, edges, model.nodes, D, 3)))
+
+
 def test_attention_weights_sum_to_one_and_copies_agree(spark, net):
     directed = graph.bidirectional_edges(net[0], 8)
     out = []
@@ -114,6 +161,7 @@ def test_loss_falls_and_seen_is_left_out(spark, net, make):
     items = spark.createDataFrame([(i, 2.0 + i) for i in range(6)], "item_idx bigint, price double")
     model = make().fit(log, users, items)
     assert model.losses[-1] < model.losses[0]
+    assert all(np.abs(a - b).max() > 1e-3 for a, b in zip(model.parameters, model._parameters()))
     recs = model.predict(log, 3, users, items)
     assert not {(r["user_idx"], r["item_idx"]) for r in recs.collect()} & set(net[1])
     model.post_filter = True
