@@ -24,11 +24,13 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 
 from revrank.llm.common import small_batches
+from revrank.llm.word_pieces import Remembered
 
 SPACE = "▁"
 # Chunks up to this many characters go through the arrays.
 SHORT = 48
-KEPT_CHUNKS = 150_000
+KEPT_CHUNKS = 600_000
+KEPT_CHARACTERS = 12_000_000
 
 
 class PieceTable:
@@ -199,23 +201,25 @@ class Encoder:
 
     def __init__(self, model: bytes, checked: bool = True):
         self.table = PieceTable(model)
+        self.known = Remembered(KEPT_CHUNKS, KEPT_CHARACTERS)
         self.checked = checked
-        self.kept: dict[str, tuple[tuple[int, ...], str]] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        new = list(chunks.difference(self.kept))
-        if not new:
-            return
-        if len(self.kept) + len(new) > KEPT_CHUNKS:
-            # Only what this round needs stays.
-            self.kept = {c: self.kept[c] for c in chunks if c in self.kept}
-        for c, ids in self.table.encode_chunks(new).items():
-            self.kept[c] = (tuple(ids), " ".join(map(str, ids)))
-        if self.checked:
-            self._check(new)
+        # Digests of chunks the library agreed on, one per place; a chunk that lost its place is asked for again.
+        self.agreed = np.zeros(1 << 21, np.int64)
 
-    def _check(self, chunks: list[str]) -> None:
-        """Every new chunk against the library.
+    def _learn(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        found = self.table.encode_chunks(chunks)
+        if self.checked:
+            digests = np.fromiter(map(hash, chunks), np.int64, len(chunks))
+            places = digests & (len(self.agreed) - 1)
+            fresh = np.flatnonzero(self.agreed[places] != digests)
+            self._check([chunks[i] for i in fresh.tolist()], found)
+            self.agreed[places[fresh]] = digests[fresh]
+        ids = [found[c] for c in chunks]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        yield chunks, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
+    def _check(self, chunks: list[str], found: dict[str, list[int]]) -> None:
+        """Chunks against the library.
 
         The library puts a space mark before a text; a chunk without one is asked for after
         a line break, which no piece joins to anything.
@@ -223,37 +227,46 @@ class Encoder:
         lib = self.table.library
         for marked in (True, False):
             own = [c for c in chunks if c.startswith(SPACE) == marked]
-            if not marked and self.table.chunks.fullmatch("\n\n"):
+            if not own or not marked and self.table.chunks.fullmatch("\n\n"):
                 continue
             plain = [(c[1:] if marked else "\n" + c).replace(SPACE, " ") for c in own]
             lead = 0 if marked else len(lib.encode("\n"))
             for c, p, ids in zip(own, plain, lib.encode(plain, num_threads=1)):
-                if list(self.kept[c][0]) != ids[lead:] and lib.normalize(p) == (c if marked else f"{SPACE}\n{c}"):
-                    raise AssertionError(f"library disagrees on {c!r}: {ids[lead:]}, not {self.kept[c][0]}")
+                if found[c] != ids[lead:] and lib.normalize(p) == (c if marked else f"{SPACE}\n{c}"):
+                    raise AssertionError(f"library disagrees on {c!r}: {ids[lead:]}, not {found[c]}")
 
-    def encode_all(self, texts: list[str]) -> Iterator[tuple[list[int], str]]:
-        """(ids without end id, the same as text) of each text."""
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, without end ids; number of ids of each)."""
         lib, table = self.table.library, self.table
         normal = [lib.normalize(t) if t else "" for t in texts]
         if not table.safe:
-            for t in normal:
-                ids = table.by_agenda(t)
-                yield ids, " ".join(map(str, ids))
-            return
+            found = [table.by_agenda(t) for t in normal]
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
         # Few chunks at a time, so that what one round adds stays far below the limit.
-        start = 0
+        flat, counts, start = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
         while start < len(normal):
             stop, size = start, 0
             while stop < len(normal) and (stop == start or size + len(normal[stop]) < 500_000):
                 size += len(normal[stop])
                 stop += 1
             split = [table.chunks.findall(t) for t in normal[start:stop]]
-            self._learn(set(chain.from_iterable(split)))
-            kept = self.kept
-            for chunks in split:
-                found = [kept[c] for c in chunks]
-                yield list(chain.from_iterable(f[0] for f in found)), " ".join([f[1] for f in found])
+            ids, lengths = self.known.ids(list(chain.from_iterable(split)), self._learn)
+            ends = np.cumsum([0, *map(len, split)])
+            flat.append(ids)
+            counts.append(np.diff(np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths)))[ends]))
             start = stop
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def with_end(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(ids of all texts with end ids, where each text starts and the last one ends, decoded texts)."""
+        lib = self.table.library
+        flat, counts = self.encode_all(texts)
+        ids = np.insert(flat, np.cumsum(counts), lib.eos_id())
+        starts = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts + 1)))
+        listed = ids.tolist()
+        bounds = starts.tolist()
+        return ids, starts, [lib.decode(listed[s:e]) for s, e in zip(bounds, bounds[1:])]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -284,15 +297,10 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", key: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name)
-        lib = encoder.table.library
         for batch in small_batches(batches, 1):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            ids = [[*i, lib.eos_id()] for i, _ in encoder.encode_all(texts)]
-            decoded = [lib.decode(i) for i in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
-                names=[key, "ids", "decoded"],
-            )
+            ids, starts, decoded = encoder.with_end([t or "" for t in batch.column(1).to_pylist()])
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=[key, "ids", "decoded"])
 
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>, decoded string")
 
@@ -304,18 +312,17 @@ def encoding_digests(docs: DataFrame, model_path: str, text: str = "text", key:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(name)
-        lib = encoder.table.library
-        end = lib.eos_id()
+        # Every id as text with a blank after it: a text's ids are then one stretch of bytes.
+        numbers = pa.array([f"{i} " for i in range(encoder.table.library.get_piece_size())])
         for batch in small_batches(batches, 1):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            counts, ids_sha, decoded_sha = [], [], []
-            for ids, joined in encoder.encode_all(texts):
-                ids.append(end)
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256((f"{joined} {end}" if joined else str(end)).encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(lib.decode(ids).encode()).hexdigest())
+            ids, starts, decoded = encoder.with_end([t or "" for t in batch.column(1).to_pylist()])
+            written = numbers.take(pa.array(ids, pa.int64()))
+            data = memoryview(written.buffers()[2] or b"").cast("B")
+            ends = np.frombuffer(written.buffers()[1], np.int32)[starts].tolist()
+            ids_sha = [hashlib.sha256(data[s : e - 1]).hexdigest() for s, e in zip(ends, ends[1:])]
+            decoded_sha = [hashlib.sha256(t.encode()).hexdigest() for t in decoded]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
+                [batch.column(0), pa.array(np.diff(starts), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())],
                 names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

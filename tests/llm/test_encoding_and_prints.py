@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -12,6 +13,10 @@ from revrank.llm import sentencepiece_bpe as S
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def listed(flat, counts):
+    return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+
+
 @pytest.fixture(scope="module")
 def encoder():
     with open(MODEL, "rb") as f:
@@ -24,7 +29,7 @@ def test_ids_equal_the_library(encoder):
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 80))) for _ in range(3000)]
     texts += ["", " ", "   ", "\n", "</s><unk>", "a" * 3000, "▁▁ a", "x\x00y", "the " * 2000, "ﬁ é"]
     want = encoder.table.library.encode(texts, num_threads=1)
-    assert [ids for ids, _ in encoder.encode_all(texts)] == want
+    assert listed(*encoder.encode_all(texts)) == want
 
 
 def test_agenda_and_lock_step_agree(encoder):
@@ -34,9 +39,9 @@ def test_agenda_and_lock_step_agree(encoder):
 
 
 def test_kept_chunks_are_bounded(encoder, monkeypatch):
-    monkeypatch.setattr(S, "KEPT_CHUNKS", 50)
+    monkeypatch.setattr(encoder.known, "most", 50)
     texts = [f"word{i} other{i * 7} thing{i % 9}" for i in range(200)]
-    assert [ids for ids, _ in encoder.encode_all(texts)] == encoder.table.library.encode(texts, num_threads=1)
+    assert listed(*encoder.encode_all(texts)) == encoder.table.library.encode(texts, num_threads=1)
 
 
 def test_rows(docs, odd_docs, corpus):
