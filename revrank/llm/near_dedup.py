@@ -3,8 +3,8 @@
 Documents with equal shingle sets are one class and go on as their smallest id, so thousands
 of copies cost one row. Classes meet in band buckets. A bucket's pairs are never listed:
 first every class is paired with random pivots of its buckets, of which its odd sketch picks
-the most alike; only between parts of a bucket that these links left apart, the remaining
-pairs are looked at, again through their sketches.
+the most alike, again while that links more; what a bucket then holds apart is compared by
+its rarest shingles, which loses no link, again through the sketches.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revrank.llm.common import bit_table, maybe_in
+from revrank.llm.common import bit_table, maybe_in, small_batches
 from revrank.session import cut
 
 SAMPLES = 240
@@ -28,6 +28,8 @@ SKETCH_BITS = 4096
 # 4.5 standard deviations of the estimate at a similarity of 0.8.
 MARGIN = 0.05
 CHUNK = 1 << 20
+# So many pivots, at most, a class meets in its buckets with one group of near copies.
+PIVOT_ORDERS = 8
 
 _rng = np.random.default_rng(20240607)
 _BYTES = _rng.integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -119,7 +121,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             n, one, two, bands = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = shingle_set(text, words)
@@ -155,8 +157,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
-        for batch in batches:
-            batch = batch.filter(pa.array(maybe_in(shared.value, batch.column(2).to_numpy())))
+        picked = (b.filter(pa.array(maybe_in(shared.value, b.column(2).to_numpy()))) for b in batches)
+        for batch in small_batches(picked, 3):
             sets = [shingle_set(t, words) for t in batch.column(3).to_pylist()]
             odd = [odd_sketch(min_hashes(s, _ODD)) for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -220,6 +222,28 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return joined.filter(both * 100 >= union * round(similarity * 100)).select("a", "b")
 
 
+def sharing_rare(rows: DataFrame, outside: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different components, a from ``outside``, b from ``rows``, that share one of their rarest shingles.
+
+    Two sets of which the larger has n shingles, ``similarity`` alike, differ in so few that
+    each has a common one among its n - similarity * n + 1 rarest, in any order that is the
+    same for both. So no pair is lost and no bucket is listed: unlike classes share rare
+    shingles seldom, however many meet in a bucket.
+    """
+    named = cut_slim(rows.select("rep", "component").distinct())
+    listed = sets.select("rep", "n_shingles", "shingles").join(named, "rep")
+    counts = listed.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).filter("n > 1")
+    # What only one class has joins nothing; it is still among the rarest.
+    met = listed.select("rep", "component", "n_shingles", F.explode("shingles").alias("s")).join(counts, "s")
+    rarest = met.groupBy("rep", "component", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("n", "s"))).alias("r"))
+    wanted = F.col("n_shingles") - F.ceil(F.col("n_shingles") * round(similarity * 100) / 100) + 1
+    rarest = rarest.select("rep", "component", F.explode(F.slice("r", F.lit(1), F.greatest(wanted - F.col("n_shingles") + F.size("r"), F.lit(0)).cast("int"))).alias("r"))
+    rarest = cut(rarest.select("rep", "component", "r.s"))
+    left = rarest.join(outside.select("rep").distinct(), "rep").select("s", F.col("rep").alias("a"), F.col("component").alias("ca"))
+    right = rarest.select("s", F.col("rep").alias("b"), F.col("component").alias("cb"))
+    return left.join(right, "s").filter(F.col("ca") != F.col("cb")).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, best: int = 3) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept.
 
@@ -244,14 +268,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
         useful.join(classes, digest).filter(F.col("doc_id") == F.col("rep"))
         .dropDuplicates(["doc_id", *digest]).select("rep", "bands")
     )
-    members = reps.select("rep", F.explode("bands").alias("key"))
-    order = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
+    members = reps.select("rep", F.posexplode("bands").alias("band", "key"))
+    # The same few orders for all buckets: those of one group of near copies share their pivots.
+    order = F.struct(F.xxhash64("rep", F.col("band") % PIVOT_ORDERS), F.col("rep"))
     buckets = cut_slim(
         members.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("n"))
         .filter(F.col("n") > 1).select("key", F.col("first.rep").alias("pivot"))
     )
     # Only classes that share a bucket go on.
-    shared = cut_slim(members.join(buckets, "key"))
+    shared = cut_slim(members.drop("band").join(buckets, "key"))
     meeting = shared.select("rep").distinct()
     chosen = useful.join(meeting, F.col("doc_id") == F.col("rep")).select("doc_id", "text_hash").distinct()
     sets = cut(shingle_sets(docs, cut_slim(chosen), words))
@@ -284,31 +309,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     links = nearest(cut_slim(pairs.distinct()))
     labels = components(links)
 
-    # Who is left outside of a bucket's largest component meets more pivots from inside it.
-    rows_apart, outside = apart(labels)
-    pivots = rows_apart.filter(F.col("component") == F.col("largest")).groupBy("key").agg(
-        F.array(*[F.min(F.struct(F.xxhash64("rep", "key", F.lit(i)), F.col("rep"))) for i in range(4)]).alias("p")
-    )
-    pivots = cut_slim(pivots.select("key", F.explode(F.array_distinct("p.rep")).alias("b")))
-    again = cut_slim(outside.select("key", F.col("rep").alias("a")).join(pivots, "key").select("a", "b").distinct())
-    links = cut_slim(links.union(nearest(again)))
-    labels = components(links)
-
-    # Who is left now is compared with all others of its buckets, through the sketches.
+    # Who is left outside of a bucket's largest component meets more pivots from inside it, while that helps.
     rows_apart, outside = apart(labels)
-    def banded(name: str) -> DataFrame:
-        return side(name).join(reps.select(F.col("rep").alias(name), F.col("bands").alias(f"k{name}")), name)
-
-    left = outside.select("key", F.col("component").alias("ca"), F.col("rep").alias("a")).join(banded("a"), "a")
-    right = rows_apart.select(
-        "key", F.col("component").alias("cb"), F.col("rep").alias("b"), (F.col("component") == F.col("largest")).alias("big")
-    ).join(banded("b"), "b")
-    # A pair comes out of the first bucket it shares only.
-    first_shared = F.element_at("ka", F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True).cast("int"))
-    across = cut(left).join(cut(right), "key").filter(
-        (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & in_reach & (flipped("oa", "ob") <= limit)
-        & (first_shared == F.col("key"))
-    )
+    waiting, turn = outside.count(), 0
+    while waiting:
+        pivots = rows_apart.filter(F.col("component") == F.col("largest")).groupBy("key").agg(
+            F.array(*[F.min(F.struct(F.xxhash64("rep", "key", F.lit(4 * turn + i)), F.col("rep"))) for i in range(4)]).alias("p")
+        )
+        pivots = cut_slim(pivots.select("key", F.explode(F.array_distinct("p.rep")).alias("b")))
+        again = cut_slim(outside.select("key", F.col("rep").alias("a")).join(pivots, "key").select("a", "b").distinct())
+        links = cut_slim(links.union(nearest(again)))
+        labels = components(links)
+        rows_apart, outside = apart(labels)
+        before, waiting, turn = waiting, outside.count(), turn + 1
+        if waiting > 0.8 * before:
+            break
+
+    # Who is left now is compared with all that share a rare shingle with it.
+    across = cut_slim(sharing_rare(rows_apart, outside, sets, similarity))
+    across = across.join(side("a"), "a").join(side("b"), "b").filter(in_reach & (flipped("oa", "ob") <= limit))
     more = confirmed(cut_slim(across.select("a", "b")), sets, similarity)
     all_links = cut_slim(links.union(more))
     labels = components(all_links)
