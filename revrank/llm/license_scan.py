@@ -100,9 +100,9 @@ OTHER = [
     "You may obtain a copy of the book at the library.",
     "The restaurant lost its liquor license in April.",
 ]
-# Wrapped sentences are read in windows of so many lines, one from every third line on: any six
+# Wrapped sentences are read in windows of so many lines, one from every seventh line on: any six
 # neighbouring lines are together in one.
-WINDOW_LINES, WINDOW_STEP = 8, 3
+WINDOW_LINES, WINDOW_STEP = 12, 7
 # Paragraphs with one of these are returned even if their family is unknown.
 CUES = r"(?i)licen[cs]|copyright|permission|redistribut|rights reserved|public domain|spdx"
 # Words put around the sentences to make further training paragraphs.
@@ -121,12 +121,13 @@ def labelled_paragraphs(spark: SparkSession) -> DataFrame:
 
 
 def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+    """64-bit digests of the words: numbers are cheaper to join, hash and compare than strings."""
+    return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
 def _pairs(words: Column) -> Column:
     first = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.transform(first, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
+    return F.transform(first, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
 
 
 @dataclass
@@ -166,7 +167,9 @@ def train_license_model(labelled: DataFrame, features: int = 1 << 15, ridge: flo
 
 
 def with_ngrams(df: DataFrame) -> DataFrame:
-    df = df.withColumn("__words", _words(F.col("paragraph"))).withColumn("__pairs", _pairs(F.col("__words")))
+    if "__words" not in df.columns:
+        df = df.withColumn("__words", _words(F.col("paragraph")))
+    df = df.withColumn("__pairs", _pairs(F.col("__words")))
     return df.withColumn("__grams", F.concat("__words", "__pairs"))
 
 
@@ -184,13 +187,18 @@ def scan_licenses(docs: DataFrame, model: LicenseModel, confirm_from: float = 0.
     texts have no paragraphs; repeated rows give repeated results; extra columns are not looked
     at; null ids stay null.
     """
+    # Every line is cut into words once; a window has the words of its lines.
     split = docs.select("doc_id", F.monotonically_increasing_id().alias("__row"), F.split("text", "\r?\n").alias("__lines"))
+    split = split.withColumn("__line_words", F.transform("__lines", lambda x: _words(x)))
     size = F.size("__lines")
-    starts = F.when(size > 1, F.sequence(F.lit(0), size - 2, F.lit(WINDOW_STEP))).otherwise(F.array().cast("array<int>"))
-    single = F.transform("__lines", lambda x, i: F.struct(i.alias("n"), F.lit(1).alias("lines"), x.alias("paragraph")))
+    starts = F.when(size > 1, F.sequence(F.lit(0), F.greatest(size - 2, F.lit(0)), F.lit(WINDOW_STEP))).otherwise(F.array().cast("array<int>"))
+    words = F.col("__line_words")
+    single = F.transform("__lines", lambda x, i: F.struct(
+        i.alias("n"), F.lit(1).alias("lines"), x.alias("paragraph"), F.get(words, i).alias("__words")))
     joined = F.transform(starts, lambda i: F.struct(
         i.alias("n"), F.least(F.lit(WINDOW_LINES), size - i).alias("lines"),
         F.array_join(F.slice("__lines", i + 1, F.lit(WINDOW_LINES)), "\n").alias("paragraph"),
+        F.flatten(F.slice(words, i + 1, F.lit(WINDOW_LINES))).alias("__words"),
     ))
     paragraphs = split.select("doc_id", "__row", F.inline(F.concat(single, joined)))
     rows = with_ngrams(paragraphs.filter(F.col("paragraph").rlike(r"\S")))
