@@ -21,6 +21,8 @@ PLACE_MASK = (1 << PLACE_BITS) - 1
 HASH_MASK = (1 << HASH_BITS) - 1
 BIN_SHIFT = PLACE_BITS + HASH_BITS - BIN_BITS
 PAIR_BITS = 31 - BIN_BITS
+# Words longer than this go by characters.
+LONG_WORD = 24
 
 
 def _pack(h: Column, place: Column) -> Column:
@@ -39,16 +41,17 @@ def _bin(packed: Column) -> Column:
 def with_fingerprint(df: DataFrame, text: str, name: str, k: int = 3) -> DataFrame:
     """``name``: array of ints, one per used bin in bin order, of the non-null ``text``.
 
-    Symbols are words between ASCII white space; a text of few, very long words (no spaces
-    between words) goes by characters. A text of fewer than ``k`` symbols is one k-mer, one
+    Symbols are words between ASCII white space; words of more than ``LONG_WORD`` characters
+    (scripts without spaces, base64) are cut into single characters, in any text. A text of fewer than ``k`` symbols is one k-mer, one
     without symbols is its own k-mer. Each array stands in a column of its own that several
     expressions read, so that Catalyst does not compute it anew for every element.
     """
     tmp = f"__{name}"
     words = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
-    df = df.withColumn(f"{tmp}_words", words)
-    long_words = F.length(text) > F.greatest(F.size(f"{tmp}_words"), F.lit(1)) * 24
-    df = df.withColumn(f"{tmp}_s", F.when(long_words, F.split(text, "")).otherwise(F.col(f"{tmp}_words"))).drop(f"{tmp}_words")
+    df = df.withColumn(f"{tmp}_w", words)
+    cut = F.flatten(F.transform(f"{tmp}_w", lambda w: F.when(F.length(w) > LONG_WORD, F.split(w, "")).otherwise(F.array(w))))
+    has_long = F.col(text).rlike(r"[^\x20\x09-\x0D]{%d}" % (LONG_WORD + 1))
+    df = df.withColumn(f"{tmp}_s", F.when(has_long, cut).otherwise(F.col(f"{tmp}_w"))).drop(f"{tmp}_w")
 
     symbols = F.col(f"{tmp}_s")
     starts = F.slice(symbols, F.lit(1), F.greatest(F.size(symbols) - (k - 1), F.lit(1)))
@@ -83,12 +86,13 @@ def with_fingerprint(df: DataFrame, text: str, name: str, k: int = 3) -> DataFra
     )
 
     def pair(i: Column) -> Column:
-        one, two = F.get(chosen, i), F.get(chosen, i + 1)
+        # A k-mer alone in its bin is paired with the first of the next bin, so order counts in short texts, too.
+        one, two = F.get(chosen, i), F.get(chosen, F.pmod(i + 1, F.size(chosen)))
         a, b = _hash_of(one), _hash_of(two)
         together = F.when(one.bitwiseAND(F.lit(PLACE_MASK)) < two.bitwiseAND(F.lit(PLACE_MASK)), F.xxhash64(a, b)).otherwise(
             F.xxhash64(b, a)
         )
-        h = F.when(_bin(one) == _bin(two), together).otherwise(F.xxhash64(a))
+        h = F.when(F.size(chosen) > 1, together).otherwise(F.xxhash64(a))
         return F.shiftleft(_bin(one), PAIR_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << PAIR_BITS) - 1))).cast("int")
 
     return df.withColumn(name, F.transform(heads, pair)).drop(f"{tmp}_m")

@@ -82,7 +82,8 @@ def test_edits_and_prints(docs, corpus):
 
 def test_prints_by_brute_force(spark):
     """Bins, occurrence numbers and pairs from scratch, with the engine's own hash."""
-    texts = ["a b c a b c a b c d e f", "one two", "", "x", " ".join(f"w{i % 17}" for i in range(300)), "漢字" * 60]
+    texts = ["a b c a b c a b c d e f", "one two", "", "x", " ".join(f"w{i % 17}" for i in range(300)), "漢字" * 60,
+             "a b " + "漢字仮名交" * 9 + " c d e", "x" * 24 + " " + "y" * 25]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     got = [r["p"] for r in O.with_fingerprint(df, "text", "p").select("p").collect()]
 
@@ -93,9 +94,7 @@ def test_prints_by_brute_force(spark):
         return [r[0] for r in spark.createDataFrame(padded, schema).coalesce(1).select(F.xxhash64(*names)).collect()]
 
     for text, found in zip(texts, got):
-        words = text.split()
-        if len(text) > max(len(words), 1) * 24:
-            words = list(text)
+        words = [s for w in text.split() for s in ([w] if len(w) <= 24 else w)]
         grams = [words[i : i + 3] for i in range(max(1, len(words) - 2))] if words else [[text]]
         base = [h & O.HASH_MASK for h in hashed(grams, "string")]
         seen, numbered = {}, []
@@ -108,7 +107,13 @@ def test_prints_by_brute_force(spark):
         for h, place in full:
             bins.setdefault(h >> (O.HASH_BITS - O.BIN_BITS), []).append((place, h))
         used = sorted(bins)
-        pairs = [[h for _, h in sorted(bins[b][:2])] for b in used]
+        chosen = [(b, place, h) for b in used for place, h in bins[b][:2]]
+        pairs = []
+        for i, (b, place, h) in enumerate(chosen):
+            if i and chosen[i - 1][0] == b:
+                continue
+            _, other, g = chosen[(i + 1) % len(chosen)]
+            pairs.append([h] if len(chosen) == 1 else [h, g] if place < other else [g, h])
         want = [b << O.PAIR_BITS | (h & ((1 << O.PAIR_BITS) - 1)) for b, h in zip(used, hashed(pairs, "bigint"))]
         want = [v - (1 << 32) if v >> 31 else v for v in want]
         assert found == want, text
@@ -123,6 +128,24 @@ def test_order_matters(spark):
     assert 0.3 < df.select(O.likeness("p", "q")).first()[0] < 0.75
 
 
+def test_one_kind_of_symbols_and_order_in_short_texts(spark):
+    rng = random.Random(4)
+    chinese = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(2000))
+    prose = " ".join(f"w{rng.randrange(900)}" for _ in range(300))
+    short = [f"s{i}" for i in range(12)]
+    rows = [
+        (chinese, chinese[:1000] + prose[:1000]), (" ".join(short), " ".join(short[6:] + short[:6])),
+        (" ".join(short), " ".join(short[:6] + [f"t{i}" for i in range(6)])),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    df = O.with_fingerprint(O.with_fingerprint(df, "a", "p"), "b", "q")
+    mixed, swapped, half = [r[0] for r in df.select(O.likeness("p", "q")).collect()]
+    assert 0.05 < mixed < 0.8
+    # Eight of ten k-mers are the same, 0.67 as sets.
+    assert swapped < 0.45
+    assert half > 0
+
+
 def test_prints_odd_rows(odd_docs, docs):
     assert O.fingerprints(odd_docs).count() == 7
     assert O.fingerprints(docs.limit(0)).count() == 0
