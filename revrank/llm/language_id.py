@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from revrank.llm.common import small_batches
 from revrank.session import cut
 
 UNKNOWN = "und"
@@ -200,7 +201,7 @@ def identify(docs: DataFrame, filters: LanguageFilters, key: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, 1):
             found = [own.predict(t) for t in batch.column(1).to_pylist()]
             langs, scores, evidence = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -227,7 +228,7 @@ def keep_identified(docs: DataFrame, filters: LanguageFilters, least_evidence: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in small_batches(batches, at):
             found = [own.predict(t) for t in batch.column(at).to_pylist()]
             keep = [lang != UNKNOWN and evidence >= least_evidence for lang, _, evidence in found]
             yield batch.filter(pa.array(keep, pa.bool_()))
