@@ -23,6 +23,7 @@ BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokeniz
 ODD_TEXTS = [
     "", " ", "  ", " a", "a ", "a  b", "a   b c", "\n\n x", "x \n y", "it's  's 's", "a b   c", "<|endoftext|> a <|endoftext|>b",
     "日本 語 ", "᠎ a\x85 c\x1c d", "﻿ ﻿", "x 1 23 ,, .", "\x00 \x00a b", "  lead", "trail  ", "\t\tx y\r\n z", "é́ e", "▁ ▁a", "x" * 5000,
+    "a. a b. b, word. word word? one.\ntwo one,\nthree\n", "a.b. 1. 2: x.. y?! é. ß, ê",
 ]
 
 
