@@ -43,7 +43,11 @@ STRETCH = 1 << 18
 def level_widths(ids: np.ndarray) -> list[int]:
     """The cut of ids into chunk widths with the fewest bits in all, directories included."""
     top = max(1, int(ids.max()).bit_length()) if len(ids) else 1
-    longer = [len(ids)] + [int(np.count_nonzero(ids >= (1 << b))) for b in range(1, top)]
+    if top <= 20:
+        counts = np.bincount(ids, minlength=1)
+        longer = [len(ids)] + [int(counts[1 << b :].sum()) for b in range(1, top)]
+    else:
+        longer = [len(ids)] + [int(np.count_nonzero(ids >= (1 << b))) for b in range(1, top)]
     best: list[tuple[float, list[int]]] = [(0.0, [])] * (top + 1)
     for start in range(top - 1, -1, -1):
         options = []
@@ -56,14 +60,15 @@ def level_widths(ids: np.ndarray) -> list[int]:
 
 def pack(values: np.ndarray, width: int) -> bytes:
     """``width`` bits of every value, low bit first; eight values take ``width`` bytes."""
-    rows = np.zeros((-(-len(values) // 8), 8), np.uint64)
+    kind = np.uint32 if width <= 25 else np.uint64
+    rows = np.zeros((-(-len(values) // 8), 8), kind)
     rows.reshape(-1)[: len(values)] = values
     out = np.zeros((len(rows), width), np.uint8)
     for j in range(8):
         byte, shift = divmod(j * width, 8)
-        moved = rows[:, j] << np.uint64(shift)
+        moved = rows[:, j] << kind(shift)
         for k in range(-(-(shift + width) // 8)):
-            out[:, byte + k] |= (moved >> np.uint64(8 * k)).astype(np.uint8)
+            out[:, byte + k] |= (moved >> kind(8 * k)).astype(np.uint8)
     return out.tobytes()
 
 

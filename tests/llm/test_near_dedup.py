@@ -3,7 +3,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from revrank.llm import near_dedup as N
 
@@ -93,23 +92,3 @@ def test_rows_of_the_stage(docs, odd_docs, corpus):
     assert rows.columns == odd_docs.columns
     assert sorted(str(r["doc_id"]) for r in rows.collect()) == ["1", "2", "3", "3", "None", "None"]
     assert N.near_duplicates(docs.limit(0)).count() == 0
-
-
-def test_rarest_shingles_lose_no_pair(spark):
-    """Every pair that is alike enough comes out, also where most classes share frequent shingles."""
-    rng = random.Random(8)
-    sets = {}
-    for i in range(60):
-        base = [rng.randrange(12) for _ in range(rng.randint(1, 6))] + [1000 * (i // 4) + rng.randrange(9) for _ in range(rng.randint(0, 30))]
-        sets[i] = sorted(set(base))
-    sets |= {100 + i: sorted({*s[:-1], 7}) for i, s in list(sets.items())[:30] if len(s) > 4}
-    frame = spark.createDataFrame([(i, len(s), s) for i, s in sets.items()], "rep bigint, n_shingles bigint, shingles array<bigint>")
-    rows = frame.select("rep", F.col("rep").alias("component"))
-    for similarity in (0.8, 0.5):
-        got = {tuple(sorted(r)) for r in N.sharing_rare(rows, rows, frame, similarity).collect()}
-        alike = {
-            (a, b) for a in sets for b in sets
-            if a < b and len({*sets[a]} & {*sets[b]}) >= similarity * len({*sets[a]} | {*sets[b]})
-        }
-        assert alike and alike <= got
-        assert len(got) < len(sets) * (len(sets) - 1) / 4
