@@ -63,6 +63,8 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_0
                 start, size = row + 1, 0
         if start < batch.num_rows or not batch.num_rows:
             yield batch.slice(start)
+    # A worker lives on after its task, next to others: what Arrow holds for later goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def bit_table(hashes: DataFrame, bits: int = 1 << 24) -> np.ndarray:

@@ -201,11 +201,14 @@ class Encoder:
 
     def __init__(self, model: bytes, checked: bool = True):
         self.table = PieceTable(model)
-        self.known = Remembered(KEPT_CHUNKS, KEPT_CHARACTERS)
+        self.forget()
         self.checked = checked
         # Digests of chunks the library agreed on, one per place; a chunk that lost its place is asked for again.
         self.agreed = np.zeros(1 << 21, np.int64)
 
+    def forget(self) -> None:
+        self.known = Remembered(KEPT_CHUNKS, KEPT_CHARACTERS)
+
     def _learn(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         found = self.table.encode_chunks(chunks)
         if self.checked:
@@ -301,6 +304,8 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", key: str
             ids, starts, decoded = encoder.with_end([t or "" for t in batch.column(1).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=[key, "ids", "decoded"])
+        # As a stage between others: the worker is to be small again for what comes next.
+        encoder.forget()
 
     return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>, decoded string")
 
