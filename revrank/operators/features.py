@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from revrank.functions.hashing import digest
 from revrank.operators.aggregates import scalar
+from revrank.operators.positions import with_position
+from revrank.session import cut_wide
 
 
 def _slug(value: str) -> str:
@@ -26,17 +30,78 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]], drop: bool = True) -> D
     return out.drop(*levels) if drop else out
 
 
-def levels_of(df: DataFrame, columns: list[str], limit: int = 1000) -> dict[str, list[str]]:
-    """Sorted distinct values of each column; refuses columns too wide for one-hot."""
+def levels_of(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct values of columns known to be narrow; others take ``level_table``."""
     found = {}
     for c in columns:
-        rows = df.select(c).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{c} has more than {limit} values; target-encode it")
+        rows = df.select(c).distinct().collect()
         found[c] = sorted(r[0] for r in rows if r[0] is not None)
     return found
 
 
+def level_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, level): all values of the text columns, numbered from 0 over the table.
+
+    A range sort gives the numbers and nothing is collected, so a column may have any number
+    of values. A null is no value; without columns or rows the table is empty.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string, level bigint")
+    named = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    pairs = df.select(F.inline(F.array(*named))).filter(F.col("value").isNotNull()).distinct()
+    return with_position(pairs, [], ["column", "value"], "level").select("column", "value", "level")
+
+
+def lookup_levels(df: DataFrame, table: DataFrame, columns: list[str], wanted: str, prefix: str) -> DataFrame:
+    """``df`` and, per text column, ``wanted`` of the row's value as ``prefix`` + place of the column.
+
+    Null for a null value or one the table does not hold. One join per column, broadcast by
+    Spark while the written table is small; no row of ``df`` is multiplied.
+    """
+    out = df
+    for n, c in enumerate(columns):
+        own = table.filter(F.col("column") == c).select(F.col("value").alias("__v"), F.col(wanted).alias(f"{prefix}{n}"))
+        out = out.join(own, F.col(c) == F.col("__v"), "left").drop("__v")
+    return out
+
+
+def sparse_parts(
+    df: DataFrame, key: str, numbers: list[Column], columns: list[str], levels: DataFrame, first: int, name: str
+) -> DataFrame:
+    """(key, ``name`` = places and values): numbers at ``first`` on, then a 1 at each level of the row.
+
+    A null number counts as 0, a null or unknown text value sets no place.
+    """
+    marked = lookup_levels(df, levels, columns, "level", "__level")
+    begin = first + len(numbers)
+    hot = F.array(*[F.col(f"__level{n}") for n in range(len(columns))]).cast("array<bigint>")
+    places = F.transform(F.array_sort(F.array_compact(hot)), lambda v: (v + begin).cast("int"))
+    fixed = F.array(*[F.lit(first + n) for n in range(len(numbers))]).cast("array<int>")
+    values = F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in numbers]).cast("array<double>")
+    part = F.struct(
+        F.concat(fixed, places).alias("at"),
+        F.concat(values, F.array_repeat(F.lit(1.0), F.size(places))).alias("x"),
+    )
+    return marked.select(key, part.alias(name))
+
+
+def written_vectors(df: DataFrame, parts: list[str], size: int, name: str = "features") -> DataFrame:
+    """``df`` written with the sparse parts put together as one vector column of ``size`` places.
+
+    The vector's fields are made by expressions and read back under the vector type, so no row
+    passes through Python.
+    """
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.concat(*[F.col(f"{p}.at") for p in parts]).alias("indices"),
+        F.concat(*[F.col(f"{p}.x") for p in parts]).alias("values"),
+    )
+    made = df.select(*[c for c in df.columns if c not in parts], vector.alias(name))
+    read_as = StructType([StructField(f.name, VectorUDT()) if f.name == name else f for f in made.schema])
+    return cut_wide(made, read_as)
+
+
 def align_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exactly ``columns`` in that order; what is missing becomes 0."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(0).alias(c) for c in columns])

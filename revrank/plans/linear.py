@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,55 +35,75 @@ class _Additive(Recommender):
     ID_COLUMNS = ("user_idx", "item_idx", "__iter", "timestamp", "relevance")
 
     def _design(self, log: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-        """Label and one column per feature; remembers how to make them."""
+        """Keys, label and one sparse vector per log row, written; remembers how to make them."""
         self.user_text = _kind(users, TEXT, self.ID_COLUMNS)
         self.item_text = _kind(items, TEXT, self.ID_COLUMNS)
         self.user_nums = _kind(users, NUMBERS, self.ID_COLUMNS)
         self.item_nums = _kind(items, NUMBERS, self.ID_COLUMNS)
-        self.levels = features.levels_of(users, self.user_text) | features.levels_of(items, self.item_text)
         self.keys = [c for c in ("user_idx", "item_idx", "timestamp") if c in log.columns]
         base = log.select(*self.keys, F.col("relevance"))
         rows = cut(enrich_interactions(base, users, items))
         scaled = [c for c in self.user_nums + self.item_nums if c in self._scaled()]
         self.scaler = features.fit_scaler(rows, scaled)
         label = (F.col("relevance") > 0).cast("double").alias("label")
-        # Features are made on the two small tables; a log row only picks up two vectors.
+        # Features are made on the two small tables; a log row only picks up two short lists.
         made = rows.select(*self.keys, label)
-        self.names = []
-        for side, key in ((users, "user_idx"), (items, "item_idx")):
-            columns = self._columns(side.columns)
-            wide = side.select(key, *[c.cast("double").alias(f"f{n}") for n, (_, c) in enumerate(columns)])
-            packer = VectorAssembler(inputCols=[f"f{n}" for n in range(len(columns))], outputCol=f"__{key}")
-            made = made.join(cut(packer.transform(wide).select(key, f"__{key}")), key)
-            self.names += [name for name, _ in columns]
-        both = VectorAssembler(inputCols=["__user_idx", "__item_idx"], outputCol="features")
-        return both.transform(made).select(*self.keys, "label", "features")
+        self.levels, self.first, size = {}, {}, 0
+        for side, key, nums, text in (
+            (users, "user_idx", self.user_nums, self.user_text),
+            (items, "item_idx", self.item_nums, self.item_text),
+        ):
+            levels = self.levels[key] = cut(features.level_table(side, text))
+            self.first[key] = size
+            numbers = [self._number(c) for c in nums]
+            part = features.sparse_parts(side, key, numbers, text, levels, size, f"__{key}")
+            made = made.join(cut(part), key)
+            size += len(nums) + levels.count()
+        return features.written_vectors(made, ["__user_idx", "__item_idx"], size)
 
     def _scaled(self) -> tuple[str, ...]:
         return ("price",)
 
-    def _columns(self, present: list[str]) -> list[tuple[str, Column]]:
-        out = []
-        for c in self.user_nums + self.item_nums:
-            if c in present:
-                out.append((c, self.scaler.column(c) if c in self.scaler.mean else F.col(c)))
-        for c in self.user_text + self.item_text:
-            if c in present:
-                out += [(f"{c}={v}", F.when(F.col(c) == v, 1.0).otherwise(0.0)) for v in self.levels[c]]
-        return out
-
-    def _part(self, df: DataFrame, start: float) -> Column:
-        """This side's share of the logit as one expression."""
+    def _number(self, c: str) -> Column:
+        return self.scaler.column(c) if c in self.scaler.mean else F.col(c)
+
+    def _keep(self, model) -> None:
+        """Weights of the fitted model: a few numbers' here, the levels' as written tables.
+
+        The solver holds one vector of all weights on the driver (8 bytes a level); only its
+        entries other than 0 become rows.
+        """
+        self.intercept = float(model.intercept)
+        all_weights = np.asarray(model.coefficients.toArray(), np.float64)
+        self.number_weights, self.level_weights = {}, {}
+        for key, nums in (("user_idx", self.user_nums), ("item_idx", self.item_nums)):
+            first, n_levels = self.first[key], self.levels[key].count()
+            self.number_weights[key] = dict(zip(nums, all_weights[first : first + len(nums)].tolist()))
+            own = all_weights[first + len(nums) : first + len(nums) + n_levels]
+            place = np.flatnonzero(own)
+            spark = self.levels[key].sparkSession
+            weights = spark.createDataFrame(
+                pd.DataFrame({"level": place.astype(np.int64), "weight": own[place]}), "level bigint, weight double"
+            )
+            self.level_weights[key] = cut(self.levels[key].join(weights, "level").drop("level"))
+
+    def _part(self, df: DataFrame, key: str, start: float) -> DataFrame:
+        """``df`` and ``__part``, this side's share of the logit: numbers here, levels by a join."""
+        text = self.user_text if key == "user_idx" else self.item_text
+        present = [c for c in text if c in df.columns]
         total = F.lit(float(start))
-        for name, column in self._columns(df.columns):
-            weight = self.weights.get(name, 0.0)
-            if weight:
-                total = total + column * F.lit(weight)
-        return total
+        for c, weight in self.number_weights[key].items():
+            if weight and c in df.columns:
+                total = total + F.coalesce(self._number(c).cast("double"), F.lit(0.0)) * F.lit(weight)
+        for n in range(len(present)):
+            total = total + F.coalesce(F.col(f"__weight{n}"), F.lit(0.0))
+        return features.lookup_levels(df, self.level_weights[key], present, "weight", "__weight").withColumn("__part", total)
 
     def _rank(self, k, users, items, seen, scorer: Callable) -> DataFrame:
-        asked = users.select("user_idx", F.array(self._part(users, self.intercept)).alias("uvec"))
-        offered = items.select("item_idx", F.array(self._part(items, 0.0), F.col("price").cast("double")).alias("ivec"))
+        asked = self._part(users, "user_idx", self.intercept).select("user_idx", F.array("__part").alias("uvec"))
+        offered = self._part(items, "item_idx", 0.0).select(
+            "item_idx", F.array(F.col("__part"), F.col("price").cast("double")).alias("ivec")
+        )
         return blocked_topk(asked, offered, k, scorer, seen)
 
 
@@ -119,10 +139,8 @@ class LogisticRecommender(_Additive):
         )
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut_wide(self._design(log, user_features, item_features))
-        model = self._estimator(data.count()).fit(data)
-        self.intercept = float(model.intercept)
-        self.weights = dict(zip(self.names, (float(w) for w in model.coefficients)))
+        data = self._design(log, user_features, item_features)
+        self._keep(self._estimator(data.count()).fit(data))
         return self
 
     def cross_validate(self, log, user_features, item_features) -> DataFrame:
@@ -158,10 +176,8 @@ class SVMRecommender(_Additive):
         return tuple(self.user_nums + self.item_nums)
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut_wide(self._design(log, user_features, item_features))
-        model = LinearSVC(regParam=self.reg_param, maxIter=self.max_iter).fit(data)
-        self.intercept = float(model.intercept)
-        self.weights = dict(zip(self.names, (float(w) for w in model.coefficients)))
+        data = self._design(log, user_features, item_features)
+        self._keep(LinearSVC(regParam=self.reg_param, maxIter=self.max_iter).fit(data))
         return self
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):

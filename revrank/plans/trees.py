@@ -72,6 +72,37 @@ class Tree:
 
 def trees_of(model, n_features: int) -> list[Tree]:
     """The trees of a fitted model, read from its public description."""
+    return [_tree(root, n_features) for root in _roots(model)]
+
+
+def compact_trees(model) -> tuple[list[Tree], list[int]]:
+    """The trees over only the features they split on (and the first), and those features.
+
+    Boxes of a forest over thousands of levels are as wide as its splits, not as the levels.
+    """
+    roots = _roots(model)
+    used = {0}
+
+    def gather(node: Node) -> None:
+        if not isinstance(node, float):
+            used.add(node[0])
+            gather(node[2])
+            gather(node[3])
+
+    for root in roots:
+        gather(root)
+    kept = sorted(used)
+    place = {feature: n for n, feature in enumerate(kept)}
+
+    def renumbered(node: Node) -> Node:
+        if isinstance(node, float):
+            return node
+        return place[node[0]], node[1], renumbered(node[2]), renumbered(node[3])
+
+    return [_tree(renumbered(root), len(kept)) for root in roots], kept
+
+
+def _roots(model) -> list[Node]:
     blocks: list[list[re.Match]] = [[]]
     for line in model.toDebugString.splitlines():
         found = _LINE.match(line)
@@ -79,7 +110,9 @@ def trees_of(model, n_features: int) -> list[Tree]:
             blocks[-1].append(found)
         elif re.match(r"^ *Tree \d+", line):
             blocks.append([])
-    return [_tree(_node(iter(lines)), n_features) for lines in blocks if lines]
+        elif " (feature " in line or "Predict:" in line:
+            raise ValueError(f"a tree holds a line of unknown form: {line.strip()}")
+    return [_node(iter(lines)) for lines in blocks if lines]
 
 
 def _node(lines: Iterator[re.Match]) -> Node:
@@ -155,26 +188,51 @@ class RandomForestRecommender(_TreeModel):
         # MLlib trees stop at depth 30, which stands for "no limit".
         self.grid = grid or {"max_depth": [6, 12, 30], "min_samples_leaf": [1, 3, 5], "n_estimators": [200, 400]}
 
+    TEXT = {"user_idx": "segment", "item_idx": "category"}
+
     def _sides(self, users: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-        one = features.one_hot(users, {"segment": self.levels["segment"]})
-        two = features.one_hot(items, {"category": self.levels["category"]})
-        return one, two
+        """Both tables with a 0/1 column for each level the trees split on."""
+        out = []
+        for side, key in ((users, "user_idx"), (items, "item_idx")):
+            hot = {name: F.col(self.TEXT[key]) == F.lit(value) for name, value in self.levels[key].items()}
+            out.append(side.withColumns({n: F.coalesce(c.cast("int"), F.lit(0)) for n, c in hot.items()}))
+        return out[0], out[1]
 
     def training_rows(self, log, users, items) -> DataFrame:
-        self.levels = features.levels_of(users, ["segment"]) | features.levels_of(items, ["category"])
-        one, two = self._sides(users, items)
-        self.user_cols = [c for c in one.columns if c.startswith(("user_attr_", "segment_"))]
-        self.item_cols = [c for c in two.columns if c.startswith(("item_attr_", "category_"))] + ["price"]
+        """(label, weight, features) of the balanced sample, written; any number of levels."""
         time = ["timestamp"] if "timestamp" in log.columns else []
         rows = log.select("user_idx", "item_idx", *time, (F.col("relevance") > 0).cast("int").alias("label"))
         kept = cut(features.undersample_negatives(rows, "label", ["user_idx", "item_idx", *time], self.seed))
-        # Features are packed on the two small tables; a log row only picks up two vectors.
+        # Features are packed on the two small tables; a log row only picks up two short lists.
         made = kept.join(features.class_weights(kept), "label")
-        for side, key, names in ((one, "user_idx", self.user_cols), (two, "item_idx", self.item_cols)):
-            packer = VectorAssembler(inputCols=names, outputCol=f"__{key}")
-            made = made.join(packer.transform(side).select(key, f"__{key}"), key)
-        both = VectorAssembler(inputCols=["__user_idx", "__item_idx"], outputCol="features")
-        return both.transform(made).select(F.col("label").cast("double").alias("label"), "weight", "features")
+        columns, self.level_tables, size = [], {}, 0
+        for side, key, numbers in (
+            (users, "user_idx", [c for c in users.columns if c.startswith("user_attr_")]),
+            (items, "item_idx", [c for c in items.columns if c.startswith("item_attr_")] + ["price"]),
+        ):
+            text = self.TEXT[key]
+            levels = self.level_tables[key] = cut(features.level_table(side, [text]))
+            parts = features.sparse_parts(side, key, [F.col(c) for c in numbers], [text], levels, size, f"__{key}")
+            made = made.join(cut(parts), key)
+            columns.append(numbers + [f"{text}_level_{n}" for n in range(levels.count())])
+            size += len(columns[-1])
+        self.user_cols, self.item_cols = columns
+        made = made.select(F.col("label").cast("double").alias("label"), "weight", "__user_idx", "__item_idx")
+        return features.written_vectors(made, ["__user_idx", "__item_idx"], size)
+
+    def _keep(self, model) -> None:
+        """The model's trees, and the columns and level values they split on (no more than splits)."""
+        self.trees, kept = compact_trees(model)
+        names = self.user_cols + self.item_cols
+        wanted = {names[n] for n in kept}
+        self.levels = {}
+        for key, text in self.TEXT.items():
+            table = self.level_tables[key].withColumn("name", F.concat(F.lit(f"{text}_level_"), F.col("level")))
+            asked = sorted(n for n in wanted if n.startswith(f"{text}_level_"))
+            rows = table.filter(F.col("name").isin(asked)).collect() if asked else []
+            self.levels[key] = {r["name"]: r["value"] for r in rows}
+        self.user_cols = [c for c in self.user_cols if c in wanted]
+        self.item_cols = [c for c in self.item_cols if c in wanted]
 
     def _forest(self) -> RandomForestRegressor:
         return RandomForestRegressor(
@@ -202,13 +260,13 @@ class RandomForestRecommender(_TreeModel):
         return search, settings
 
     def fit(self, log, user_features=None, item_features=None):
-        data = cut_wide(self.training_rows(log, user_features, item_features))
+        data = self.training_rows(log, user_features, item_features)
         if self.tune_hyper:
             search, _ = self.grid_search(data)
             model = search.bestModel
         else:
             model = self._forest().fit(data)
-        self.trees = trees_of(model, len(self.user_cols) + len(self.item_cols))
+        self._keep(model)
         return self
 
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
@@ -250,8 +308,8 @@ class LambdaRankRecommender(_TreeModel):
         self.item_stats = cut(item_stats(joined))
         self.global_mean = joined.agg(F.avg(label)).first()[0]
         self.encodings = {c: cut(features.target_encoding(joined, c, label)) for c in text if c in wide_text}
-        self.levels = features.levels_of(users, [c for c in text if c in users.columns and c not in wide_text])
-        self.levels |= features.levels_of(items, [c for c in text if c in items.columns and c not in wide_text])
+        # Fewer than 30 values each; a value without log rows could not move a split.
+        self.levels = features.levels_of(joined, [c for c in text if c not in wide_text])
         return joined
 
     def _user_side(self, users: DataFrame) -> DataFrame:

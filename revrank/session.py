@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: str = "8", partitions: int = 8, app: str = "revrank") -> SparkSession:
@@ -47,25 +48,26 @@ def _cores(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, read_as: StructType | None = None) -> DataFrame:
     """Write ``df`` to the checkpoint folder, forget its lineage, read it back.
 
     The files outlive the executors, so a lost executor costs a re-read, not a re-run of
     everything before. A written table is taken instead of ``checkpoint()`` because it has
     its true size: a checkpoint keeps the estimate of the plan before it, and estimates
     multiply at every join, so after a few epochs they are numbers too long to compute with.
-    Readers also get only the columns they use.
+    Readers also get only the columns they use. ``read_as`` names other types for the same
+    stored fields.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(read_as or df.schema).parquet(path)
 
 
-def cut_wide(df: DataFrame) -> DataFrame:
+def cut_wide(df: DataFrame, read_as: StructType | None = None) -> DataFrame:
     """``cut`` into at least one partition per core, for work that is heavy per row.
 
     Adaptive execution sizes partitions by bytes; model fitting needs them by cores.
     """
-    return cut(df.repartition(_cores(df.sparkSession)))
+    return cut(df.repartition(_cores(df.sparkSession)), read_as)

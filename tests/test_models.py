@@ -2,10 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
+from revrank.operators.features import level_table, sparse_parts, written_vectors
 from revrank.operators.lambdas import lambda_gradients
 from revrank.plans.baselines import PopularityRecommender, RandomRecommender
 from revrank.plans.linear import LogisticRecommender, SVMRecommender
@@ -222,3 +224,89 @@ def test_forest_probability_is_that_of_a_classifier_leaf(spark):
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     model = RandomForestRegressor(numTrees=1, maxDepth=1, weightCol="w", bootstrap=False, subsamplingRate=1.0).fit(data)
     assert sorted(trees_of(model, 1)[0].value) == pytest.approx([0.0, 2 / 3])
+
+
+@pytest.fixture(scope="module")
+def many_levels(spark):
+    """6,000 users with 5,000 segments (ten of them null), items of two categories; 'hot' segments buy x."""
+    users = [(u, None if u >= 5000 and u % 100 == 1 else f"s{u % 5000:04d}", u % 7 / 7.0) for u in range(6000)]
+    items = [(i, "xy"[i % 2], float(5 + i % 7), float(i % 3)) for i in range(12)]
+    log = [
+        (u, i, float((u % 5000 < 2500) == (i % 2 == 0)), u % 97)
+        for u in range(6000) for i in (u % 12, (u + 5) % 12)
+    ]
+    return (
+        cut(spark.createDataFrame(log, "user_idx bigint, item_idx bigint, relevance double, timestamp bigint")),
+        cut(spark.createDataFrame(users, "user_idx bigint, segment string, user_attr_0 double")),
+        cut(spark.createDataFrame(items, "item_idx bigint, category string, price double, item_attr_0 double")),
+    )
+
+
+def test_level_table_numbers_every_value(many_levels):
+    _, users, _ = many_levels
+    rows = level_table(users, ["segment"]).collect()
+    assert sorted(r["level"] for r in rows) == list(range(5000))
+    ordered = [r["value"] for r in sorted(rows, key=lambda r: r["level"])]
+    assert ordered == sorted(ordered) and None not in ordered
+    assert level_table(users, []).count() == 0
+    assert level_table(users.limit(0), ["segment"]).count() == 0
+
+
+def test_written_vectors_equal_one_hot_by_hand(spark):
+    df = spark.createDataFrame(
+        [(1, "b", "q", 2.0), (2, None, "q", None), (3, "a", None, 0.5), (3, "a", None, 0.5)],
+        "id int, one string, two string, x double",
+    )
+    levels = cut(level_table(df, ["one", "two"]))
+    parts = sparse_parts(df, "id", [F.col("x")], ["one", "two"], levels, 0, "p")
+    made = written_vectors(parts, ["p"], 1 + levels.count())
+    got = sorted((r["id"], list(r["features"].toArray())) for r in made.collect())
+    # Places: x, one=a, one=b, two=q.
+    assert got == [
+        (1, [2.0, 0.0, 1.0, 1.0]), (2, [0.0, 0.0, 0.0, 1.0]), (3, [0.5, 1.0, 0.0, 0.0]), (3, [0.5, 1.0, 0.0, 0.0]),
+    ]
+
+
+@pytest.mark.parametrize("make", [lambda: LogisticRecommender(max_iter=15), lambda: SVMRecommender(max_iter=8)])
+def test_linear_models_take_thousands_of_levels(spark, many_levels, make):
+    log, users, items = many_levels
+    model = make().fit(log, users, items)
+    data = model._design(log, users, items)
+    estimator = LogisticRegression(maxIter=0) if isinstance(model, LogisticRecommender) else None
+    assert estimator is None or estimator.fit(data).numFeatures == 5000 + 2 + 2 + 1
+    # The logit of a side by the joins equals the sum of the row's weights by hand.
+    weights = {(r["column"], r["value"]): r["weight"] for r in model.level_weights["user_idx"].collect()}
+    assert len(weights) > 4000
+    number = model.number_weights["user_idx"]["user_attr_0"]
+    scale = model.scaler
+    rows = model._part(users, "user_idx", model.intercept).collect()
+    assert len(rows) == 6000
+    for r in rows[::37]:
+        x = r["user_attr_0"]
+        if "user_attr_0" in scale.mean:
+            x = (x - scale.mean["user_attr_0"]) / scale.std["user_attr_0"]
+        assert r["__part"] == pytest.approx(model.intercept + number * x + weights.get(("segment", r["segment"]), 0.0))
+    recs = model.predict(log, 3, users.limit(50), items)
+    assert recs.groupBy("user_idx").count().filter("count = 3").count() == 50
+    plan = model._part(users, "user_idx", 0.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 6000
+
+
+def test_forest_takes_thousands_of_levels(spark, many_levels):
+    log, users, items = many_levels
+    model = RandomForestRecommender(n_estimators=3, max_depth=4, min_samples_leaf=1)
+    data = model.training_rows(log, users, items)
+    forest = model._forest().fit(data)
+    assert forest.numFeatures == 1 + 5000 + 2 + 2
+    model._keep(forest)
+    names = model.user_cols + model.item_cols
+    assert all(t.low.shape[1] == len(names) < 100 for t in model.trees)
+    # Compact trees over named columns give what the fitted forest predicts for the same pairs.
+    one, two = model._sides(users, items)
+    pairs = log.join(one, "user_idx").join(two, "item_idx")
+    score = sum((t.column(names) for t in model.trees), F.lit(0.0)) / len(model.trees)
+    kept = pairs.select(F.round(score, 9).alias("p")).distinct()
+    theirs = forest.transform(data).select(F.round("prediction", 9).alias("p")).distinct()
+    assert theirs.join(kept, "p", "left_anti").count() == 0
+    recs = model.predict(log, 3, users.limit(40), items)
+    assert recs.groupBy("user_idx").count().filter("count = 3").count() == 40
