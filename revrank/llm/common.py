@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,8 +64,11 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 2_0
                 start, size = row + 1, 0
         if start < batch.num_rows or not batch.num_rows:
             yield batch.slice(start)
-    # A worker lives on after its task, next to others: what Arrow holds for later goes back.
+    # A worker lives on after its task, next to others: what Arrow and the C library hold for later goes back.
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def bit_table(hashes: DataFrame, bits: int = 1 << 24) -> np.ndarray:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revrank.llm.common import bit_table
+from revrank.llm.common import bit_table, small_batches
 from revrank.session import cut
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -117,7 +117,7 @@ def find_entities(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     near_type = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             spans, near = [], []
             for text_hash, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 found = base_spans(text or "")
@@ -154,7 +154,7 @@ def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
             h = xxhash.xxh64_intdigest(word.lower().encode("utf-8", "surrogatepass"), SEED)
             return all(table[p >> 3] >> (p & 7) & 1 for p in (h & (BLOOM_BITS - 1), h >> 32 & (BLOOM_BITS - 1)))
 
-        for batch in batches:
+        for batch in small_batches(batches, 2):
             rows: list[tuple] = []
             for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 words = set(_WORD.findall(text or ""))
@@ -302,7 +302,7 @@ def sanitise(docs: DataFrame, **thresholds) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, at):
             texts = []
             for text, terms in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 if text:
