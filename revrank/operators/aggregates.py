@@ -166,16 +166,61 @@ def global_mean_label(log: DataFrame) -> DataFrame:
     return log.agg(F.avg((F.col("relevance") > 0).cast("int")).alias("global_mean"))
 
 
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, distinct) for each column. Spark expands every row once per column for this."""
-    one = df.agg(*[F.count_distinct(c).alias(c) for c in columns])
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct")) for c in columns])
-    return one.select(F.inline(rows))
+    """(column, distinct) for each column; nulls do not count, -0 is 0.
+
+    Columns become (column, value) rows that the map tasks thin out to different ones, so
+    one aggregate on two levels serves all columns and none is a task of its own.
+    """
+    return _count_values([_values(df, columns)], df, columns)
+
+
+def joined_distinct_counts(log: DataFrame, users: DataFrame, items: DataFrame, columns: list[str]) -> DataFrame:
+    """``distinct_counts`` of ``enrich_interactions(log, users, items)`` without making that join.
+
+    A user column is counted on the users with rows in the log, an item column on the items;
+    only columns of the log itself are read row by row.
+    """
+    used = log.join(users, "user_idx", "left_semi").join(items, "item_idx", "left_semi")
+    own = [c for c in columns if c in log.columns and (c == "item_idx" or c not in items.columns)]
+    parts = []
+    if own:
+        parts.append(_values(used, own))
+    for side, key in ((users, "user_idx"), (items, "item_idx")):
+        mine = [c for c in columns if c in side.columns and c not in own]
+        if mine:
+            parts.append(_values(side.join(used.select(key).distinct(), key, "left_semi"), mine))
+    return _count_values(parts, log, columns)
+
+
+def _values(df: DataFrame, columns: list[str]) -> DataFrame:
+    types = dict(df.dtypes)
+
+    def value(c: str):
+        v = F.col(c)
+        if types[c] in ("float", "double"):
+            v = F.when(v == 0, F.lit(0.0)).otherwise(v)
+        return F.struct(F.lit(c).alias("column"), v.cast("string").alias("value"))
+
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, value string")
+    return df.select(F.inline(F.array(*[value(c) for c in columns]))).filter(F.col("value").isNotNull())
+
+
+def _count_values(parts: list[DataFrame], any_df: DataFrame, columns: list[str]) -> DataFrame:
+    named = any_df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    values = named.withColumn("value", F.lit(None).cast("string"))
+    for part in parts:
+        values = values.unionByName(part)
+    return values.distinct().groupBy("column").agg(F.count("value").alias("distinct"))
 
 
 def numeric_columns(df: DataFrame, min_distinct: int = 10) -> DataFrame:
     """Numeric columns with more than ``min_distinct`` values: the ones to scale."""
-    numeric = [c for c, t in df.dtypes if t in ("int", "bigint", "float", "double", "smallint", "tinyint")]
+    numeric = [c for c, t in df.dtypes if t in NUMBERS]
     return distinct_counts(df, numeric).filter(F.col("distinct") > min_distinct)
 
 
@@ -190,3 +235,19 @@ def high_cardinality(df: DataFrame, threshold: int = 30, rsd: float | None = Non
             F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct")) for c in text]))
         )
     return counted.filter(F.col("distinct") >= threshold)
+
+
+def joined_numeric_columns(log: DataFrame, users: DataFrame, items: DataFrame, min_distinct: int = 10) -> DataFrame:
+    """``numeric_columns`` of the log with its user and item features, without the join."""
+    numeric = _columns_of([log, users, items], NUMBERS)
+    return joined_distinct_counts(log, users, items, numeric).filter(F.col("distinct") > min_distinct)
+
+
+def joined_high_cardinality(log: DataFrame, users: DataFrame, items: DataFrame, threshold: int = 30) -> DataFrame:
+    """``high_cardinality`` of the log with its user and item features, without the join."""
+    text = _columns_of([log, users, items], ("string",))
+    return joined_distinct_counts(log, users, items, text).filter(F.col("distinct") >= threshold)
+
+
+def _columns_of(tables: list[DataFrame], types: tuple[str, ...]) -> list[str]:
+    return list(dict.fromkeys(c for df in tables for c, t in df.dtypes if t in types))

@@ -85,3 +85,16 @@ def lambda_gradients(
         .join(sums.drop("user_idx"), key, "left")
         .select(key, "user_idx", F.coalesce("lambda", zero).alias("lambda"), F.coalesce("hessian", zero).alias("hessian"))
     )
+
+
+def newton_leaves(rows: DataFrame, leaf: str, l2: float = 0.0) -> DataFrame:
+    """(leaf, value) for ``rows(leaf, lambda, hessian, w)``: sum of w * lambda over sum of w * hessian plus ``l2``.
+
+    The step that lowers a second-order loss most when all rows of a leaf move together. A
+    leaf whose divisor is 0 gets 0.
+    """
+    sums = rows.groupBy(leaf).agg(
+        F.sum(F.col("w") * F.col("lambda")).alias("__g"), (F.sum(F.col("w") * F.col("hessian")) + F.lit(float(l2))).alias("__h")
+    )
+    value = F.when(F.col("__h") > 0, F.col("__g") / F.col("__h")).otherwise(F.lit(0.0))
+    return sums.select(leaf, value.alias("value"))

@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from revrank.functions.hashing import keep_share, with_row_id
 from revrank.functions.scores import price_power
 from revrank.operators import features
-from revrank.operators.aggregates import distinct_counts, item_stats, user_stats
+from revrank.operators.aggregates import item_stats, joined_distinct_counts, user_stats
 from revrank.operators.blocked import blocked_topk
 from revrank.operators.joins import enrich_interactions
-from revrank.operators.lambdas import ideal_dcg, lambda_gradients
+from revrank.operators.lambdas import ideal_dcg, lambda_gradients, newton_leaves
 from revrank.operators.ranking import top_k
 from revrank.plans.base import Recommender, with_features
 from revrank.session import cut, cut_wide
@@ -94,12 +94,22 @@ def compact_trees(model) -> tuple[list[Tree], list[int]]:
     kept = sorted(used)
     place = {feature: n for n, feature in enumerate(kept)}
 
-    def renumbered(node: Node) -> Node:
-        if isinstance(node, float):
-            return node
-        return place[node[0]], node[1], renumbered(node[2]), renumbered(node[3])
+    return [_tree(_renumbered(root, place), len(kept)) for root in roots], kept
+
+
+def _renumbered(node: Node, place: dict[int, int]) -> Node:
+    """The same node with feature n called place[n]."""
+    if isinstance(node, float):
+        return node
+    return place[node[0]], node[1], _renumbered(node[2], place), _renumbered(node[3], place)
+
 
-    return [_tree(renumbered(root), len(kept)) for root in roots], kept
+def _with_leaves(node: Node, values: Iterator[float]) -> Node:
+    """The same node with its leaves replaced, in the order of ``Tree.value``."""
+    if isinstance(node, float):
+        return float(next(values))
+    low = _with_leaves(node[2], values)
+    return node[0], node[1], low, _with_leaves(node[3], values)
 
 
 def _roots(model) -> list[Node]:
@@ -280,17 +290,21 @@ class RandomForestRecommender(_TreeModel):
 class LambdaRankRecommender(_TreeModel):
     """Boosted trees on pairwise ranking gradients; ranks by score * price^alpha.
 
-    Each round turns the current scores into lambdas and curvatures, fits one regression
-    tree to their ratio (a Newton step, weighted by curvature and price^price_pow) and adds
-    it. Early stopping watches NDCG@10 on held-out users.
+    Each round turns the current scores into lambdas and curvatures, draws
+    ``bagging_fraction`` of the rows and ``feature_fraction`` of the features, and fits one
+    regression tree to lambda / curvature, weighted by curvature and price^price_pow. The
+    tree gives the splits; its leaves then get the Newton step with an L2 penalty, from sums
+    over the drawn rows (``newton_leaves``). Early stopping watches NDCG@10 on held-out users.
     """
 
     ROUNDS_PER_CUT = 20
 
     def __init__(self, price_pow: float | None = None, edr_alpha: float | None = None, num_boost_round: int = 2500,
                  early_stopping_rounds: int = 200, learning_rate: float = 0.05, max_depth: int = 5,
-                 min_data_in_leaf: int = 15, label_leak: bool = True, holdout: float = 0.1, seed: int = 42):
+                 min_data_in_leaf: int = 15, label_leak: bool = True, holdout: float = 0.1, seed: int = 42,
+                 feature_fraction: float = 0.8, bagging_fraction: float = 0.8, lambda_l2: float = 5.0):
         super().__init__(seed)
+        self.feature_fraction, self.bagging_fraction, self.lambda_l2 = feature_fraction, bagging_fraction, lambda_l2
         self.price_pow = 1.4 if price_pow is None else price_pow
         self.edr_alpha = 0.8 if edr_alpha is None else edr_alpha
         self.num_boost_round, self.early_stopping_rounds = num_boost_round, early_stopping_rounds
@@ -303,7 +317,8 @@ class LambdaRankRecommender(_TreeModel):
         joined = enrich_interactions(log.select("user_idx", "item_idx", "relevance"), users, items)
         joined = cut(joined)
         text = [c for c, t in joined.dtypes if t == "string"]
-        wide_text = {r["column"] for r in distinct_counts(joined, text).filter(F.col("distinct") >= 30).collect()}
+        counted = joined_distinct_counts(log.select("user_idx", "item_idx", "relevance"), users, items, text)
+        wide_text = {r["column"] for r in counted.filter(F.col("distinct") >= 30).collect()}
         self.user_stats = cut(user_stats(joined))
         self.item_stats = cut(item_stats(joined))
         self.global_mean = joined.agg(F.avg(label)).first()[0]
@@ -348,7 +363,6 @@ class LambdaRankRecommender(_TreeModel):
         held = keep_share(self.holdout, "user_idx", F.lit(self.seed))
         train = rows.filter(~held)
         valid = rows.filter(held)
-        assembler = VectorAssembler(inputCols=names, outputCol="features")
         base = train.withColumn("__base", F.lit(0.0))
         checked = valid.withColumn("__base", F.lit(0.0))
         trees: list[Tree] = []
@@ -357,22 +371,16 @@ class LambdaRankRecommender(_TreeModel):
         for done in range(1, self.num_boost_round + 1):
             score = _sum_trees(F.col("__base"), pending, names, learning_rate).alias("score")
             scored = cut(base.select("row_id", "user_idx", "label", score))
-            lambdas = lambda_gradients(scored, "row_id")
-            steps = lambdas.filter(F.col("hessian") > 1e-12).select(
-                "row_id", (F.col("lambda") / F.col("hessian")).alias("step"), "hessian"
-            )
-            data = assembler.transform(train.join(cut(steps), "row_id")).select(
-                "features", "step", (F.col("hessian") * price_power("price", price_pow)).alias("w")
-            )
-            model = DecisionTreeRegressor(
-                featuresCol="features", labelCol="step", weightCol="w", maxDepth=self.max_depth,
-                minInstancesPerNode=self.min_data_in_leaf, seed=self.seed,
-            ).fit(data)
-            tree = trees_of(model, len(names))
-            if not tree:
+            lambdas = lambda_gradients(scored, "row_id").filter(F.col("hessian") > 1e-12)
+            drawn = cut(lambdas.filter(keep_share(self.bagging_fraction, "row_id", F.lit(self.seed), F.lit(done))))
+            features_drawn = self._draw_features(len(names), done)
+            weight = price_power("price", price_pow)
+            data = cut(train.join(drawn.drop("user_idx"), "row_id").select(*names, "lambda", "hessian", weight.alias("w")))
+            tree = self._grow(data, names, features_drawn)
+            if tree is None:
                 break
-            trees += tree
-            pending += tree
+            trees.append(tree)
+            pending.append(tree)
             if len(pending) >= self.ROUNDS_PER_CUT:
                 # Fold the trees so far into a stored score, so the expression stays short.
                 base = cut_wide(base.withColumn("__base", _sum_trees(F.col("__base"), pending, names, learning_rate)))
@@ -387,6 +395,41 @@ class LambdaRankRecommender(_TreeModel):
                     break
         return trees[:best_at] if best_at else trees
 
+    def _draw_features(self, n: int, round_: int) -> list[int]:
+        """Numbers of the features a round may split on: a share of them, one at least."""
+        size = min(n, max(1, round(self.feature_fraction * n)))
+        return sorted(int(c) for c in np.random.default_rng([self.seed, round_]).choice(n, size, replace=False))
+
+    def _grow(self, data: DataFrame, names: list[str], drawn: list[int]) -> Tree | None:
+        """One tree over the drawn features of ``data`` (features, lambda, hessian, w); None without rows."""
+        if data.isEmpty():
+            return None
+        packed = VectorAssembler(inputCols=[names[c] for c in drawn], outputCol="features").transform(
+            data.withColumn("step", F.col("lambda") / F.col("hessian")).withColumn("__w", F.col("hessian") * F.col("w"))
+        )
+        model = DecisionTreeRegressor(
+            featuresCol="features", labelCol="step", weightCol="__w", maxDepth=self.max_depth,
+            minInstancesPerNode=self.min_data_in_leaf, seed=self.seed,
+        ).fit(packed)
+        roots = _roots(model)
+        if not roots:
+            return None
+        tree = _tree(_renumbered(roots[0], dict(enumerate(drawn))), len(names))
+        # At most 2^max_depth leaves come to the driver.
+        numbered = _tree(_with_leaves(tree.root, iter(range(len(tree.value)))), len(names))
+        rows = data.withColumn("leaf", numbered.column(names).cast("int"))
+        found = {r["leaf"]: r["value"] for r in newton_leaves(rows, "leaf", self.lambda_l2).collect()}
+        values = [found.get(n, 0.0) for n in range(len(tree.value))]
+        return _tree(_with_leaves(tree.root, iter(values)), len(names))
+
+    def _stored_scores(self, rows: DataFrame, trees: list[Tree], names: list[str], learning_rate: float) -> DataFrame:
+        """``rows`` with the sum of all trees as ``__base``, a few trees an expression."""
+        out = rows.withColumn("__base", F.lit(0.0))
+        for at in range(0, len(trees), self.ROUNDS_PER_CUT):
+            some = trees[at : at + self.ROUNDS_PER_CUT]
+            out = cut(out.withColumn("__base", _sum_trees(F.col("__base"), some, names, learning_rate)))
+        return out
+
     def ndcg(self, rows: DataFrame, pending: list[Tree], names: list[str], learning_rate: float, k: int = 10) -> float:
         """NDCG of the stored score ``__base`` (none yet: 0) plus the trees since it was stored."""
         start = F.col("__base") if "__base" in rows.columns else F.lit(0.0)
@@ -409,8 +452,9 @@ class LambdaRankRecommender(_TreeModel):
         results, best = [], None
         for pow_, lr in itertools.product(price_pows, learning_rates):
             trees = self._boost(rows, pow_, lr)
-            score = _sum_trees(F.lit(0.0), trees, names, lr)
-            values = rows.agg(*[F.avg(F.nanvl(score, F.lit(None)) * price_power("price", a)) for a in alphas]).first()
+            scored = self._stored_scores(rows, trees, names, lr)
+            score = F.col("__base")
+            values = scored.agg(*[F.avg(F.nanvl(score, F.lit(None)) * price_power("price", a)) for a in alphas]).first()
             for a, v in zip(alphas, values):
                 if v is None or v != v:
                     continue

@@ -8,7 +8,7 @@ from revrank.functions.hashing import draw
 from revrank.functions.scores import bpr_term
 from revrank.functions.vectors import dot_wide, names, seeded_vector, squares_wide
 from revrank.operators import evaluate, ranking, sampling
-from revrank.operators.lambdas import lambda_gradients
+from revrank.operators.lambdas import lambda_gradients, newton_leaves
 from revrank.plans.baselines import PopularityRecommender
 from revrank.plans.ngram import NGramRecommender
 from revrank.registry.base import draw_sql, q6, query, s6
@@ -289,11 +289,28 @@ _LAMBDA = f""", rows0 AS (SELECT event_id, user_idx, CAST(relevance > 0 AS INTEG
  SELECT event_id, user_idx, {s6('coalesce(l, 0)')} AS lambda, {s6('coalesce(h, 0)')} AS hessian FROM rows0 LEFT JOIN sums USING (event_id)"""
 
 
-@query("lambda_gradients", _LAMBDA)
-def _(spark, d):
+def _lambda_rows(spark, d):
     rows = tables.event_log(spark, d).select(
         "event_id", "user_idx", (F.col("relevance") > 0).cast("int").alias("label"),
         (draw("event_id", F.lit(5)) / 4294967296.0).alias("score"),
     )
-    out = lambda_gradients(rows, "event_id")
+    return lambda_gradients(rows, "event_id")
+
+
+@query("lambda_gradients", _LAMBDA)
+def _(spark, d):
+    out = _lambda_rows(spark, d)
     return out.select("event_id", "user_idx", q6("lambda").alias("lambda"), q6("hessian").alias("hessian"))
+
+
+_LEAVES = _LAMBDA[: _LAMBDA.rindex(" SELECT event_id")] + f""" SELECT item_idx % 16 AS leaf,
+ {s6('sum((1 + abs(coalesce(price, 0))) * coalesce(l, 0)) / (sum((1 + abs(coalesce(price, 0))) * coalesce(h, 0)) + 5)')} AS value
+ FROM elog LEFT JOIN sums USING (event_id) GROUP BY 1"""
+
+
+@query("newton_leaf_values", _LEAVES)
+def _(spark, d):
+    weight = 1 + F.abs(F.coalesce("price", F.lit(0.0)))
+    placed = tables.event_log(spark, d).select("event_id", (F.col("item_idx") % 16).alias("leaf"), weight.alias("w"))
+    leaves = newton_leaves(_lambda_rows(spark, d).join(placed, "event_id"), "leaf", 5.0)
+    return leaves.select("leaf", q6("value").alias("value"))

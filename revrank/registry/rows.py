@@ -109,10 +109,13 @@ WIDE_LOG = """, wide AS (SELECT l.user_idx, l.item_idx, relevance, l.price, segm
     category, item_attr_0, brand, name FROM slog l JOIN susers USING (user_idx) JOIN sitems i USING (item_idx))"""
 
 
-def wide_log(spark, d):
+def wide_sides(spark, d):
     log = tables.star_log(spark, d).select(*PAIRS, "relevance", "price")
-    items = tables.star_items(spark, d).drop("price")
-    return joins.enrich_interactions(log, tables.star_users(spark, d), items)
+    return log, tables.star_users(spark, d), tables.star_items(spark, d).drop("price")
+
+
+def wide_log(spark, d):
+    return joins.enrich_interactions(*wide_sides(spark, d))
 
 
 _NUMERIC = ["user_idx", "item_idx", "relevance", "price", "user_attr_0", "user_attr_1", "item_attr_0"]
@@ -128,12 +131,12 @@ def _distinct_sql(columns, cond):
 
 @query("numeric_columns", _distinct_sql(_NUMERIC, "> 10"))
 def _(spark, d):
-    return aggregates.numeric_columns(wide_log(spark, d))
+    return aggregates.joined_numeric_columns(*wide_sides(spark, d))
 
 
 @query("high_cardinality", _distinct_sql(_TEXT, ">= 30"))
 def _(spark, d):
-    return aggregates.high_cardinality(wide_log(spark, d))
+    return aggregates.joined_high_cardinality(*wide_sides(spark, d))
 
 
 @query("restrict_ids", "SELECT user_idx, item_idx, relevance FROM slog WHERE item_idx < (SELECT max(item_idx) // 2 FROM slog)")

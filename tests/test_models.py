@@ -8,7 +8,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from revrank.operators.features import level_table, sparse_parts, written_vectors
-from revrank.operators.lambdas import lambda_gradients
+from revrank.operators.lambdas import lambda_gradients, newton_leaves
 from revrank.plans.baselines import PopularityRecommender, RandomRecommender
 from revrank.plans.linear import LogisticRecommender, SVMRecommender
 from revrank.plans.sequence_models import SequenceAttentionRecommender, SequencePoolRecommender
@@ -134,6 +134,53 @@ def test_lambda_rank_folds_scores_and_stops_early(planted, monkeypatch):
     assert 1 <= len(short.trees) <= 6
 
 
+def test_newton_leaves_by_hand(spark):
+    rows = spark.createDataFrame(
+        [(0, 2.0, 1.0, 3.0), (0, -1.0, 0.5, 2.0), (1, 4.0, 2.0, 1.0), (2, 1.0, 0.0, 1.0)],
+        "leaf int, lambda double, hessian double, w double",
+    )
+    assert dict(newton_leaves(rows, "leaf", 5.0).collect()) == pytest.approx({0: 4 / 9, 1: 4 / 7, 2: 1 / 5})
+    assert dict(newton_leaves(rows, "leaf").collect())[2] == 0.0
+
+
+def test_boosted_leaves_are_newton_steps_of_the_drawn_rows(planted):
+    log, users, items = planted
+    model = LambdaRankRecommender(max_depth=3, min_data_in_leaf=3, lambda_l2=2.0, feature_fraction=0.5)
+    rows = model.training_rows(log, users, items)
+    names = model.user_cols + model.item_cols
+    grads = lambda_gradients(rows.select("row_id", "user_idx", "label", F.lit(0.0).alias("score")), "row_id")
+    data = cut(rows.join(grads.drop("user_idx"), "row_id").filter("hessian > 1e-12")
+               .select(*names, "lambda", "hessian", F.col("price").alias("w")))
+    drawn = model._draw_features(len(names), 1)
+    assert len(drawn) == round(len(names) / 2)
+    assert any(model._draw_features(len(names), n) != drawn for n in range(2, 6))
+    tree = model._grow(data, names, drawn)
+    # Only drawn features are split on.
+    others = [c for c in range(len(names)) if c not in drawn]
+    assert np.isinf(tree.low[:, others]).all() and np.isinf(tree.high[:, others]).all()
+    table = data.toPandas()
+    reach = tree.reach(table[names].to_numpy(float), list(range(len(names)))).astype(bool)
+    assert (reach.sum(axis=1) == 1).all() and len(tree.value) > 1
+    for n, value in enumerate(tree.value):
+        part = table[reach[:, n]]
+        assert value == pytest.approx((part.w * part["lambda"]).sum() / ((part.w * part.hessian).sum() + 2.0))
+    assert model._grow(data.limit(0), names, drawn) is None
+
+
+def test_stored_scores_equal_one_sum_of_all_trees(planted, monkeypatch):
+    monkeypatch.setattr(LambdaRankRecommender, "ROUNDS_PER_CUT", 2)
+    model = LambdaRankRecommender(num_boost_round=5, learning_rate=0.2, max_depth=2, min_data_in_leaf=3)
+    rows = model.training_rows(*planted)
+    names = model.user_cols + model.item_cols
+    trees = model._boost(rows, 1.4, 0.2)
+    assert len(trees) == 5
+    table = model._stored_scores(rows, trees, names, 0.2).toPandas()
+    want = np.zeros(len(table))
+    for t in trees:
+        want += 0.2 * (t.reach(table[names].to_numpy(float), list(range(len(names)))) @ t.value)
+    assert np.allclose(table["__base"], want)
+
+
 @pytest.mark.parametrize("make", [
     lambda: SequencePoolRecommender(embed_dim=4, lr=0.1, epochs=4, max_seq_len=6),
     lambda: SequenceAttentionRecommender(dim=4, lr=0.1, epochs=4, max_len=6),

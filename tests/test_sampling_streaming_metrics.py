@@ -6,8 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from revrank.operators import evaluate, sampling
-from revrank.operators.aggregates import histogram
+from revrank.operators.aggregates import (
+    distinct_counts,
+    histogram,
+    joined_distinct_counts,
+    joined_high_cardinality,
+    joined_numeric_columns,
+)
 from revrank.operators.features import align_columns, fit_scaler, one_hot
+from revrank.operators.joins import enrich_interactions
 from revrank.operators.ranking import top_k
 from revrank.operators.sequences import last_n_history
 from revrank.sources import schema, tables
@@ -124,3 +131,26 @@ def test_schema_repair(spark, mini):
     typed = schema.as_recommendations(top_k(log, 2))
     assert [t for _, t in typed.dtypes] == ["bigint", "bigint", "float", "int"]
     assert schema.attribute_columns(spark.createDataFrame([(1, 2)], "user_attr_1 int, x int"), "user_attr_") == ["user_attr_1"]
+
+
+def test_distinct_counts_of_the_join_without_the_join(spark):
+    log = spark.createDataFrame(
+        [(0, 0, 1.0), (0, 1, 0.0), (1, 1, -0.0), (7, 0, 5.0), (1, 9, 6.0)], "user_idx bigint, item_idx bigint, relevance double"
+    )
+    users = spark.createDataFrame(
+        [(0, "a", 1), (1, "a", None), (2, "z", 3)], "user_idx bigint, segment string, user_attr_0 int"
+    )
+    items = spark.createDataFrame(
+        [(0, None, 2.0), (1, None, float("nan")), (1, None, 4.0), (5, "q", 9.0)], "item_idx bigint, category string, price double"
+    )
+    wide = enrich_interactions(log, users, items)
+    want = {c: wide.agg(F.count_distinct(c)).first()[0] for c in wide.columns}
+    assert want["relevance"] == 2 and want["category"] == 0 and want["price"] == 3
+    got = joined_distinct_counts(log, users, items, wide.columns)
+    assert dict(got.collect()) == want
+    assert dict(distinct_counts(wide, wide.columns).collect()) == want
+    assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
+    none = joined_distinct_counts(log.limit(0), users, items, wide.columns)
+    assert dict(none.collect()) == dict.fromkeys(want, 0)
+    assert {r["column"] for r in joined_numeric_columns(log, users, items, 2).collect()} == {"price"}
+    assert [r["column"] for r in joined_high_cardinality(log, users, items, 1).collect()] == ["segment"]
