@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from revrank.operators.sequences import append_log, last_n_history
+from revrank.operators.ngram import ngram_counts
+from revrank.operators.sequences import MAX_SEQ_LEN, append_log, last_n_history
 
 
 def event_stream(spark: SparkSession, folder: str, files: str = "events*.parquet", per_batch: int = 1) -> DataFrame:
@@ -28,8 +30,8 @@ def _version(out: str, batch: int) -> str:
     return f"{out}/v={batch}"
 
 
-def _latest(spark: SparkSession, out: str) -> int | None:
-    """Highest finished version; a version is finished once its _SUCCESS file is there."""
+def _latest(spark: SparkSession, out: str, before: int | None = None) -> int | None:
+    """Highest finished version (below ``before``); a version is finished once its _SUCCESS file is there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(out)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
@@ -40,32 +42,143 @@ def _latest(spark: SparkSession, out: str) -> int | None:
         if s.getPath().getName().startswith("v=")
         and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
     ]
-    return max(done) if done else None
+    return max((v for v in done if before is None or v < before), default=None)
 
 
-def stream_user_history(stream: DataFrame, cap: int, order: list[str], out: str, checkpoint: str) -> DataFrame:
-    """Newest ``cap`` log rows per user, kept up to date slice by slice.
+class BucketedHistory:
+    """Newest ``cap`` log rows per user, stored in buckets of users by a hash of the id.
 
-    Every slice makes a new version from the version before it, so a slice that is run again
-    after a failure gives the same result. Equal to ``last_n_history`` of all slices.
+    A slice reads and rewrites only the buckets of its own users, under its batch number. A
+    small table per batch tells which batch wrote each bucket last (one row per bucket). A
+    slice that is run again after a failure starts from the batch before it and gives the
+    same result. What neither the newest batch nor the one before needs is deleted.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, cap: int, order: list[str], schema: StructType, buckets: int = 64):
+        self.spark, self.folder, self.cap, self.order, self.buckets = spark, folder, cap, order, buckets
+        self.schema = schema
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("user_idx"), F.lit(self.buckets)).cast("int")
+
+    def _places(self, batch_id: int | None) -> dict[int, int]:
+        """Bucket -> batch that wrote it last, as of ``batch_id``."""
+        if batch_id is None:
+            return {}
+        table = self.spark.read.schema("bucket int, batch int").parquet(_version(f"{self.folder}/places", batch_id))
+        return {r["bucket"]: r["batch"] for r in table.collect()}
+
+    def _path(self, bucket: int, batch: int) -> str:
+        return f"{_version(f'{self.folder}/rows', batch)}/bucket={bucket}"
+
+    def rows(self, batch_id: int | None, buckets: list[int] | None = None) -> DataFrame:
+        """The history as of ``batch_id`` (None: before the first), of all or the named buckets."""
+        places = self._places(batch_id)
+        paths = [self._path(b, v) for b, v in sorted(places.items()) if buckets is None or b in buckets]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def merge(self, batch: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+        """Take in a slice; (history before, history after) of the buckets it touches."""
+        previous = _latest(self.spark, f"{self.folder}/places", batch_id)
+        touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]
+        before = self.rows(previous, touched)
+        kept = last_n_history(append_log(before, batch.select(*self.schema.names)), self.cap, self.order).drop("recency")
+        placed = kept.withColumn("bucket", self._bucket()).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(_version(f"{self.folder}/rows", batch_id))
+        old = self._places(previous)
+        now = old | dict.fromkeys(touched, batch_id)
+        table = self.spark.createDataFrame(list(now.items()), "bucket int, batch int")
+        table.coalesce(1).write.mode("overwrite").parquet(_version(f"{self.folder}/places", batch_id))
+        return before, self.rows(batch_id, touched)
+
+    def forget(self, batch_id: int) -> None:
+        """Delete buckets and place tables that neither ``batch_id`` nor the batch before it needs."""
+        previous = _latest(self.spark, f"{self.folder}/places", batch_id)
+        if previous is None:
+            return
+        older = _latest(self.spark, f"{self.folder}/places", previous)
+        if older is None:
+            return
+        needed = self._places(previous)
+        for bucket, batch in self._places(older).items():
+            if needed[bucket] != batch:
+                _delete(self.spark, self._path(bucket, batch))
+        _delete(self.spark, _version(f"{self.folder}/places", older))
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stream_user_history(
+    stream: DataFrame, cap: int, order: list[str], out: str, checkpoint: str, buckets: int = 64
+) -> DataFrame:
+    """Newest ``cap`` log rows per user, kept up to date slice by slice (``BucketedHistory``).
+
+    Equal to ``last_n_history`` of all slices, whatever the order in which they come.
     """
     spark = stream.sparkSession
+    history = BucketedHistory(spark, out, cap, order, stream.schema, buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        previous = _latest_before(spark, out, batch_id)
-        rows = batch if previous is None else append_log(spark.read.parquet(_version(out, previous)), batch)
-        kept = last_n_history(rows, cap, order).drop("recency")
-        kept.write.mode("overwrite").parquet(_version(out, batch_id))
+        history.merge(batch, batch_id)
+        history.forget(batch_id)
 
     _run(stream.writeStream.foreachBatch(merge), checkpoint)
-    return spark.read.parquet(_version(out, _latest(spark, out)))
+    return history.rows(_latest(spark, f"{out}/places"))
 
 
-def _latest_before(spark: SparkSession, out: str, batch_id: int) -> int | None:
-    newest = _latest(spark, out)
-    if newest is None:
-        return None
-    return newest if newest < batch_id else (batch_id - 1 if batch_id > 0 else None)
+def stream_ngram_counts(
+    stream: DataFrame, size: int, order: list[str], out: str, checkpoint: str, max_len: int = MAX_SEQ_LEN,
+    buckets: int = 64, fold_every: int = 16,
+) -> DataFrame:
+    """``ngram_counts`` of all slices so far, kept up to date slice by slice.
+
+    A slice changes only its own users' windows: the windows of their stored newest
+    ``max_len`` rows are taken off and those of the new ones put on, so late rows and windows
+    that fall out of the history are right, too. Each slice writes the differences it makes;
+    every ``fold_every``-th writes the whole sum instead, so a reader adds up few tables.
+    """
+    spark = stream.sparkSession
+    names = list(dict.fromkeys(["user_idx", "item_idx", *order]))
+    history = BucketedHistory(spark, f"{out}/history", max_len, order, stream.select(*names).schema, buckets)
+    sums = f"{out}/counts"
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        users = batch.select(F.col("user_idx").alias("__user")).distinct()
+        mine = F.col("user_idx").eqNullSafe(F.col("__user"))
+        before, after = history.merge(batch, batch_id)
+        lost, won = [
+            ngram_counts(rows.join(users, mine, "left_semi"), size, order, max_len) for rows in (before, after)
+        ]
+        parts = won.unionByName(lost.withColumn("c", -F.col("c")))
+        fold = batch_id % fold_every == fold_every - 1
+        if fold:
+            parts = parts.unionByName(_counts_before(spark, sums, batch_id, fold_every))
+        _summed(parts).write.mode("overwrite").parquet(_version(sums, batch_id))
+        history.forget(batch_id)
+        if fold:
+            # The tables before the fold before this one are in both sums; no re-run reads them.
+            for old in range(max(batch_id - 2 * fold_every, 0), max(batch_id - fold_every, 0)):
+                _delete(spark, _version(sums, old))
+
+    _run(stream.writeStream.foreachBatch(merge), checkpoint)
+    return _summed(_counts_before(spark, sums, _latest(spark, sums) + 1, fold_every))
+
+
+def _counts_before(spark: SparkSession, folder: str, batch_id: int, fold_every: int) -> DataFrame:
+    """Differences of the batches before ``batch_id``, from the newest whole sum on."""
+    first = max(batch_id // fold_every * fold_every - 1, 0)
+    paths = [_version(folder, n) for n in range(first, batch_id)]
+    empty = spark.createDataFrame([], "ctx array<bigint>, item_idx bigint, c bigint")
+    return spark.read.schema(empty.schema).parquet(*paths) if paths else empty
+
+
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("ctx", "item_idx").agg(F.sum("c").alias("c")).filter(F.col("c") != 0)
 
 
 def stream_item_popularity(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:

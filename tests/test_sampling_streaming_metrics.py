@@ -1,6 +1,8 @@
 """Negatives, streams over several files, metrics by hand, schema repair."""
 
 import math
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from revrank.operators.aggregates import (
 )
 from revrank.operators.features import align_columns, fit_scaler, one_hot
 from revrank.operators.joins import enrich_interactions
+from revrank.operators.ngram import ngram_counts
 from revrank.operators.ranking import top_k
 from revrank.operators.sequences import last_n_history
 from revrank.sources import schema, tables
@@ -63,10 +66,61 @@ def test_streamed_history_equals_batch(spark, slices, tmp_path):
     stream = tables.events_as_log(incremental.event_stream(spark, str(slices)))
     got = incremental.stream_user_history(stream, 20, tables.EVENT_ORDER, str(tmp_path / "out"), str(tmp_path / "state"))
     want = last_n_history(tables.event_log(spark, FOLDER), 20, tables.EVENT_ORDER).drop("recency")
-    assert len(list((tmp_path / "out").glob("v=*"))) == 3
+    # Only the newest place table and the one before it stay.
+    assert sorted(f.name for f in (tmp_path / "out" / "places").glob("v=*")) == ["v=1", "v=2"]
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
 
 
+LOG = "user_idx bigint, item_idx bigint, timestamp bigint"
+
+
+def _slice_files(spark, folder, slices):
+    for n, rows in enumerate(slices):
+        spark.createDataFrame(rows, LOG).coalesce(1).write.parquet(str(folder / f"part{n}"))
+        (found,) = (folder / f"part{n}").glob("*.parquet")
+        target = folder / f"events-{n}.parquet"
+        target.write_bytes(found.read_bytes())
+        os.utime(target, (1_700_000_000 + n, 1_700_000_000 + n))
+
+
+def test_a_slice_of_one_user_rewrites_one_bucket(spark, tmp_path):
+    first = [(u, u % 5, t) for u in range(40) for t in range(4)]
+    slices = [first, [(3, 9, 7), (3, 8, 0)], [(3, 7, 9)], [(4, 1, 9)]]
+    _slice_files(spark, tmp_path, slices)
+    out, state = tmp_path / "out", str(tmp_path / "state")
+    stream = incremental.event_stream(spark, str(tmp_path))
+    got = incremental.stream_user_history(stream, 3, ["timestamp", "item_idx"], str(out), state, buckets=8)
+    want = last_n_history(spark.createDataFrame(sum(slices, []), LOG), 3, ["timestamp", "item_idx"]).drop("recency")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    buckets = {n: {f.name for f in (out / "rows" / f"v={n}").glob("bucket=*")} for n in range(4)}
+    assert [len(buckets[n]) for n in (1, 2, 3)] == [0, 1, 1]  # the bucket of batch 1 was replaced and is deleted
+    # Batch 0's bucket of user 3 went with batch 1; that of user 4 stays while batch 2 may be the start of a re-run.
+    assert buckets[0] & buckets[2] == set() and len(buckets[0]) == 7
+    again = incremental.BucketedHistory(spark, str(out), 3, ["timestamp", "item_idx"], stream.schema, 8)
+    again.merge(spark.createDataFrame(slices[3], LOG), 3)
+    assert sorted(map(tuple, again.rows(3).collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("fold_every", [2, 16])
+def test_streamed_ngram_counts_equal_one_fit(spark, tmp_path, fold_every):
+    rng = random.Random(fold_every)
+    rows = [(rng.choice([0, 0, 0, 1, 2, None]), rng.randint(0, 3), t) for t in range(60)]
+    rng.shuffle(rows)  # late rows come, and windows leave the 8 newest rows again
+    slices = [rows[:25], rows[25:26], rows[26:40], rows[40:55], rows[55:]]
+    _slice_files(spark, tmp_path, slices)
+    stream = incremental.event_stream(spark, str(tmp_path))
+    out = tmp_path / "out"
+    got = incremental.stream_ngram_counts(
+        stream, 2, ["timestamp"], str(out), str(tmp_path / "state"), max_len=8, buckets=4, fold_every=fold_every
+    )
+    want = ngram_counts(spark.createDataFrame(rows, LOG), 2, ["timestamp"], 8)
+    assert sorted((tuple(r["ctx"]), r["item_idx"], r["c"]) for r in got.collect()) == sorted(
+        (tuple(r["ctx"]), r["item_idx"], r["c"]) for r in want.collect()
+    )
+    kept = sorted(f.name for f in (out / "counts").glob("v=*"))
+    assert kept == (["v=1", "v=2", "v=3", "v=4"] if fold_every == 2 else [f"v={n}" for n in range(5)])
+
+
 def test_streamed_popularity_equals_batch_and_resumes(spark, slices, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     for _ in range(2):
