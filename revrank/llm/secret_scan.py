@@ -13,13 +13,16 @@ NAMES = r"(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key|auth)[\"']
 # Shapes of keys, and values assigned to telling names. No length is too large, and
 # none too small for an assigned value: its length is a feature of the forest. An assigned value is
 # not itself a name with its own value, nor the head of a key block: these are findings of their own.
+# A quoted value goes to its closing quote on the same line (or the end of the text), blanks and all;
+# where none closes it, to the first blank.
+_VALUE = rf"(?!{NAMES}|-----BEGIN )"
 PATTERNS = {
     "aws_key": r"\bA[KS]IA[0-9A-Z]{16}\b",
     "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}+\b",
     "slack_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,}+",
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
     "jwt": r"\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
-    "assigned": rf"{NAMES}\s{{0,3}}[\"']?(?!{NAMES}|-----BEGIN )[^\s\"']++",
+    "assigned": rf"{NAMES}\s{{0,3}}(?:\"{_VALUE}[^\"\r\n]++(?=\"|\z)|'{_VALUE}[^'\r\n]++(?='|\z)|[\"']?{_VALUE}[^\s\"']++)",
     "long_hex": r"\b[0-9a-f]{32,}+\b",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())

@@ -135,6 +135,9 @@ def test_values_of_any_length_are_whole(spark, forest):
         ("password = hunter2", [("assigned", "hunter2")]), ("secret: token = 'abc12345x'", [("assigned", "abc12345x")]),
         ("auth: Bearer " + jwt, [("assigned", "Bearer"), ("jwt", jwt)]),
         ("api_key = '-----BEGIN RSA PRIVATE KEY-----'", [("private_key", "-----BEGIN RSA PRIVATE KEY-----")]),
+        ('password = "correct horse staple" and', [("assigned", "correct horse staple")]),
+        ("password: 'it \"is\" long' or", [("assigned", 'it "is" long')]),
+        ('secret = "open ended\nnext line"', [("assigned", "open")]), ('secret = "to the end', [("assigned", "to the end")]),
         ("token=" + "a1B" * 300000, [("assigned", "a1B" * 300000)]),
     ]
     df = spark.createDataFrame([(i, t, "src1") for i, (t, _) in enumerate(texts)], "doc_id bigint, text string, source string")
