@@ -231,31 +231,30 @@ def _(spark, d):
     return _rounded(NGramRecommender().fit(log).predict(log, K, cold, tables.star_items(spark, d)))
 
 
-_TEST_PAIRS = SPLIT + """, t AS (SELECT u.user_idx, u.item_idx, i.price, i.item_attr_0 / 50.0 AS p
-  FROM (SELECT DISTINCT user_idx, item_idx FROM te) u JOIN sitems i USING (item_idx))"""
+_ALL_PAIRS = """, t AS (SELECT u.user_idx, u.item_idx, i.price, i.item_attr_0 / 50.0 AS p
+  FROM (SELECT DISTINCT user_idx, item_idx FROM slog) u JOIN sitems i USING (item_idx))"""
 
 
 def _scored_pairs(spark, d):
-    _train, test = sampling.temporal_split(tables.star_log(spark, d), 3)
     items = tables.star_items(spark, d).select("item_idx", "price", (F.col("item_attr_0") / 50.0).alias("p"))
-    return sampling.distinct_edges(test).join(items, "item_idx")
+    return sampling.distinct_edges(tables.star_log(spark, d)).join(items, "item_idx")
 
 
-@query("score_price_prob", _TEST_PAIRS + f" SELECT user_idx, item_idx, {s6('price * p')} AS relevance FROM t")
+@query("score_price_prob", _ALL_PAIRS + f" SELECT user_idx, item_idx, {s6('price * p')} AS relevance FROM t")
 def _(spark, d):
     from revrank.functions.scores import expected_revenue
 
     return _scored_pairs(spark, d).select(*PAIRS, q6(expected_revenue("p")).alias("relevance"))
 
 
-@query("score_price_power", _TEST_PAIRS + f" SELECT user_idx, item_idx, {s6('p * pow(price, 0.8)')} AS relevance FROM t")
+@query("score_price_power", _ALL_PAIRS + f" SELECT user_idx, item_idx, {s6('p * pow(price, 0.8)')} AS relevance FROM t")
 def _(spark, d):
     from revrank.functions.scores import score_price_power
 
     return _scored_pairs(spark, d).select(*PAIRS, q6(score_price_power("p")).alias("relevance"))
 
 
-@query("score_sigmoid_price", _TEST_PAIRS + f" SELECT user_idx, item_idx, {s6('pow(price, 0.6) / (1 + exp(-p))')} AS relevance FROM t")
+@query("score_sigmoid_price", _ALL_PAIRS + f" SELECT user_idx, item_idx, {s6('pow(price, 0.6) / (1 + exp(-p))')} AS relevance FROM t")
 def _(spark, d):
     from revrank.functions.scores import score_sigmoid_price
 

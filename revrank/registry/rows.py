@@ -237,14 +237,12 @@ def _(spark, d):
 
 @query(
     "lookup_price",
-    SPLIT
-    + """ SELECT p.user_idx, p.item_idx, coalesce(i.price, 1.0) AS price FROM (SELECT DISTINCT user_idx, item_idx FROM te) p
+    """ SELECT p.user_idx, p.item_idx, coalesce(i.price, 1.0) AS price FROM (SELECT DISTINCT user_idx, item_idx FROM slog) p
     LEFT JOIN (SELECT * FROM sitems WHERE category <> 'ECONOMY') i USING (item_idx)""",
 )
 def _(spark, d):
-    _train, test = sampling.temporal_split(tables.star_log(spark, d), 3)
     priced = tables.star_items(spark, d).filter(F.col("category") != "ECONOMY")
-    return schema.lookup_price(sampling.distinct_edges(test), priced)
+    return schema.lookup_price(sampling.distinct_edges(tables.star_log(spark, d)), priced)
 
 
 # --- scalar expressions -------------------------------------------------------------
