@@ -98,3 +98,25 @@ def test_blocked_topk_beyond_the_broadcast_size(spark):
     wide = blocked_topk(users, items, 3, user_block=16, item_block=16, broadcast_bytes=0)
     near = blocked_topk(users, items, 3)
     assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, near.collect()))
+
+
+def test_shared_head_is_made_where_the_keys_are(spark):
+    """No shuffle by rank: it held the same few ranks for all users and shrank to one task."""
+    import re
+
+    from revrank.operators import ranking
+
+    items = spark.range(700).selectExpr("id AS item_idx", "CAST(700 - id AS DOUBLE) AS relevance")
+    order = global_rank(items, [F.col("relevance").desc(), "item_idx"])
+    users = spark.range(3000).selectExpr("id AS user_idx")
+    # One user has seen more than the listed first ranks, one everything, and one an item of no order.
+    pairs = [(0, i) for i in range(ranking.HEAD_RANKS + 90)] + [(1, i) for i in range(700)] + [(2, 1), (2, 9999)]
+    seen = spark.createDataFrame(pairs, "user_idx bigint, item_idx bigint")
+    for gone in (None, seen):
+        got = head_of_order(users, order, gone, 4)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Exchange hashpartitioning\(rank", plan)
+        assert "REPARTITION_BY_NUM" in plan
+        found = {(r["user_idx"], r["item_idx"], r["rank"]) for r in top_k(got.select("user_idx", "item_idx", "relevance"), 4).collect()}
+        known = set(pairs) if gone is not None else set()
+        assert found == brute(range(3000), {i: 700.0 - i for i in range(700)}, known, 4)
