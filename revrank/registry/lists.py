@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from revrank.functions.vectors import seeded_vector, to_array
 from revrank.operators import joins, ranking, sampling, scoring
-from revrank.operators.blocked import blocked_topk
+from revrank.operators.blocked import blocked_topk, dot_bound
 from revrank.plans.baselines import ContentRecommender, PopularityRecommender, RandomRecommender
 from revrank.plans.ngram import NGramRecommender
 from revrank.registry.base import draw_sql, q6, query, s6
@@ -163,6 +163,10 @@ def six_digits(u: np.ndarray, i: np.ndarray) -> np.ndarray:
     return np.floor((u @ i.T) * 1e6 + 0.50001) / 1e6
 
 
+def six_digits_bound(ulo: np.ndarray, uhi: np.ndarray, ilo: np.ndarray, ihi: np.ndarray) -> np.ndarray:
+    return dot_bound(ulo, uhi, ilo, ihi) + 1e-6
+
+
 @query(
     "dot_product_scores",
     f" SELECT u.user_idx, u.item_idx, {s6(_DOT)} AS logit FROM (SELECT DISTINCT user_idx, item_idx FROM slog) u JOIN sitems i USING (item_idx)",
@@ -181,7 +185,7 @@ _BLOCK = f""", cand AS (SELECT u.user_idx, i.item_idx, {s6(_DOT)} AS relevance F
 def _(spark, d):
     log = tables.star_log(spark, d)
     users, items = seeded_users(tables.star_users(spark, d)), seeded_items(tables.star_items(spark, d))
-    return _rounded(blocked_topk(users, items, K, six_digits, sampling.distinct_edges(log)))
+    return _rounded(blocked_topk(users, items, K, six_digits, sampling.distinct_edges(log), bound=six_digits_bound))
 
 
 @query(
@@ -195,7 +199,7 @@ def _(spark, d):
 def _(spark, d):
     log = tables.event_log(spark, d)
     users, items = seeded_users(tables.event_users(spark, d)), seeded_items(tables.event_items(spark, d))
-    return _rounded(joins.exclude_seen(blocked_topk(users, items, K, six_digits), log))
+    return _rounded(joins.exclude_seen(blocked_topk(users, items, K, six_digits, bound=six_digits_bound), log))
 
 
 @query(
@@ -211,7 +215,7 @@ def _(spark, d):
     _train, test = sampling.temporal_split(tables.event_log(spark, d), 3)
     held = sampling.distinct_edges(test)
     users, items = seeded_users(held.select("user_idx").distinct()), seeded_items(tables.event_items(spark, d))
-    best = blocked_topk(users, items, 20, six_digits)
+    best = blocked_topk(users, items, 20, six_digits, bound=six_digits_bound)
     return held.join(best.select(*PAIRS, "rank"), PAIRS, "left")
 
 
