@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revrank.operators import features
-from revrank.operators.blocked import blocked_topk
+from revrank.operators.blocked import blocked_topk, product_range
 from revrank.operators.evaluate import accuracy
 from revrank.operators.joins import enrich_interactions
 from revrank.plans.base import Recommender, with_features
@@ -28,8 +28,8 @@ def _kind(df: DataFrame, kinds, skip: tuple[str, ...]) -> list[str]:
 class _Additive(Recommender):
     """A linear model without cross features: logit(u, i) = a(u) + b(i).
 
-    So a user is one number and an item two (its part and its price), and all pairs are
-    scored in blocks instead of being built.
+    So a user is one number and an item two (its part and its worth), and pairs are
+    scored in blocks instead of being built; blocks of neighbouring numbers have a close bound.
     """
 
     ID_COLUMNS = ("user_idx", "item_idx", "__iter", "timestamp", "relevance")
@@ -99,25 +99,38 @@ class _Additive(Recommender):
             total = total + F.coalesce(F.col(f"__weight{n}"), F.lit(0.0))
         return features.lookup_levels(df, self.level_weights[key], present, "weight", "__weight").withColumn("__part", total)
 
-    def _rank(self, k, users, items, seen, scorer: Callable) -> DataFrame:
+    def _rank(self, k, users, items, seen, lift: Callable[[np.ndarray], np.ndarray], worth: Column) -> DataFrame:
+        """Best by lift(probability) * worth; ``lift`` rises with the probability, ``worth`` is the item's."""
         asked = self._part(users, "user_idx", self.intercept).select("user_idx", F.array("__part").alias("uvec"))
         offered = self._part(items, "item_idx", 0.0).select(
-            "item_idx", F.array(F.col("__part"), F.col("price").cast("double")).alias("ivec")
+            "item_idx", F.array(F.col("__part"), worth.cast("double")).alias("ivec")
         )
-        return blocked_topk(asked, offered, k, scorer, seen)
 
+        def score(u: np.ndarray, i: np.ndarray) -> np.ndarray:
+            return lift(_probability(u[:, :1] + i[:, 0][None, :])) * i[:, 1][None, :]
 
-def _probability(u: np.ndarray, i: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-(u[:, :1] + i[:, 0][None, :])))
+        def bound(ulo: np.ndarray, uhi: np.ndarray, ilo: np.ndarray, ihi: np.ndarray) -> np.ndarray:
+            low, high = lift(_probability(ulo[:, :1] + ilo[:, 0])), lift(_probability(uhi[:, :1] + ihi[:, 0]))
+            return product_range(low, high, ilo[:, 1], ihi[:, 1])
 
+        return blocked_topk(asked, offered, k, score, seen, bound=bound)
 
-def _trig_scores(u: np.ndarray, i: np.ndarray) -> np.ndarray:
-    p, price = _probability(u, i), i[:, 1][None, :]
-    return (np.sin(p) + 1) * np.exp(p - 1) * np.log1p(price) * np.cos(price / 100) * (1 + np.tan(p * np.pi / 4))
 
+def _probability(logit: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-logit))
 
-def _revenue_scores(u: np.ndarray, i: np.ndarray) -> np.ndarray:
-    return _probability(u, i) * i[:, 1][None, :]
+
+def _trig_lift(p: np.ndarray) -> np.ndarray:
+    return (np.sin(p) + 1) * np.exp(p - 1) * (1 + np.tan(p * np.pi / 4))
+
+
+def _trig_worth() -> Column:
+    price = F.col("price").cast("double")
+    return F.log1p(price) * F.cos(price / 100)
+
+
+def _itself(p: np.ndarray) -> np.ndarray:
+    return p
 
 
 class LogisticRecommender(_Additive):
@@ -159,7 +172,7 @@ class LogisticRecommender(_Additive):
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=False):
         users = with_features(users, user_features, "user_idx")
         items = with_features(items, item_features, "item_idx")
-        best = self._rank(k, users, items, self._seen(log, filter_seen_items), _trig_scores)
+        best = self._rank(k, users, items, self._seen(log, filter_seen_items), _trig_lift, _trig_worth())
         return best.join(items.select("item_idx", "price"), "item_idx").select(
             "user_idx", "item_idx", "relevance", "price", "rank"
         )
@@ -183,4 +196,4 @@ class SVMRecommender(_Additive):
     def predict(self, log, k, users, items, user_features=None, item_features=None, filter_seen_items=True):
         users = with_features(users, user_features, "user_idx")
         items = with_features(items, item_features, "item_idx")
-        return self._rank(k, users, items, self._seen(log, filter_seen_items), _revenue_scores)
+        return self._rank(k, users, items, self._seen(log, filter_seen_items), _itself, F.col("price"))
