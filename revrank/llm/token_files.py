@@ -36,6 +36,8 @@ MAGIC = b"DAC1"
 # Entries between two entries of a directory of ones.
 RANK_STEP = 512
 SEGMENT_TOKENS = 1 << 22
+# Text encoded at once: the more, the fewer pieces are looked up again.
+BATCH_BYTES = 8_000_000
 # Tokens read at once when a whole file is read.
 STRETCH = 1 << 18
 
@@ -241,7 +243,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names=["part", "seq", "file", "docs", "tokens"])
 
         held = 0
-        for batch in small_batches(batches, 1):
+        for batch in small_batches(batches, 1, BATCH_BYTES):
             if not batch.num_rows:
                 continue
             flat, n = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
