@@ -1,10 +1,10 @@
-"""Near-duplicate classes: MinHash bands for candidates, odd sketches to sift them, exact sets to confirm.
+"""Near-duplicate classes: MinHash bands for candidates, sketches to sift them, exact sets to confirm.
 
 Documents with equal shingle sets are one class and go on as their smallest id, so thousands
 of copies cost one row. Classes meet in band buckets. A bucket's pairs are never listed:
 first every class is paired with random pivots of its buckets, of which its odd sketch picks
 the most alike; only between parts of a bucket that these links left apart, the remaining
-pairs are looked at, again through their sketches.
+pairs are looked at, again through their sketches and a parity map of the whole sets.
 """
 
 from __future__ import annotations
@@ -116,6 +116,12 @@ def odd_sketch(least: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1).view(np.int64)
 
 
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """Every shingle flips one bit. Two maps differ in no more bits than their sets in shingles."""
+    at = _mix(shingles * _STEP) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1).view(np.int64)
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
     """Per row: doc_id, text_hash, n_shingles, two digests of the set, band keys."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -147,7 +153,7 @@ def _row_key(doc_id: str = "doc_id", text_hash: str = "text_hash") -> Column:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(rep, n_shingles, shingles, odd) of the rows ``wanted`` (doc_id, text_hash): sets for confirming, odd sketches for sifting.
+    """(rep, n_shingles, shingles, odd, parity) of the rows ``wanted`` (doc_id, text_hash): sets for confirming, the rest for sifting.
 
     Texts are not shuffled: a bit table of fixed size picks the rows in the scan, and the join
     that drops those it let through by chance sees sets only.
@@ -162,16 +168,17 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             sets = [shingle_set(t, words) for t in batch.column(3).to_pylist()]
             odd = [odd_sketch(min_hashes(s, _ODD)) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), pa.array(odd, longs)],
-                names=["doc_id", "text_hash", "n_shingles", "shingles", "odd"],
+                [*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], longs), pa.array(odd, longs),
+                 pa.array([parity_map(s) for s in sets], longs)],
+                names=["doc_id", "text_hash", "n_shingles", "shingles", "odd", "parity"],
             )
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").select("doc_id", "text_hash", _row_key().alias("key"), "text")
     made = rows.mapInArrow(
-        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, shingles array<bigint>, odd array<bigint>"
+        run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, shingles array<bigint>, odd array<bigint>, parity array<bigint>"
     )
     made = made.join(wanted, ["doc_id", "text_hash"]).dropDuplicates(["doc_id"])
-    return made.select(F.col("doc_id").alias("rep"), "n_shingles", "shingles", "odd")
+    return made.select(F.col("doc_id").alias("rep"), "n_shingles", "shingles", "odd", "parity")
 
 
 def flipped(a: str, b: str) -> Column:
@@ -297,10 +304,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     links = cut_slim(links.union(nearest(again)))
     labels = components(links)
 
-    # Who is left now is compared with all others of its buckets, through the sketches.
+    # Who is left now is compared with all others of its buckets, through the sketches. Parity maps let
+    # through hardly more than true links, so the pairs just below ``similarity`` are not listed.
     rows_apart, outside = apart(labels)
+    may_link = flipped("pa", "pb") * (100 + least) <= (F.col("na") + F.col("nb")) * (100 - least)
+
     def banded(name: str) -> DataFrame:
-        return side(name).join(reps.select(F.col("rep").alias(name), F.col("bands").alias(f"k{name}")), name)
+        maps = sets.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n{name}"), F.col("odd").alias(f"o{name}"), F.col("parity").alias(f"p{name}"))
+        return maps.join(reps.select(F.col("rep").alias(name), F.col("bands").alias(f"k{name}")), name)
 
     left = outside.select("key", F.col("component").alias("ca"), F.col("rep").alias("a")).join(banded("a"), "a")
     right = rows_apart.select(
@@ -309,8 +320,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, be
     # A pair comes out of the first bucket it shares only.
     first_shared = F.element_at("ka", F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True).cast("int"))
     across = cut(left).join(cut(right), "key").filter(
-        (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & in_reach & (flipped("oa", "ob") <= limit)
-        & (first_shared == F.col("key"))
+        (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & in_reach & may_link
+        & (flipped("oa", "ob") <= limit) & (first_shared == F.col("key"))
     )
     more = confirmed(cut_slim(across.select("a", "b")), sets, similarity)
     all_links = cut_slim(links.union(more))

@@ -70,6 +70,26 @@ def test_odd_sketches_estimate_similarity():
         assert ones <= N.most_flips(0.8) or share < 0.8
 
 
+def test_parity_maps_bound_the_difference_of_sets():
+    rng = np.random.default_rng(8)
+    for size, own in ((5, 2), (150, 30), (150, 0), (3000, 900), (20000, 9000)):
+        shared, one, two = (np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64)) for n in (size, own, own))
+        x, y = (N.parity_map(np.concatenate((shared, s))) for s in (one, two))
+        ones = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+        assert ones <= 2 * own and ones >= 2 * own - own * own / 500
+
+
+def test_pairs_just_below_the_threshold_are_not_listed(spark, monkeypatch):
+    # Common and own shingles 200 to 31, so all pairs are 0.76 alike: no link, but within the margin of the sketches.
+    common = " ".join(f"c{i}" for i in range(201))
+    rows = [(n, common + " " + " ".join(f"d{n}_{i}" for i in range(31))) for n in range(30)]
+    listed, real = [], N.confirmed
+    monkeypatch.setattr(N, "confirmed", lambda pairs, *rest: (listed.append(pairs.count()), real(pairs, *rest))[1])
+    found = N.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=2).collect()
+    assert all(r["kept"] for r in found) and len(found) == 30
+    assert listed[-1] == 0
+
+
 def test_words_in_chunks(monkeypatch):
     text = "Ab cD\té\x0bx  " * 3000 + "y" * 5000
     whole = N.word_hashes(text)
