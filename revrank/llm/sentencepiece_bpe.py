@@ -31,6 +31,9 @@ SPACE = "▁"
 SHORT = 48
 KEPT_CHUNKS = 600_000
 KEPT_CHARACTERS = 12_000_000
+# As a stage between others a worker has less room: it keeps a fifth of that, and takes less text at once.
+STAGE_SHARE = 5
+STAGE_BATCH_BYTES = 500_000
 
 
 class PieceTable:
@@ -199,15 +202,16 @@ class PieceTable:
 class Encoder:
     """Whole texts through the piece table, chunks kept between texts."""
 
-    def __init__(self, model: bytes, checked: bool = True):
+    def __init__(self, model: bytes, checked: bool = True, share: int = 1):
         self.table = PieceTable(model)
+        self.share = share
         self.forget()
         self.checked = checked
         # Digests of chunks the library agreed on, one per place; a chunk that lost its place is asked for again.
-        self.agreed = np.zeros(1 << 21, np.int64)
+        self.agreed = np.zeros((1 << 21) // (1 << (share.bit_length() - 1)), np.int64)
 
     def forget(self) -> None:
-        self.known = Remembered(KEPT_CHUNKS, KEPT_CHARACTERS)
+        self.known = Remembered(KEPT_CHUNKS // self.share, KEPT_CHARACTERS // self.share)
 
     def _learn(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         found = self.table.encode_chunks(chunks)
@@ -272,14 +276,14 @@ class Encoder:
         return ids, starts, [lib.decode(listed[s:e]) for s, e in zip(bounds, bounds[1:])]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def _encoder(name: str) -> Encoder:
-    if name not in _ENCODERS:
+def _encoder(name: str, share: int = 1) -> Encoder:
+    if (name, share) not in _ENCODERS:
         with open(SparkFiles.get(name), "rb") as f:
-            _ENCODERS[name] = Encoder(f.read())
-    return _ENCODERS[name]
+            _ENCODERS[name, share] = Encoder(f.read(), share=share)
+    return _ENCODERS[name, share]
 
 
 def _share_model(docs: DataFrame, model_path: str) -> str:
@@ -299,8 +303,8 @@ def encode_texts(docs: DataFrame, model_path: str, text: str = "text", key: str
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(name)
-        for batch in small_batches(batches, 1):
+        encoder = _encoder(name, STAGE_SHARE)
+        for batch in small_batches(batches, 1, STAGE_BATCH_BYTES):
             ids, starts, decoded = encoder.with_end([t or "" for t in batch.column(1).to_pylist()])
             lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(decoded, pa.string())], names=[key, "ids", "decoded"])

@@ -44,6 +44,17 @@ def test_kept_chunks_are_bounded(encoder, monkeypatch):
     assert listed(*encoder.encode_all(texts)) == encoder.table.library.encode(texts, num_threads=1)
 
 
+def test_a_stage_keeps_a_share_of_the_chunks(encoder, monkeypatch):
+    monkeypatch.setattr(S, "KEPT_CHUNKS", 5000)
+    with open(MODEL, "rb") as f:
+        small = S.Encoder(f.read(), share=S.STAGE_SHARE)
+    assert (small.known.most, small.known.most_characters) == (5000 // S.STAGE_SHARE, S.KEPT_CHARACTERS // S.STAGE_SHARE)
+    for start in range(0, 3000, 300):
+        texts = [f"word{i} other{i * 7} thing{i % 9}" for i in range(start, start + 300)]
+        assert listed(*small.encode_all(texts)) == encoder.table.library.encode(texts, num_threads=1)
+    assert len(small.agreed) < len(encoder.agreed)
+
+
 def test_rows(docs, odd_docs, corpus):
     lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = {r["doc_id"]: r for r in S.encode_texts(docs, MODEL).collect()}
