@@ -22,10 +22,17 @@ from revrank.functions.vectors import to_array
 from revrank.operators import positions
 from revrank.operators.blocked import blocked_logsumexp, blocked_softmax_gradients
 from revrank.operators.graph import fan_out, spread
-from revrank.session import cut
+from revrank.session import cores, cut
 
 ROWS = 1 << 13
 CHUNK = 2048
+# An item table of at most so many bytes goes whole to every part of the chunks; a part has about so many log rows.
+WHOLE_BYTES = 16 << 20
+PART_ROWS = 200_000
+# Log rows, and scores, worked on at once there. Scores up to SAFE need no shift before exp().
+ROWS_AT_ONCE = 1 << 13
+SCORES = 1 << 18
+SAFE = 300.0
 # Numbers (rows x history x dimension) worked on at once.
 STEP = 1 << 22
 
@@ -133,12 +140,17 @@ def pooled_back(chunks: DataFrame, row_gradients: DataFrame, max_len: int) -> Da
     return joined.mapInPandas(_by_chunk(run), "node bigint, v array<double>, loss double")
 
 
-def pooled_softmax_gradient(chunks: DataFrame, links: DataFrame, emb: DataFrame, d: int, max_len: int, n: int) -> DataFrame:
+def pooled_softmax_gradient(
+    chunks: DataFrame, links: DataFrame, emb: DataFrame, d: int, max_len: int, n: int, whole_bytes: int = WHOLE_BYTES
+) -> DataFrame:
     """(node, e0.., loss): mean cross-entropy of the next item over all items of ``emb``, and its gradient.
 
-    Two passes over blocks of states and items: the first gives every row's softmax
-    denominator, the second the gradients of both sides.
+    All rows meet all items. An item table of at most ``whole_bytes`` goes to parts of the chunks, where
+    a row's scores are made once and nothing but sums per item leaves. A larger one takes two passes over blocks of
+    states and items: the first gives every row's softmax denominator, the second the gradients of both sides.
     """
+    if emb.count() * (d + 2) * 8 <= whole_bytes:
+        return _summed(_pooled_whole(chunks, emb, d, max_len, n), d)
     states = cut(pooled_states(with_vectors(chunks, links, emb, d), max_len))
     items = cut(emb.select(F.col("node").alias("item_idx"), to_array(d).alias("ivec")))
     norms = blocked_logsumexp(states.select(F.col("row").alias("user_idx"), F.col("h").alias("uvec")), items)
@@ -149,6 +161,68 @@ def pooled_softmax_gradient(chunks: DataFrame, links: DataFrame, emb: DataFrame,
     return _summed(item_side.unionByName(pooled_back(chunks, rows, max_len)), d)
 
 
+def _pooled_whole(chunks: DataFrame, emb: DataFrame, d: int, max_len: int, n: int) -> DataFrame:
+    """(node, v, loss) in parts to be added up, one for each item and part of the chunks."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({"node": np.zeros(0, np.int64), "v": np.zeros(0, object), "loss": np.zeros(0)})
+        ids = np.concatenate([np.asarray(v) for v in right["ids"]])
+        mat = np.concatenate([np.asarray(v, np.float64) for v in right["mat"]]).reshape(len(ids), d)
+        order = np.argsort(ids)
+        ids, mat = ids[order], mat[order]
+        counted = np.concatenate((mat, np.ones((len(ids), 1))), axis=1)
+        longest = np.sqrt((mat * mat).sum(axis=1).max())
+        turned = np.ascontiguousarray(mat.T)
+        total, loss = np.zeros((len(ids), d)), 0.0
+        step = max(1, SCORES // len(ids))
+        sizes = left["items"].map(len).to_numpy()
+        batch = np.cumsum(sizes) // ROWS_AT_ONCE
+        for number in np.unique(batch):
+            some = left[batch == number]
+            items = np.searchsorted(ids, np.concatenate(list(some["items"])))
+            begin = np.repeat(np.cumsum(sizes[batch == number]) - sizes[batch == number], sizes[batch == number])
+            at = np.flatnonzero(np.concatenate(list(some["own"])) & (np.arange(len(items)) > begin))
+            low = np.maximum(at - max_len, begin[at])
+            e = mat[items]
+            sums = np.concatenate((np.zeros((1, d)), np.cumsum(e, axis=0)))
+            h = ((sums[at] - sums[low]) / (at - low)[:, None] + e[at - 1]) / 2
+            g = np.empty_like(h)
+            for start in range(0, len(at), step):
+                u, wanted = h[start : start + step], items[at[start : start + step]]
+                scores = u @ turned
+                loss -= scores[np.arange(len(u)), wanted].sum()
+                if longest * np.sqrt((u * u).sum(axis=1).max()) > SAFE:
+                    top = scores.max(axis=1)
+                    scores -= top[:, None]
+                    loss += top.sum()
+                np.exp(scores, out=scores)
+                mixed = scores @ counted
+                loss += np.log(mixed[:, d]).sum()
+                g[start : start + step] = mixed[:, :d] / mixed[:, d:] - mat[wanted]
+                total += scores.T @ (u / mixed[:, d:])
+            np.add.at(total, items[at], -h)
+            # What a state gets goes on to the items of its history.
+            share = g / (2.0 * (at - low)[:, None])
+            steps = np.zeros((len(items) + 1, d))
+            np.add.at(steps, low, share)
+            np.add.at(steps, at, -share)
+            got = np.cumsum(steps, axis=0)[:-1]
+            got[at - 1] += g / 2
+            np.add.at(total, items, got)
+        losses = np.zeros(len(ids))
+        losses[0] = loss / n
+        return pd.DataFrame({"node": ids, "v": list(total / n), "loss": losses})
+
+    parts = max(4 * cores(chunks.sparkSession), -(-n // PART_ROWS))
+    left = chunks.select(F.pmod(F.xxhash64("chunk"), F.lit(parts)).alias("part"), "items", "own")
+    listed = emb.groupBy(F.pmod(F.xxhash64("node"), F.lit(16))).agg(F.sort_array(F.collect_list(F.struct("node", to_array(d).alias("v")))).alias("r"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
+    packed = listed.select(every.alias("part"), F.col("r.node").alias("ids"), F.flatten("r.v").alias("mat"))
+    both = left.repartition(parts, "part").groupBy("part").cogroup(packed.repartition(parts, "part").groupBy("part"))
+    return both.applyInPandas(run, "node bigint, v array<double>, loss double")
+
+
 # -- attention, pairwise loss ----------------------------------------------------------------
 
 
