@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 
 from revrank.operators.packed_trees import (
     BinTree, FlatTree, ForestTable, bin_numbers, cut_points, fits, grow, roc_area,
@@ -112,3 +113,28 @@ def test_roc_area_counts_equal_scores_half():
     assert roc_area(score, label) == pytest.approx(((good > bad) + 0.5 * (good == bad)).mean())
     assert fits(10, 5, 2) and not fits(1 << 30, 5, 2)
     assert isinstance(grow(np.zeros((1, 1), np.uint8), np.ones(1), np.ones(1), np.ones(1), lambda n: np.array([0]), 3, 1), BinTree)
+
+
+def test_forest_grid_search_asks_for_the_whole_grid(spark, monkeypatch):
+    asked = {}
+
+    def grid_search(self, data):
+        asked.update(self.grid, folds=self.folds)
+        return None, []
+
+    monkeypatch.setattr(RandomForestRecommender, "grid_search", grid_search)
+    QUERIES["forest_grid_search"](spark, FOLDER)
+    assert asked == {"max_depth": [6, 12, 30], "min_samples_leaf": [1, 3, 5], "n_estimators": [200, 400], "folds": 3}
+
+
+def test_settings_that_share_trees_score_as_if_alone(spark):
+    x, _, _, y, rng = rows(240, 3)
+    data = spark.createDataFrame([(float(b), 1.0, Vectors.dense(a)) for a, b in zip(x, y)], ["label", "weight", "features"])
+    whole = {"max_depth": [1, 4], "min_samples_leaf": [1, 9], "n_estimators": [3, 8]}
+    search, scores = RandomForestRecommender(grid=whole, folds=2).grid_search(data)
+    assert len(scores) == 8 and len({s for _, s in scores}) > 4
+    for setting, score in (scores[1], scores[6]):
+        grid = {name: [value] for name, value in setting.items()}
+        assert RandomForestRecommender(grid=grid, folds=2).grid_search(data)[1] == [(setting, pytest.approx(score))]
+    best = max(scores, key=lambda s: s[1])[0]
+    assert search.setting == best and len(search.bestModel) == best["n_estimators"]
