@@ -28,8 +28,9 @@ def dot(a, b) -> Column:
 def l2_normalize(a) -> Column:
     """Array scaled to unit length; a zero vector stays zero."""
     a = F.col(a) if isinstance(a, str) else a
-    size = F.sqrt(dot(a, a))
-    return F.transform(a, lambda x: F.when(size > 0, x / size).otherwise(F.lit(0.0)))
+    # The length is repeated as an array, so that it is worked out once and not for each place.
+    sizes = F.array_repeat(F.sqrt(dot(a, a)), F.size(a))
+    return F.zip_with(a, sizes, lambda x, size: F.when(size > 0, x / size).otherwise(F.lit(0.0)))
 
 
 def to_array(d: int, prefix: str = "e") -> Column:

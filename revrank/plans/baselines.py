@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from revrank.functions.hashing import draw
 from revrank.functions.vectors import l2_normalize
 from revrank.operators.aggregates import item_popularity
-from revrank.operators.blocked import blocked_topk
+from revrank.operators.blocked import BROADCAST_BYTES, blocked_topk
 from revrank.operators.joins import seen_pairs
 from revrank.operators.ranking import global_rank, head_of_order, top_k
 from revrank.plans.base import Recommender
+from revrank.session import cores, cut
+
+# Pairs of users and liked items that one task sums at most, give or take a user.
+PAIRS_PER_TASK = 50_000
 
 
 class PopularityRecommender(Recommender):
@@ -79,11 +83,9 @@ class ContentRecommender(Recommender):
     def fit(self, log, user_features=None, item_features=None):
         """``item_features`` carries an array column ``vector``."""
         self.vectors = item_features.select("item_idx", l2_normalize("vector").alias("ivec"))
-        liked = seen_pairs(log.filter(F.col("relevance") > 0))
+        liked = cut(seen_pairs(log.filter(F.col("relevance") > 0)))
         width = item_features.select(F.max(F.size("vector"))).first()[0]
-        parts = liked.join(self.vectors, "item_idx")
-        means = [F.avg(F.element_at("ivec", j + 1)) for j in range(width)]
-        profile = parts.groupBy("user_idx").agg(F.array(*means).alias("uvec"))
+        profile = _mean_vectors(liked, self.vectors, width or 0)
         self.width = width
         self.profiles = profile.select("user_idx", l2_normalize("uvec").alias("uvec"))
         return self
@@ -100,6 +102,28 @@ class ContentRecommender(Recommender):
         return best
 
 
+def _mean_vectors(liked: DataFrame, vectors: DataFrame, width: int) -> DataFrame:
+    """(user_idx, uvec): mean vector of each user's liked items.
+
+    Only the pairs are shuffled, by user; the vectors of liked items come to them by broadcast, in parts where they are
+    many. So no row per pair that holds a vector or its sums is written.
+    """
+    vectors = vectors.join(cut(liked.select("item_idx").distinct()), "item_idx", "left_semi")
+    pairs, n_items = liked.count(), vectors.count()
+    parts = max(1, -(-n_items * (width + 1) * 8 // BROADCAST_BYTES))
+    spread = liked.repartition(max(cores(liked.sparkSession), -(-pairs // PAIRS_PER_TASK)), "user_idx")
+    number = F.pmod(F.xxhash64("item_idx"), F.lit(parts))
+    sums = None
+    for part in range(parts):
+        some = vectors if parts == 1 else vectors.filter(number == part)
+        met = spread.join(F.broadcast(some), "item_idx").groupBy("user_idx")
+        if parts == 1:
+            return met.agg(F.array(*[F.avg(F.element_at("ivec", j + 1)) for j in range(width)]).alias("uvec"))
+        found = cut(met.agg(*[f(F.element_at("ivec", j + 1)).alias(f"{n}{j}") for j in range(width) for n, f in (("s", F.sum), ("n", F.count))]))
+        sums = found if sums is None else sums.unionByName(found)
+    return sums.groupBy("user_idx").agg(F.array(*[F.sum(f"s{j}") / F.nullif(F.sum(f"n{j}"), F.lit(0)) for j in range(width)]).alias("uvec"))
+
+
 def _cosine_above(threshold: float):
     def score(u: np.ndarray, i: np.ndarray) -> np.ndarray:
         # Seven digits, so that the order of summing cannot decide between equal items.
